@@ -73,10 +73,10 @@ def time_bucket(c: str | Column, data_type: T.DataType, bucket_seconds: int) ->
     """
     col = _col(c)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.floor(F.unix_timestamp(col) / F.lit(bucket_seconds)).cast("string")
+        return F.floor(F.unix_timestamp(col) / F.lit(bucket_seconds))
     if isinstance(data_type, T.StringType):
         # 13 characters of 'yyyy-MM-dd HH:mm:ss' is the hour; generic prefix otherwise.
         return F.substring(col, 1, 13)
     if isinstance(data_type, T.NumericType):
-        return F.floor(col / F.lit(bucket_seconds)).cast("string")
+        return F.floor(col / F.lit(bucket_seconds))
     raise TypeError(f"cannot bucket an ordering column of type {data_type}")

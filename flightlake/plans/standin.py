@@ -22,16 +22,17 @@ def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame
 def flights_from_tables(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """The stand-in ``flights`` rows (see FIXTURES.md section 4 for the column rules).
 
-    ``customer`` and ``nation`` are joined first on their own keys (the nation side is a fixed
-    25-row dimension), then ``events`` on the user key. Join strategies are Catalyst's: dimensions
-    under the broadcast threshold are broadcast, larger ones shuffle-join with AQE skew splitting,
-    so a user holding a large share of the events does not make one task hold them all.
+    ``events`` joins ``customer`` on the user key first: Catalyst broadcasts the customer side when
+    its file-size estimate is under the broadcast threshold and shuffle-joins it beyond (AQE then
+    splits a user holding a large share of the events). The fixed 25-row ``nation`` dimension is
+    joined last, on the narrow result.
     """
-    country = customer.select("c_custkey", "c_nationkey").join(
-        nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select("c_custkey", F.col("n_name").alias("origin_country"))
     ev = events.select("event_id", "ts", "user_id", "event_type", "value")
-    joined = ev.join(country, ev.user_id == country.c_custkey, "left")
+    cust = customer.select("c_custkey", "c_nationkey")
+    nat = nation.select("n_nationkey", F.col("n_name").alias("origin_country"))
+    joined = ev.join(cust, ev.user_id == cust.c_custkey, "left").join(
+        nat, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
     eid = F.col("event_id")
     callsign = (
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
