@@ -85,11 +85,12 @@ FROM flights f CROSS JOIN airports a
 WHERE {dist} < CAST({radius} AS DOUBLE)"""
 
 
-def _silver(source_cte: str) -> str:
+def _silver_ctes() -> str:
+    """CTE chain ending in ``silver``: the silver job's rows over the stand-in flights."""
     rest = ["callsign", "origin_country", "longitude", "latitude", "baro_altitude", "velocity", "true_track",
             "vertical_rate", "flight_time", "processed_at"]
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
-    return f"""WITH {source_cte}, s AS (
+    return f"""{FLIGHTS}, s AS (
   SELECT icao24, trim(callsign) AS callsign, origin_country, CAST(time_position AS VARCHAR) AS time_position,
          longitude, latitude, baro_altitude, velocity,
          CAST(NULL AS DOUBLE) AS true_track, CAST(NULL AS DOUBLE) AS vertical_rate,
@@ -98,8 +99,13 @@ def _silver(source_cte: str) -> str:
   FROM flights WHERE callsign IS NOT NULL
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY icao24, time_position ORDER BY {order}) AS rn FROM s
-)
-SELECT * EXCLUDE (rn) FROM r WHERE rn = 1"""
+), silver AS (
+  SELECT * EXCLUDE (rn) FROM r WHERE rn = 1
+)"""
+
+
+def _silver() -> str:
+    return f"WITH {_silver_ctes()}\nSELECT * FROM silver"
 
 
 def _first_per_key() -> str:
@@ -113,6 +119,23 @@ def _first_per_key() -> str:
 SELECT * EXCLUDE (rn) FROM r WHERE rn = 1"""
 
 
+def _pipeline_stats() -> str:
+    """Silver rows, then phase over the text flight time, then country stats."""
+    return f"""WITH {_silver_ctes()}, lagged AS (
+  SELECT *, lag(baro_altitude) OVER (PARTITION BY icao24 ORDER BY flight_time ASC NULLS FIRST) AS prev_alt FROM silver
+), phased AS (
+  SELECT *, CASE WHEN prev_alt IS NULL THEN 'Initializing'
+                 WHEN baro_altitude > prev_alt + 15 THEN 'Climbing'
+                 WHEN baro_altitude < prev_alt - 15 THEN 'Descending'
+                 ELSE 'Cruising' END AS flight_phase
+  FROM lagged
+)
+SELECT origin_country, processed_at, count(icao24) AS flight_count, round(avg(velocity), 6) AS avg_speed_ms,
+       count(*) FILTER (WHERE flight_phase = 'Climbing') AS count_climbing,
+       round(avg(baro_altitude), 6) AS avg_altitude_m
+FROM phased GROUP BY origin_country, processed_at"""
+
+
 FLIGHT_COLS = ["event_id", "icao24", "callsign", "origin_country", "time_position", "flight_time",
                "baro_altitude", "velocity", "latitude", "longitude"]
 
@@ -130,8 +153,8 @@ SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM flights"""
 
     "geofence": _geofence(0.2),
     "geofence_wide": _geofence(1.0),
-    "silver_clean": _silver(FLIGHTS),
-    "silver_from_json": _silver(FLIGHTS),
+    "silver_clean": _silver(),
+    "silver_from_json": _silver(),
 
     "states_explode": f"""WITH {FLIGHTS}
 SELECT time_position AS snapshot_time, icao24, callsign, origin_country, time_position,
@@ -141,6 +164,8 @@ SELECT time_position AS snapshot_time, icao24, callsign, origin_country, time_po
        CAST(NULL AS VARCHAR) AS squawk, CAST(NULL AS BOOLEAN) AS spi, CAST(NULL AS BIGINT) AS position_source
 FROM flights""",
 
+    "pipeline_country_stats": _pipeline_stats(),
+
     "dedupe": _first_per_key(),
 
     "null_profile": f"""WITH {FLIGHTS}
@@ -234,3 +259,6 @@ FROM flights GROUP BY origin_country""",
 
     "incremental_silver": """SELECT DISTINCT user_id, ts FROM events""",
 }
+
+# The bronze job's stored table holds the same rows as the exploded snapshots.
+SQL["bronze_layer"] = SQL["states_explode"]

@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 from flightlake.operators.dedupe import append_unique
 from flightlake.operators.silver import SILVER_KEYS, to_silver
 from flightlake.plans.gold import run_gold, run_stamp
-from flightlake.sources.readers import read_layer, read_snapshots
-from flightlake.sources.sinks import write_append
+from flightlake.sources.readers import bronze_from_snapshots, read_layer, read_snapshots
+from flightlake.sources.sinks import write_append, write_overwrite
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -21,6 +21,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int | None = None) -> str:
+    """Landed snapshot JSON -> typed 17-column bronze parquet (replaced each run).
+
+    The live HTTP pull of the source job is not rebuilt; the landing zone is the input.
+    """
+    write_overwrite(bronze_from_snapshots(read_snapshots(spark, raw_dir), sample=sample), bronze_path)
+    return bronze_path
+
+
 def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime | None = None) -> str:
     """L1 + C6: clean the landed snapshots and append only keys not yet stored."""
     silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))

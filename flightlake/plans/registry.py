@@ -8,6 +8,7 @@ doubles are rounded to 6 decimals so results compare across engines; the matchin
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,8 @@ from flightlake.operators.geofence import airport_distance
 from flightlake.operators.phase import flight_phase
 from flightlake.operators.silver import to_silver
 from flightlake.operators.stats import country_stats, daily_summary
+from flightlake.plans.pipeline import run as run_pipeline
+from flightlake.plans.pipeline import run_bronze
 from flightlake.plans.standin import load_flights, load_tables, states_from_flights
 from flightlake.session import scratch_path
 from flightlake.sources.inline import airports_frame
@@ -87,6 +90,27 @@ def q_silver_from_json(spark, sf_dir):
     return to_silver(read_snapshots(spark, path), stamp())
 
 
+def q_bronze_layer(spark, sf_dir):
+    """A15 + A6 + A5: snapshots landed as JSON, bronze job writes parquet, read back."""
+    raw = scratch_path(spark, "landing")
+    states_from_flights(load_flights(spark, sf_dir)).write.mode("overwrite").json(raw)
+    bronze = scratch_path(spark, "bronze")
+    run_bronze(spark, raw, bronze)
+    return read_layer(spark, bronze)
+
+
+def q_pipeline_country_stats(spark, sf_dir):
+    """Landed JSON -> silver (append-unique) -> gold tables on disk; the stored country stats."""
+    raw = scratch_path(spark, "landing")
+    states_from_flights(load_flights(spark, sf_dir)).write.mode("overwrite").json(raw)
+    paths = run_pipeline(spark, raw, scratch_path(spark, "lake"), ts=datetime(2024, 2, 1))
+    stats = read_layer(spark, paths["country_stats"])
+    return stats.select(
+        "origin_country", F.col("processed_at").cast("timestamp_ntz").alias("processed_at"), "flight_count",
+        r6("avg_speed_ms"), "count_climbing", r6("avg_altitude_m"),
+    )
+
+
 def q_states_explode(spark, sf_dir):
     return bronze_from_snapshots(states_from_flights(load_flights(spark, sf_dir)))
 
@@ -232,6 +256,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clean": q_silver_clean,
     "silver_from_json": q_silver_from_json,
     "states_explode": q_states_explode,
+    "bronze_layer": q_bronze_layer,
+    "pipeline_country_stats": q_pipeline_country_stats,
     "dedupe": q_dedupe,
     "null_profile": q_null_profile,
     "describe_stats": q_describe_stats,
