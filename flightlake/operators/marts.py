@@ -1,8 +1,9 @@
 """Report marts (L7): the data behind each report visual, as Spark aggregates.
 
 Top-N selections rank groups by a SUM and keep every group tied at the cut (``rank() <= n``). The
-cut is found without a global window: ``orderBy(desc).limit(n)`` (per-task top-n, then a merge of
-n rows per task) gives the n-th largest sum, and a scalar subquery filters the grouped sums by it.
+grouped sums (one row per group, combined map-side) are computed once from the state rows and
+checkpointed to the shared folder; the cut comes from ``orderBy(desc).limit(n)`` on them (per-task
+top-n, then a merge of n rows per task) as a scalar subquery, never from a global window.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlake.fixed import DEFAULT_SUM_COLUMNS, TOP_N
 from flightlake.operators.joins import semi_join_bounded
+from flightlake.session import materialize
 
 
 def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
@@ -22,7 +24,9 @@ def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
     Equivalent to ``rank() OVER (ORDER BY s DESC) <= n`` over non-NULL sums: a group has rank <= n
     exactly when its sum is at least the n-th largest sum.
     """
-    sums = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs)
+    sums = materialize(
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs)
+    )
     cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
     return sums.filter(F.col("_tg_sum") >= cut)
 

@@ -67,3 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a frame reading it (lineage cut).
+
+    For small derived tables (grouped sums, key sets) that several later steps read: they are computed
+    once from the big input, survive executor loss, and are re-read cheaply. Never ``localCheckpoint``.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
