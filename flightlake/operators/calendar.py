@@ -40,3 +40,13 @@ def rollup_by_date(df: DataFrame, calendar: DataFrame, time_col: str) -> DataFra
     """Row counts at every level of Year > Quarter > Month > Day plus the grand total."""
     joined = join_calendar(df, calendar, time_col)
     return joined.rollup("year", "quarter_no", "month_no", "day").agg(F.count(F.lit(1)).alias("flight_rows"))
+
+
+def month_axis(calendar: DataFrame) -> DataFrame:
+    """month labels in calendar order (sorted by month number, not by name)."""
+    return calendar.select("month_no", "month").distinct().orderBy("month_no")
+
+
+def quarter_axis(calendar: DataFrame) -> DataFrame:
+    """quarter labels sorted by quarter number."""
+    return calendar.select("quarter_no", "quarter").distinct().orderBy("quarter_no")

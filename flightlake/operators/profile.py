@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from flightlake.fixed import EUROPE_LAT, EUROPE_LON, HIGH_FLYER_ALTITUDE, TOP_N
-from flightlake.operators.dedupe import duplicate_count  # noqa: F401  (re-exported: D9)
+from flightlake.operators.dedupe import duplicate_count
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -44,6 +44,23 @@ def describe_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """D7 in the long form of ``DataFrame.describe``: one row per statistic, values as text."""
+    return df.select(*columns).describe()
+
+
+def quality_profile(df: DataFrame, keys: Sequence[str], numeric: Sequence[str],
+                    order_by: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The notebook checks as lazy frames (nothing runs until the caller acts on one)."""
+    return {
+        "row_count": row_count(df),
+        "null_counts": null_profile(df),
+        "describe": describe_stats(df, numeric),
+        "duplicates": duplicate_count(df, keys),
+        "preview": preview(df, order_by or list(keys)),
+    }
+
+
 def high_flyers(df: DataFrame, min_altitude: float = HIGH_FLYER_ALTITUDE, col: str = "baro_altitude") -> DataFrame:
     """Rows strictly above the altitude threshold (pushed to the parquet scan)."""
     return df.filter(F.col(col) > F.lit(min_altitude))

@@ -46,3 +46,11 @@ def test_keep_first_plan_combines_map_side(spark):
     df = spark.range(1000).selectExpr("'hot' AS k", "id % 3 AS t", "id AS eid")
     plan = keep_first(df, ["k", "t"], ["eid"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_label_axes_sort_by_number(spark):
+    from flightlake.operators.calendar import month_axis, quarter_axis
+    df = spark.createDataFrame([(datetime(2024, 3, 1),)], "t TIMESTAMP_NTZ")
+    cal = calendar_for(df, "t")
+    assert [r.month for r in month_axis(cal).collect()][:4] == ["January", "February", "March", "April"]
+    assert [r.quarter for r in quarter_axis(cal).collect()] == ["Qtr 1", "Qtr 2", "Qtr 3", "Qtr 4"]

@@ -93,3 +93,14 @@ def test_latest_stats_join(spark):
     assert avg == {"UK": 15.0, "FR": 30.0}
     tot = {r.origin_country: r.total_flights for r in marts.flights_by_country(stats).collect()}
     assert tot == {"UK": 12, "FR": 3}
+
+
+def test_quality_profile_bundle(spark):
+    df = _rows(spark, [("a", "A", "UK", 1.0, 2.0, None, TS, 0.0, 0.0), ("a", "A", "UK", 1.0, 2.0, None, TS, 0.0, 0.0)])
+    prof = profile.quality_profile(df, ["icao24", "processed_at"], ["velocity"])
+    assert prof["row_count"].first().row_count == 2
+    assert prof["duplicates"].first().duplicate_rows == 1
+    assert prof["null_counts"].first().flight_phase == 2
+    assert prof["preview"].count() == 2
+    text = {r.summary: r.velocity for r in profile.describe_text(df, ["velocity"]).collect()}
+    assert text["count"] == "2" and text["mean"] == "1.0"
