@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from flightlake.operators.dedupe import append_unique
 from flightlake.operators.silver import SILVER_KEYS, to_silver
@@ -14,11 +15,12 @@ from flightlake.sources.readers import bronze_from_snapshots, read_layer, read_s
 from flightlake.sources.sinks import write_append, write_overwrite
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written there yet."""
+    try:
+        return read_layer(spark, path)
+    except AnalysisException:
+        return None
 
 
 def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int | None = None) -> str:
@@ -33,8 +35,9 @@ def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int
 def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime | None = None) -> str:
     """L1 + C6: clean the landed snapshots and append only keys not yet stored."""
     silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))
-    if _exists(spark, silver_path):
-        silver = append_unique(read_layer(spark, silver_path), silver, SILVER_KEYS)
+    stored = _stored(spark, silver_path)
+    if stored is not None:
+        silver = append_unique(stored, silver, SILVER_KEYS)
     write_append(silver, silver_path)
     return silver_path
 

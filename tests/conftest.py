@@ -14,11 +14,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="flightlake-test-ckpt-")
-    session = build_session(
-        "local[*]", app_name="flightlake-tests", shuffle_partitions=8,
-        extra_conf={"spark.checkpoint.dir": ckpt},
-    )
+    session = build_session("local[*]", app_name="flightlake-tests", shuffle_partitions=8)
+    # Use the deployment's shared checkpoint folder; only when none is configured, a fresh local one.
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="flightlake-test-ckpt-"))
     yield session
     session.stop()
 
