@@ -40,12 +40,25 @@ def append_unique(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``incoming`` whose key is not yet in ``existing`` (one per key), ready to append.
 
-    The anti-join compares keys NULL-safely, so re-running a batch adds nothing.
+    One aggregation does both the de-duplication and the "already stored?" test: the stored keys
+    (only the key columns are read) are unioned with the incoming rows, grouped by key, and groups
+    that contain a stored key are dropped. Grouping treats NULL keys as equal, so re-running a batch
+    adds nothing; copies are combined map-side, so a hot key never reaches one task whole.
     """
-    fresh = keep_first(incoming, keys, order_by)
-    stored = existing.select(*[F.col(k).alias(f"_ex_{k}") for k in keys]).distinct()
-    cond = None
-    for k in keys:
-        term = fresh[k].eqNullSafe(stored[f"_ex_{k}"])
-        cond = term if cond is None else cond & term
-    return fresh.join(stored, cond, "left_anti")
+    keys = list(keys)
+    rest = [c for c in incoming.columns if c not in keys]
+    ordered = [c for c in order_by if c in rest] + [c for c in rest if c not in order_by]
+    row = F.struct(*[F.col(c) for c in ordered])
+    fresh = incoming.select(*keys, row.alias("_au_row"), F.lit(False).alias("_au_old"))
+    row_type = fresh.schema["_au_row"].dataType
+    stored = existing.select(
+        *[F.col(k).cast(incoming.schema[k].dataType).alias(k) for k in keys],
+        F.lit(None).cast(row_type).alias("_au_row"),
+        F.lit(True).alias("_au_old"),
+    )
+    grouped = fresh.unionByName(stored).groupBy(*keys).agg(
+        F.min("_au_row").alias("_au_row"), F.max("_au_old").alias("_au_old")
+    )
+    return grouped.filter(~F.col("_au_old")).select(
+        *keys, *[F.col(f"_au_row.{c}").alias(c) for c in ordered]
+    ).select(*incoming.columns)

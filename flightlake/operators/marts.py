@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlake.fixed import DEFAULT_SUM_COLUMNS, TOP_N
-from flightlake.operators.joins import semi_join_bounded
+from flightlake.operators.joins import broadcast_if_small, semi_join_bounded
 from flightlake.session import materialize
 
 
@@ -89,8 +89,9 @@ def map_points(df: DataFrame) -> DataFrame:
 def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
     """Many-to-one join of state rows to the latest statistics of their country.
 
-    The stats side has one row per country; Catalyst/AQE broadcast it when its measured size is
-    small and shuffle-join otherwise.
+    The stats side (one row per country) is computed once and checkpointed, then broadcast after a
+    bounded row count proves it small, so the state rows are never shuffled by country (a country
+    may hold a large share of them). Beyond the bound it is a shuffled join with AQE skew splitting.
     """
     latest = latest_country_stats(stats).select(
         "origin_country",
@@ -98,7 +99,8 @@ def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("avg_speed_ms").alias("country_avg_speed_ms"),
         F.col("count_climbing").alias("country_count_climbing"),
     )
-    return flights.join(latest, "origin_country", "left")
+    side, _ = broadcast_if_small(materialize(latest))
+    return flights.join(side, "origin_country", "left")
 
 
 def filter_countries(df: DataFrame, countries: Sequence[str]) -> DataFrame:
