@@ -25,7 +25,8 @@ def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
     exactly when its sum is at least the n-th largest sum.
     """
     sums = materialize(
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs)
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs),
+        "topn-sums",
     )
     cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
     return sums.filter(F.col("_tg_sum") >= cut)
@@ -99,7 +100,7 @@ def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("avg_speed_ms").alias("country_avg_speed_ms"),
         F.col("count_climbing").alias("country_count_climbing"),
     )
-    side, _ = broadcast_if_small(materialize(latest))
+    side, _ = broadcast_if_small(materialize(latest, "latest-country-stats"))
     return flights.join(side, "origin_country", "left")
 
 

@@ -1,15 +1,22 @@
-"""Per-aircraft previous value (E1) and flight phase (E2), safe for hot aircraft.
+"""Per-aircraft previous value (E1) and flight phase (E2), safe for hot aircraft and hot hours.
 
 A plain ``lag`` over ``Window.partitionBy(icao24)`` sends every row of one aircraft to one task. If a
 single key held a third of the data, that task would sort a third of the data alone. Instead the
 ordering axis is cut into buckets that never decrease along the order (time windows, or text
 prefixes), and the window runs per (key, bucket):
 
-1. ``last``  : last value per (key, bucket) by ``max_by`` (partial aggregation, map-side combine);
-2. ``carry`` : the previous bucket's last value per (key, bucket) (a small window per key: one row per
-               bucket, never per event);
-3. the events are shuffled once on (key, bucket), left-joined to ``carry`` on that same partitioning,
-   and ``lag`` inside the bucket gives the previous value; the first row of a bucket takes ``carry``.
+1. ``groups``: per (key, bucket) the last value (``max_by``) and the row count, combined map-side,
+   plus the previous bucket's last value of the same key (``carry``; a small window per key, one row
+   per bucket, never per event). Written once to the shared folder.
+2. cold groups (at most ``hot_rows`` rows): the events are shuffled once on (key, bucket), joined to
+   ``carry`` on that same partitioning, and ``lag`` inside the group gives the previous value; the
+   first row of a group takes ``carry``.
+3. hot groups (more than ``hot_rows`` rows, e.g. one aircraft reporting a third of all rows within one
+   hour): their rows are range-partitioned on (group, order) into ``ceil(rows / hot_rows)`` parts and
+   written once, so one group is spread over many tasks; ``lag`` runs per (group, part) (a second
+   shuffle, of the hot rows only, on (group, part)), and the first row of a part
+   takes the last value of the group's previous part (one row per part, a bounded broadcast), or the
+   bucket ``carry`` for the group's first part.
 
 The result equals ``lag(value) OVER (PARTITION BY key ORDER BY order_cols)`` exactly. (key, bucket)
 is packed into one struct column, whose equality treats NULL fields as equal, so NULL keys keep
@@ -24,8 +31,54 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlake.fixed import PHASE_DELTA
 from flightlake.functions.columns import flight_phase_expr, time_bucket
+from flightlake.operators.joins import broadcast_if_small
+from flightlake.session import materialize
 
 DEFAULT_BUCKET_SECONDS = 3600
+# Rows one (key, bucket) group may hold before its rows are spread over several tasks.
+DEFAULT_HOT_ROWS = 2_000_000
+# Hot groups listed in a broadcast routing filter. Each holds more than ``hot_rows`` rows, so the
+# list is short by construction; beyond this bound the routing joins are shuffled instead.
+MAX_HOT_GROUPS = 100_000
+
+
+def _lag_within(rows: DataFrame, carry: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                value_col: str, carry_col: str, out_col: str) -> DataFrame:
+    """``lag`` inside each group of ``group_cols``; a group's first row takes ``carry_col``."""
+    joined = rows.join(carry, list(group_cols), "left")
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    prev = F.when(F.row_number().over(w) == 1, F.col(carry_col)).otherwise(F.lag(value_col).over(w))
+    return joined.withColumn(out_col, prev)
+
+
+def _lag_hot(rows: DataFrame, hot: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str,
+             parts: int, small: bool) -> DataFrame:
+    """Rows of hot groups: range parts on (group, order), lag per part, carry across parts.
+
+    Range bounds are sampled on the full sort key, so a group is cut wherever its rows are dense; rows
+    with equal sort keys stay in one part. Along the total order the part index never decreases, so
+    the previous part of the same group holds the previous rows. The parted rows are written once to
+    the shared folder: the part index is fixed there (one sampling, one range shuffle), and the
+    per-part summary reads only the narrow columns back. That summary has at most
+    ``len(hot) + parts`` rows (groups and parts are both contiguous ranges of the same order).
+    """
+    ranged = materialize(
+        rows.repartitionByRange(parts, "_lg_k", *order_cols).withColumn("_lg_p", F.spark_partition_id()),
+        "lag-hot-rows",
+    )
+    by_part = Window.partitionBy("_lg_k").orderBy("_lg_p")
+    part_last = ranged.groupBy("_lg_k", "_lg_p").agg(
+        F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_pl")
+    )
+    part_carry = part_last.join(hot, "_lg_k", "left").select(
+        "_lg_k",
+        "_lg_p",
+        F.when(F.row_number().over(by_part) == 1, F.col("_lg_carry"))
+        .otherwise(F.lag("_lg_pl").over(by_part))
+        .alias("_lg_pc"),
+    )
+    side = F.broadcast(part_carry) if small else part_carry
+    return _lag_within(ranged, side, ["_lg_k", "_lg_p"], order_cols, value_col, "_lg_pc", out_col)
 
 
 def lag_by_key(
@@ -35,6 +88,7 @@ def lag_by_key(
     value_col: str,
     out_col: str,
     bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add ``out_col`` = previous ``value_col`` of the same key in ``order_cols`` order (NULL first).
 
@@ -46,25 +100,39 @@ def lag_by_key(
         return df.withColumn(out_col, F.lag(value_col).over(w))
 
     lead_col = order_cols[0]
-    bucket = time_bucket(lead_col, df.schema[lead_col].dataType, bucket_seconds)
-    staged = df.withColumn("_lg_b", bucket)
-
-    last = staged.groupBy(*keys, "_lg_b").agg(
-        F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_last")
-    )
+    staged = df.withColumn("_lg_b", time_bucket(lead_col, df.schema[lead_col].dataType, bucket_seconds))
     per_key = Window.partitionBy(*keys).orderBy("_lg_b")
-    carry = last.select(
-        F.struct(*keys, "_lg_b").alias("_lg_k"),
-        F.lag("_lg_last").over(per_key).alias("_lg_carry"),
+    groups = materialize(
+        staged.groupBy(*keys, "_lg_b")
+        .agg(
+            F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_last"),
+            F.count(F.lit(1)).alias("_lg_n"),
+        )
+        .select(
+            F.struct(*keys, "_lg_b").alias("_lg_k"),
+            F.lag("_lg_last").over(per_key).alias("_lg_carry"),
+            "_lg_n",
+        ),
+        "lag-groups",
     )
-
     staged = staged.withColumn("_lg_k", F.struct(*keys, "_lg_b"))
-    joined = staged.join(carry, "_lg_k", "left")
-    in_bucket = Window.partitionBy("_lg_k").orderBy(*order_cols)
-    prev = F.when(F.row_number().over(in_bucket) == 1, F.col("_lg_carry")).otherwise(
-        F.lag(value_col).over(in_bucket)
-    )
-    return joined.withColumn(out_col, prev).select(*df.columns, out_col)
+    carry = groups.select("_lg_k", "_lg_carry")
+
+    hot = groups.filter(F.col("_lg_n") > F.lit(hot_rows))
+    n_hot, hot_total = hot.agg(F.count(F.lit(1)), F.sum("_lg_n")).first()
+    if not n_hot:
+        out = _lag_within(staged, carry, ["_lg_k"], order_cols, value_col, "_lg_carry", out_col)
+        return out.select(*df.columns, out_col)
+
+    hot = hot.select("_lg_k", "_lg_carry")
+    hot_side, small = broadcast_if_small(hot, MAX_HOT_GROUPS)
+    hot_keys = hot_side.select("_lg_k")
+    cold = _lag_within(staged.join(hot_keys, "_lg_k", "left_anti"), carry, ["_lg_k"], order_cols, value_col,
+                       "_lg_carry", out_col)
+    parts = max(1, -(-int(hot_total) // hot_rows))
+    warm = _lag_hot(staged.join(hot_keys, "_lg_k", "left_semi"), hot_side, order_cols, value_col, out_col,
+                    parts, small)
+    return cold.select(*df.columns, out_col).unionByName(warm.select(*df.columns, out_col))
 
 
 def flight_phase(
@@ -75,7 +143,8 @@ def flight_phase(
     altitude_col: str = "baro_altitude",
     delta: float = PHASE_DELTA,
     bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev_alt`` and ``flight_phase`` (Initializing / Climbing / Descending / Cruising)."""
-    lagged = lag_by_key(df, [key], [time_col, *tiebreak], altitude_col, "prev_alt", bucket_seconds)
+    lagged = lag_by_key(df, [key], [time_col, *tiebreak], altitude_col, "prev_alt", bucket_seconds, hot_rows)
     return lagged.withColumn("flight_phase", flight_phase_expr(altitude_col, "prev_alt", delta))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins and partition counts at runtime and splits
 # skewed shuffle partitions; the session zone is pinned so epoch <-> text conversions are stable.
@@ -47,13 +47,16 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system every executor sees).
-    Only when it is unset (local runs, tests) a fresh folder is created here and registered.
+    On a cluster the deployment must set it to a shared file system every executor sees; an unset
+    value is an error there. Only a local-mode session (tests, notebooks) without the setting gets a
+    fresh folder created here and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="flightlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
@@ -69,11 +72,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and return a frame reading it (lineage cut).
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet to the shared checkpoint folder and return a frame reading it (lineage cut).
 
-    For small derived tables (grouped sums, key sets) that several later steps read: they are computed
-    once from the big input, survive executor loss, and are re-read cheaply. Never ``localCheckpoint``.
+    For derived tables (grouped sums, per-group summaries, key sets) that several later steps or
+    driver-side bounded checks read: they are computed exactly once from the big input, survive
+    executor loss, and the reader knows their real size (file statistics), so the planner sizes
+    joins against them from facts. Never ``localCheckpoint``.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -1,6 +1,7 @@
 """Previous altitude and flight phase (E1, E2): edge rows and equality with the plain window."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import Window, functions as F
@@ -45,10 +46,29 @@ def test_split_lag_equals_plain_window(spark):
         alt = None if rnd.random() < 0.05 else float(rnd.randrange(0, 12000))
         rows.append((key, t, eid, alt))
     df = _flights(spark, rows)
-    for bucket in (60, 3600, 86400, None):
-        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", bucket)
-        assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == sorted(
-            map(tuple, _plain(df).collect()), key=lambda r: r[2])
+    want = sorted(map(tuple, _plain(df).collect()), key=lambda r: r[2])
+    for bucket, hot in ((60, 10**9), (3600, 10**9), (86400, 10**9), (None, 10**9), (3600, 40), (86400, 150)):
+        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", bucket, hot)
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want, (bucket, hot)
+
+
+def test_hot_bucket_is_split_by_range(spark):
+    """One aircraft holds most rows inside a single hour (many equal times); the group is cut into parts."""
+    rnd = random.Random(11)
+    rows = []
+    for eid in range(4000):
+        key = rnd.choice(["hot"] * 8 + ["b", None])
+        t = None if rnd.random() < 0.01 else T0 + timedelta(seconds=rnd.randrange(0, 600))
+        alt = None if rnd.random() < 0.05 else float(rnd.randrange(0, 12000))
+        rows.append((key, t, eid, alt))
+    df = _flights(spark, rows)
+    want = sorted(map(tuple, _plain(df).collect()), key=lambda r: r[2])
+    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", 3600, hot_rows=100)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the hot rows are read back from their written range parts and windowed per (group, part)
+    assert "lag-hot-rows" in plan
+    assert re.search(r"windowspecdefinition\(_lg_k#\d+, _lg_p#\d+", plan)
 
 
 def test_split_lag_on_text_time(spark):
