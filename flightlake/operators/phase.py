@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from flightlake.fixed import PHASE_DELTA
 from flightlake.functions.columns import flight_phase_expr, time_bucket
@@ -102,6 +102,9 @@ def lag_by_key(
     lead_col = order_cols[0]
     staged = df.withColumn("_lg_b", time_bucket(lead_col, df.schema[lead_col].dataType, bucket_seconds))
     per_key = Window.partitionBy(*keys).orderBy("_lg_b")
+    is_hot = F.col("_lg_n") > F.lit(hot_rows)
+    # The hot-group totals are observed while the summary is written (no extra job).
+    seen = Observation("lag-groups")
     groups = materialize(
         staged.groupBy(*keys, "_lg_b")
         .agg(
@@ -112,14 +115,15 @@ def lag_by_key(
             F.struct(*keys, "_lg_b").alias("_lg_k"),
             F.lag("_lg_last").over(per_key).alias("_lg_carry"),
             "_lg_n",
-        ),
+        )
+        .observe(seen, F.count_if(is_hot).alias("n_hot"), F.sum(F.when(is_hot, F.col("_lg_n"))).alias("hot_total")),
         "lag-groups",
     )
     staged = staged.withColumn("_lg_k", F.struct(*keys, "_lg_b"))
     carry = groups.select("_lg_k", "_lg_carry")
 
-    hot = groups.filter(F.col("_lg_n") > F.lit(hot_rows))
-    n_hot, hot_total = hot.agg(F.count(F.lit(1)), F.sum("_lg_n")).first()
+    hot = groups.filter(is_hot)
+    n_hot, hot_total = seen.get["n_hot"], seen.get["hot_total"]
     if not n_hot:
         out = _lag_within(staged, carry, ["_lg_k"], order_cols, value_col, "_lg_carry", out_col)
         return out.select(*df.columns, out_col)

@@ -15,8 +15,20 @@ FLIGHT_COLUMNS = [
 ]
 
 
+# Fixed schemas of the driver tables the stand-in reads (no footer-inference job per read).
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
+    out = []
+    for n in names:
+        reader = spark.read.schema(TABLE_SCHEMAS[n]) if n in TABLE_SCHEMAS else spark.read
+        out.append(reader.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet"))
+    return out
 
 
 def flights_from_tables(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
