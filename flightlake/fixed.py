@@ -81,3 +81,27 @@ DEFAULT_SUM_COLUMNS = [
 
 # Report's older silver schema names -> current names.
 LEGACY_RENAMES = {"long": "longitude", "lat": "latitude"}
+
+# --- fixed values: the report's declared column types for its (older) silver table, in order ----
+# "any" is kept as text; "datetime" (no zone) is TIMESTAMP_NTZ.
+REPORT_CLEANED_TYPES = [
+    ("icao24", "string"),
+    ("callsign", "string"),
+    ("origin_country", "string"),
+    ("time_position", "bigint"),
+    ("last_contact", "bigint"),
+    ("long", "double"),
+    ("lat", "double"),
+    ("baro_altitude", "double"),
+    ("on_ground", "boolean"),
+    ("velocity", "double"),
+    ("true_track", "double"),
+    ("vertical_rate", "double"),
+    ("sensors", "string"),
+    ("geo_altitude", "double"),
+    ("squawk", "bigint"),
+    ("spi", "boolean"),
+    ("position_source", "bigint"),
+    ("flight_time", "timestamp_ntz"),
+    ("processed_at", "timestamp_ntz"),
+]

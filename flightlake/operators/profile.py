@@ -44,6 +44,20 @@ def describe_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
+DESCRIBE_STATS = ["count", "mean", "stddev", "min", "max"]
+
+
+def describe_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """D7 in the long layout of ``DataFrame.describe`` (a ``summary`` column, one row per statistic),
+    with numeric values: the single wide aggregation above, then a 5-row unpivot of its one row."""
+    wide = describe_stats(df, columns)
+    rows = [
+        F.struct(F.lit(stat).alias("summary"), *[F.col(f"{c}_{stat}").cast("double").alias(c) for c in columns])
+        for stat in DESCRIBE_STATS
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """D7 in the long form of ``DataFrame.describe``: one row per statistic, values as text."""
     return df.select(*columns).describe()

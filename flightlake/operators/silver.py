@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flightlake.fixed import LEGACY_RENAMES, SILVER_DOUBLE_COLUMNS, SILVER_POSITIONS
+from flightlake.fixed import LEGACY_RENAMES, REPORT_CLEANED_TYPES, SILVER_DOUBLE_COLUMNS, SILVER_POSITIONS
 from flightlake.functions.columns import epoch_to_text, safe_cast, state_field
 from flightlake.operators.dedupe import keep_first
 
@@ -71,3 +71,18 @@ def legacy_to_current(df: DataFrame) -> DataFrame:
         if old in df.columns:
             df = df.withColumnRenamed(old, new)
     return df
+
+
+def declared_types(df: DataFrame, types=REPORT_CLEANED_TYPES) -> DataFrame:
+    """The report's cast list, as ``try_cast`` (its "error values as null" option), in its order.
+
+    Columns missing from ``df`` are skipped; columns not in the list are dropped (the report keeps
+    only its declared columns).
+    """
+    present = set(df.columns)
+    return df.select(*[safe_cast(c, kind).alias(c) for c, kind in types if c in present])
+
+
+def report_silver(df: DataFrame, types=REPORT_CLEANED_TYPES) -> DataFrame:
+    """The report's read of the older silver layout, under the current column names."""
+    return legacy_to_current(declared_types(df, types))

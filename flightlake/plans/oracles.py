@@ -136,6 +136,16 @@ SELECT origin_country, processed_at, count(icao24) AS flight_count, round(avg(ve
 FROM phased GROUP BY origin_country, processed_at"""
 
 
+# The 17 state positions of a snapshot row built from the stand-in (expression, bronze name).
+STATE_COLUMNS = [
+    ("icao24", "icao24"), ("callsign", "callsign"), ("origin_country", "origin_country"),
+    ("time_position", "time_position"), ("time_position", "last_contact"), ("longitude", "long"),
+    ("latitude", "lat"), ("baro_altitude", "baro_altitude"), ("baro_altitude < 100", "on_ground"),
+    ("velocity", "velocity"), ("CAST(NULL AS DOUBLE)", "true_track"), ("CAST(NULL AS DOUBLE)", "vertical_rate"),
+    ("CAST(NULL AS VARCHAR)", "sensors"), ("baro_altitude", "geo_altitude"), ("CAST(NULL AS VARCHAR)", "squawk"),
+    ("CAST(NULL AS BOOLEAN)", "spi"), ("CAST(NULL AS BIGINT)", "position_source"),
+]
+
 FLIGHT_COLS = ["event_id", "icao24", "callsign", "origin_country", "time_position", "flight_time",
                "baro_altitude", "velocity", "latitude", "longitude"]
 
@@ -157,11 +167,47 @@ SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM flights"""
     "silver_from_json": _silver(),
 
     "states_explode": f"""WITH {FLIGHTS}
-SELECT time_position AS snapshot_time, icao24, callsign, origin_country, time_position,
-       time_position AS last_contact, longitude AS long, latitude AS lat, baro_altitude,
-       baro_altitude < 100 AS on_ground, velocity, CAST(NULL AS DOUBLE) AS true_track,
+SELECT time_position AS snapshot_time, {", ".join(f"{e} AS {a}" for e, a in STATE_COLUMNS)}
+FROM flights""",
+
+    "states_explode_outer": f"""WITH {FLIGHTS}
+SELECT time_position AS snapshot_time,
+       {", ".join(f"CASE WHEN callsign IS NULL THEN NULL ELSE {e} END AS {a}" for e, a in STATE_COLUMNS)}
+FROM flights""",
+
+    "describe_long": f"""WITH {FLIGHTS}, s AS (
+  SELECT {", ".join(f"count({c}) AS {c}_count, avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_stddev, "
+                    f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in ["baro_altitude", "velocity"])}
+  FROM flights
+)
+{" UNION ALL ".join(
+        f"SELECT '{st}' AS summary, round(CAST(baro_altitude_{st} AS DOUBLE), 6) AS baro_altitude, "
+        f"round(CAST(velocity_{st} AS DOUBLE), 6) AS velocity FROM s"
+        for st in ["count", "mean", "stddev", "min", "max"])}""",
+
+    "preview": f"""WITH {FLIGHTS}
+SELECT event_id, icao24, callsign, origin_country, baro_altitude FROM flights ORDER BY event_id LIMIT 5""",
+
+    "month_axis": f"""WITH {FLIGHTS}, {CALENDAR}
+SELECT DISTINCT month_no, month FROM cal ORDER BY month_no""",
+
+    "quarter_axis": f"""WITH {FLIGHTS}, {CALENDAR}
+SELECT DISTINCT quarter_no, quarter FROM cal ORDER BY quarter_no""",
+
+    "gold_folders": f"""WITH {FLIGHTS}, {PHASED}, {STATS}
+SELECT 'country_stats' AS source_table, origin_country, processed_at, flight_count,
+       round(avg_speed_ms, 6) AS avg_speed_ms, count_climbing, round(avg_altitude_m, 6) AS avg_altitude_m,
+       CAST(NULL AS BIGINT) AS total_global_flights
+FROM stats
+UNION ALL
+SELECT 'daily_summary', NULL, {STAMP}, NULL, NULL, NULL, NULL, count(*) FROM flights""",
+
+    "report_silver": f"""WITH {FLIGHTS}
+SELECT icao24, callsign, origin_country, time_position, time_position AS last_contact, longitude, latitude,
+       baro_altitude, baro_altitude < 100 AS on_ground, velocity, CAST(NULL AS DOUBLE) AS true_track,
        CAST(NULL AS DOUBLE) AS vertical_rate, CAST(NULL AS VARCHAR) AS sensors, baro_altitude AS geo_altitude,
-       CAST(NULL AS VARCHAR) AS squawk, CAST(NULL AS BOOLEAN) AS spi, CAST(NULL AS BIGINT) AS position_source
+       CAST(NULL AS BIGINT) AS squawk, CAST(NULL AS BOOLEAN) AS spi, CAST(NULL AS BIGINT) AS position_source,
+       flight_time, {STAMP} AS processed_at
 FROM flights""",
 
     "pipeline_country_stats": _pipeline_stats(),

@@ -17,14 +17,21 @@ from flightlake.operators import marts, profile
 from flightlake.operators.dedupe import append_unique, duplicate_count, keep_first
 from flightlake.operators.geofence import airport_distance
 from flightlake.operators.phase import flight_phase
-from flightlake.operators.silver import to_silver
+from flightlake.operators.silver import report_silver, to_silver
 from flightlake.operators.stats import country_stats, daily_summary
 from flightlake.plans.pipeline import run as run_pipeline
 from flightlake.plans.pipeline import run_bronze
+from flightlake.sources.sinks import write_overwrite
 from flightlake.plans.standin import load_flights, load_tables, states_from_flights
 from flightlake.session import scratch_path
 from flightlake.sources.inline import airports_frame
-from flightlake.sources.readers import bronze_from_snapshots, read_layer, read_snapshots, with_source_file
+from flightlake.sources.readers import (
+    bronze_from_snapshots,
+    read_layer,
+    read_snapshots,
+    with_source_file,
+    with_source_folder,
+)
 from flightlake.streaming.incremental import dedupe_stream, run_available_now, silver_stream
 
 # Batch stamp used by every registered query (a run parameter; zone-free so both engines agree).
@@ -262,6 +269,62 @@ def q_incremental_silver_json(spark, sf_dir):
     return read_layer(spark, sink).drop("event_time")
 
 
+def q_states_explode_outer(spark, sf_dir):
+    """Documents whose state list is NULL (here: the rows without a callsign) keep one row."""
+    docs = states_from_flights(load_flights(spark, sf_dir))
+    first_callsign = F.get(F.get(F.col("states"), F.lit(0)), F.lit(1))
+    docs = docs.withColumn("states", F.when(first_callsign.isNull(), F.lit(None)).otherwise(F.col("states")))
+    return bronze_from_snapshots(docs, keep_empty=True)
+
+
+def q_describe_long(spark, sf_dir):
+    df = profile.describe_long(load_flights(spark, sf_dir), ["baro_altitude", "velocity"])
+    return df.select("summary", r6("baro_altitude"), r6("velocity"))
+
+
+def q_preview(spark, sf_dir):
+    """G1: the first five rows in a fixed order (the limit is the feature)."""
+    rows = load_flights(spark, sf_dir).select("event_id", "icao24", "callsign", "origin_country", "baro_altitude")
+    return profile.preview(rows, ["event_id"], 5)
+
+
+def q_month_axis(spark, sf_dir):
+    return cal.month_axis(cal.calendar_for(load_flights(spark, sf_dir), "flight_time"))
+
+
+def q_quarter_axis(spark, sf_dir):
+    return cal.quarter_axis(cal.calendar_for(load_flights(spark, sf_dir), "flight_time"))
+
+
+def q_gold_folders(spark, sf_dir):
+    """Two gold tables written to their folders, read back as one scan (schemas merged,
+    ``_SUCCESS`` skipped), each row tagged with the folder it came from."""
+    lake = scratch_path(spark, "gold-folders")
+    write_overwrite(_stats(spark, sf_dir), f"{lake}/country_stats")
+    write_overwrite(daily_summary(load_flights(spark, sf_dir), stamp()), f"{lake}/daily_summary")
+    both = with_source_folder(read_layer(spark, f"{lake}/country_stats", f"{lake}/daily_summary", merge_schema=True))
+    return both.select("source_table", "origin_country", "processed_at", "flight_count", r6("avg_speed_ms"),
+                       "count_climbing", r6("avg_altitude_m"), "total_global_flights")
+
+
+def q_report_silver(spark, sf_dir):
+    """The older silver layout (17 bronze columns, ``long``/``lat``, flight time and stamp)
+    written as parquet, read back through the report's declared types and renamed to current names."""
+    f = load_flights(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    legacy = f.select(
+        "icao24", "callsign", "origin_country", "time_position", F.col("time_position").alias("last_contact"),
+        F.col("longitude").alias("long"), F.col("latitude").alias("lat"), "baro_altitude",
+        (F.col("baro_altitude") < 100).alias("on_ground"), "velocity", null.cast("double").alias("true_track"),
+        null.cast("double").alias("vertical_rate"), null.alias("sensors"), F.col("baro_altitude").alias("geo_altitude"),
+        null.alias("squawk"), null.cast("boolean").alias("spi"), null.cast("bigint").alias("position_source"),
+        "flight_time", stamp().alias("processed_at"),
+    )
+    path = scratch_path(spark, "silver-legacy")
+    write_overwrite(legacy, path)
+    return report_silver(read_layer(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flight_phase": q_flight_phase,
     "country_stats": q_country_stats,
@@ -299,6 +362,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_unique": q_append_unique,
     "incremental_silver": q_incremental_silver,
     "incremental_silver_json": q_incremental_silver_json,
+    "states_explode_outer": q_states_explode_outer,
+    "describe_long": q_describe_long,
+    "preview": q_preview,
+    "month_axis": q_month_axis,
+    "quarter_axis": q_quarter_axis,
+    "gold_folders": q_gold_folders,
+    "report_silver": q_report_silver,
 }
 
 # Registered without a SQL oracle (rows-only check); see each function's docstring.

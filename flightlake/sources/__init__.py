@@ -7,5 +7,6 @@ from flightlake.sources.readers import (  # noqa: F401
     read_snapshots,
     snapshot_states,
     with_source_file,
+    with_source_folder,
 )
 from flightlake.sources.sinks import write_append, write_overwrite, write_tables  # noqa: F401

@@ -51,6 +51,11 @@ def with_source_file(df: DataFrame, name: str = "source_file", full_path: bool =
     return df.withColumn(name, F.col(field))
 
 
+def with_source_folder(df: DataFrame, name: str = "source_table") -> DataFrame:
+    """The folder (table) each row was read from, for scans over several folders."""
+    return df.withColumn(name, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
 def snapshot_states(raw: DataFrame, keep_empty: bool = False, keep_time: bool = True) -> DataFrame:
     """One row per state array. ``keep_empty`` keeps a NULL row for NULL/empty ``states``."""
     gen = F.explode_outer("states") if keep_empty else F.explode("states")

@@ -104,3 +104,12 @@ def test_quality_profile_bundle(spark):
     assert prof["preview"].count() == 2
     text = {r.summary: r.velocity for r in profile.describe_text(df, ["velocity"]).collect()}
     assert text["count"] == "2" and text["mean"] == "1.0"
+
+
+def test_describe_long_matches_describe(spark):
+    df = spark.createDataFrame([(1.0, 10.0), (2.0, None), (4.0, 30.0), (None, 40.0)], "a DOUBLE, b DOUBLE")
+    got = {r.summary: (r.a, r.b) for r in profile.describe_long(df, ["a", "b"]).collect()}
+    want = {r.summary: (float(r.a), float(r.b)) for r in df.describe().collect()}
+    assert set(got) == set(want)
+    for stat in got:
+        assert all(abs(x - y) < 1e-9 for x, y in zip(got[stat], want[stat])), stat

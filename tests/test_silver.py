@@ -62,3 +62,20 @@ def test_dedupe_is_idempotent(spark):
 def test_legacy_rename(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "long DOUBLE, lat DOUBLE")
     assert legacy_to_current(df).columns == ["longitude", "latitude"]
+
+
+def test_report_declared_types_and_rename(spark):
+    from flightlake.operators.silver import declared_types, report_silver
+    df = spark.createDataFrame(
+        [("a1", "BAW1", "7700", "0042", "51.5", "-0.1", "2024-01-01 10:00:00", "x")],
+        "icao24 STRING, callsign STRING, squawk STRING, time_position STRING, lat STRING, long STRING, "
+        "flight_time STRING, extra STRING",
+    )
+    row = report_silver(df).collect()[0]
+    # declared order, unknown columns dropped, text parsed with try_cast, names updated
+    assert report_silver(df).columns == ["icao24", "callsign", "time_position", "longitude", "latitude", "squawk",
+                                         "flight_time"]
+    assert row.squawk == 7700 and row.time_position == 42 and row.latitude == 51.5 and row.longitude == -0.1
+    assert str(row.flight_time) == "2024-01-01 10:00:00"
+    bad = spark.createDataFrame([("n/a",)], "squawk STRING")
+    assert declared_types(bad).collect()[0].squawk is None

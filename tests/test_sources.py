@@ -110,3 +110,15 @@ def test_literal_tables(spark):
     assert smoke.agg(F.sum("Max_Passengers")).first()[0] == 1449
     quoted = rows_frame(spark, [("it's", None)], "a STRING, b DOUBLE").first()
     assert quoted.a == "it's" and quoted.b is None
+
+
+def test_source_folder_over_two_tables(spark, tmp_dir):
+    from flightlake.sources import with_source_folder
+    a, b = os.path.join(tmp_dir, "stats"), os.path.join(tmp_dir, "summary")
+    write_overwrite(spark.createDataFrame([("X", 3)], "origin_country STRING, flight_count BIGINT"), a)
+    write_overwrite(spark.createDataFrame([(7,)], "total_global_flights BIGINT"), b)
+    both = with_source_folder(read_layer(spark, a, b, merge_schema=True))
+    rows = {r.source_table: r for r in both.collect()}
+    assert set(rows) == {"stats", "summary"}
+    assert rows["stats"].flight_count == 3 and rows["stats"].total_global_flights is None
+    assert rows["summary"].total_global_flights == 7 and rows["summary"].origin_country is None
