@@ -16,10 +16,32 @@ from flightlake.sources.readers import read_layer
 from flightlake.sources.sinks import write_append, write_overwrite
 
 
+# Appended gold tables are partitioned by the run's date, so reading one run back (and any report
+# restricted to recent runs) prunes to that folder instead of scanning the whole history.
+RUN_PARTITION = "run_date"
+
+
+def _utc(ts: datetime | None) -> datetime:
+    ts = ts or datetime.now(timezone.utc)
+    return ts.astimezone(timezone.utc).replace(tzinfo=None) if ts.tzinfo else ts
+
+
 def run_stamp(ts: datetime | None = None) -> Column:
     """One batch stamp for every table of a run (a literal, not ``current_timestamp`` per action)."""
-    ts = ts or datetime.now(timezone.utc)
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    return F.lit(_utc(ts).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
+def run_day(ts: datetime | None = None) -> Column:
+    """The run's date (UTC), the partition value of the appended gold tables."""
+    return F.lit(_utc(ts).date().isoformat()).cast("date")
+
+
+def read_run(spark: SparkSession, path: str, ts: datetime) -> DataFrame:
+    """The rows one run appended to a gold table: partition pruning on the run date, then the stamp."""
+    rows = read_layer(spark, path)
+    return rows.filter((F.col(RUN_PARTITION) == run_day(ts)) & (F.col("processed_at") == run_stamp(ts))).drop(
+        RUN_PARTITION
+    )
 
 
 def flight_analytics(silver: DataFrame, stamp: Column, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -43,20 +65,24 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: Da
              ts: datetime | None = None) -> dict[str, str]:
     """Read silver once (persisted), write the four gold tables.
 
-    ``flight_analytics`` is written first and ``country_stats`` is computed from the written table,
-    so the window runs once and a lost executor never forces it to be recomputed from scratch.
+    ``flight_analytics`` is written first and ``country_stats`` is computed from this run's rows of
+    the written table (one partition folder), so the window runs once and a lost executor never
+    forces it to be recomputed from scratch. Appended tables are partitioned by ``run_date``.
     """
-    stamp = run_stamp(ts)
+    ts = _utc(ts)
+    stamp, day = run_stamp(ts), run_day(ts)
     airports = airports if airports is not None else airports_frame(spark)
     base = gold_path.rstrip("/")
+    by_run = [RUN_PARTITION]
     silver = read_layer(spark, silver_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_append(flight_analytics(silver, stamp), f"{base}/flight_analytics")
-        written = read_layer(spark, f"{base}/flight_analytics")
-        run_rows = written.filter(F.col("processed_at") == stamp)
-        write_append(country_stats(run_rows), f"{base}/country_stats")
+        write_append(flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day), f"{base}/flight_analytics",
+                     by_run)
+        run_rows = read_run(spark, f"{base}/flight_analytics", ts)
+        write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
         write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
-        write_append(airport_distance(silver, airports), f"{base}/airport_distance")
+        write_append(airport_distance(silver, airports).withColumn(RUN_PARTITION, day), f"{base}/airport_distance",
+                     by_run)
     finally:
         silver.unpersist()
     return {n: f"{base}/{n}" for n in ("flight_analytics", "country_stats", "daily_summary", "airport_distance")}

@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Streaming de-duplication state lives in RocksDB (off-heap, spills to local disk, checkpointed
+    # incrementally to the shared checkpoint folder) instead of executor heap maps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -35,6 +35,12 @@ def test_pipeline_end_to_end_is_repeat_safe(spark, tmp_dir):
     assert read_layer(spark, os.path.join(out, "silver", "cleaned_flights")).count() == expected
     assert read_layer(spark, paths["country_stats"]).select("processed_at").distinct().count() == 2
     assert read_layer(spark, paths["daily_summary"]).count() == 1  # overwritten each run
+    # one run's rows are read back from their own partition folder only
+    from flightlake.plans.gold import read_run
+    first = read_run(spark, paths["flight_analytics"], datetime(2024, 2, 1))
+    assert first.count() == expected
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan and "(run_date#" in plan
 
 
 def _write(path, name, docs):
