@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from flightlake.operators.silver import to_silver
-from flightlake.plans.pipeline import run
+from flightlake.plans.pipeline import run, run_incremental
 from flightlake.plans.standin import load_flights, states_from_flights
 from flightlake.sources.readers import read_layer, read_snapshots
 from flightlake.streaming.incremental import run_available_now, silver_stream
@@ -68,3 +68,18 @@ def test_incremental_stream_dedupes_across_triggers(spark, tmp_dir):
     # nothing new: a third trigger adds nothing
     run_available_now(silver_stream(spark, raw), sink, ckpt)
     assert read_layer(spark, sink).count() == 3
+
+
+def test_incremental_pipeline_reads_only_new_files(spark, tmp_dir):
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "lake")
+    _write(raw, "a.json", [{"time": 1700000000, "states": [_state("a1", 1700000000), _state("a2", 1700000000)]}])
+    paths = run_incremental(spark, raw, out, ts=datetime(2024, 2, 1))
+    silver = os.path.join(out, "silver", "cleaned_flights")
+    assert read_layer(spark, silver).count() == 2
+    assert read_layer(spark, paths["daily_summary"]).first().total_global_flights == 2
+    # a later landing file repeats one key and adds one; the old file is not read again
+    _write(raw, "b.json", [{"time": 1700000060, "states": [_state("a2", 1700000000), _state("a3", 1700000060)]}])
+    run_incremental(spark, raw, out, ts=datetime(2024, 2, 2))
+    assert sorted(r.icao24 for r in read_layer(spark, silver).collect()) == ["a1", "a2", "a3"]
+    assert read_layer(spark, paths["daily_summary"]).first().total_global_flights == 3
+    assert "event_time" not in read_layer(spark, silver).columns
