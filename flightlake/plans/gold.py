@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from flightlake.operators.geofence import airport_distance
 from flightlake.operators.phase import flight_phase
 from flightlake.operators.stats import country_stats, daily_summary
+from flightlake.session import scratch_scope
 from flightlake.sources.inline import airports_frame
 from flightlake.sources.readers import read_layer
 from flightlake.sources.sinks import write_append, write_overwrite
@@ -76,13 +77,14 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: Da
     by_run = [RUN_PARTITION]
     silver = read_layer(spark, silver_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_append(flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day), f"{base}/flight_analytics",
-                     by_run)
-        run_rows = read_run(spark, f"{base}/flight_analytics", ts)
-        write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
-        write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
-        write_append(airport_distance(silver, airports).withColumn(RUN_PARTITION, day), f"{base}/airport_distance",
-                     by_run)
+        with scratch_scope(spark):  # per-run lag summaries are dropped once the tables are written
+            phased = flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day)
+            write_append(phased, f"{base}/flight_analytics", by_run)
+            run_rows = read_run(spark, f"{base}/flight_analytics", ts)
+            write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
+            write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
+            near = airport_distance(silver, airports).withColumn(RUN_PARTITION, day)
+            write_append(near, f"{base}/airport_distance", by_run)
     finally:
         silver.unpersist()
     return {n: f"{base}/{n}" for n in ("flight_analytics", "country_stats", "daily_summary", "airport_distance")}

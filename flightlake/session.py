@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,15 +69,43 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Open ``scratch_scope`` blocks, innermost last; each collects the folders created inside it.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the checkpoint root for one job's written intermediates."""
     root = checkpoint_root(spark)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediates written inside the block when it ends (success or failure).
+
+    For whole jobs (e.g. the hourly gold run) whose outputs are final tables: the per-run summaries
+    and hot-row copies in the shared folder are not needed afterwards, so they do not pile up run
+    after run. Only folders created by ``scratch_path`` inside this block are removed (through the
+    Hadoop file system of the path, so it works on any shared store). Frames returned out of the
+    block must not read them lazily afterwards.
+    """
+    created: list[str] = []
+    _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        _SCOPES.remove(created)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in created:
+            jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(conf).delete(jpath, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet to the shared checkpoint folder and return a frame reading it (lineage cut).
 

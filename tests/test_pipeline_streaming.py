@@ -83,3 +83,16 @@ def test_incremental_pipeline_reads_only_new_files(spark, tmp_dir):
     assert sorted(r.icao24 for r in read_layer(spark, silver).collect()) == ["a1", "a2", "a3"]
     assert read_layer(spark, paths["daily_summary"]).first().total_global_flights == 3
     assert "event_time" not in read_layer(spark, silver).columns
+
+
+def test_gold_run_removes_its_intermediates(spark, tmp_dir):
+    from flightlake.plans.gold import run_gold
+    from flightlake.session import checkpoint_root
+    silver = os.path.join(tmp_dir, "silver")
+    load_flights(spark, SF).withColumn("processed_at", F.current_timestamp()).write.parquet(silver)
+    root = checkpoint_root(spark)
+    before = set(os.listdir(root))
+    run_gold(spark, silver, os.path.join(tmp_dir, "gold"), ts=datetime(2024, 2, 1))
+    assert not [d for d in set(os.listdir(root)) - before if d.startswith("lag-")]
+    countries = load_flights(spark, SF).select("origin_country").distinct().count()
+    assert read_layer(spark, os.path.join(tmp_dir, "gold", "country_stats")).count() == countries
