@@ -7,6 +7,7 @@ doubles are rounded to 6 decimals so results compare across engines; the matchin
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime
 
@@ -325,7 +326,17 @@ def q_report_silver(spark, sf_dir):
     return report_silver(read_layer(spark, path))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Pin the session zone to UTC before the plan is built: epoch <-> text conversions (silver's
+    flight time) resolve their zone at analysis, and the oracles are written for UTC."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flight_phase": q_flight_phase,
     "country_stats": q_country_stats,
     "daily_summary": q_daily_summary,
@@ -371,5 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_silver": q_report_silver,
 }
 
+QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}
+
 # Registered without a SQL oracle (rows-only check); see each function's docstring.
 NO_ORACLE = {"incremental_silver_json"}
