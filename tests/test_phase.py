@@ -84,3 +84,10 @@ def test_phase_counts_sum_to_rows(spark):
     phased = flight_phase(flights, tiebreak=["event_id"])
     counts = {r.flight_phase: r["count"] for r in phased.groupBy("flight_phase").count().collect()}
     assert counts == {"Climbing": 4630, "Cruising": 320, "Descending": 4653, "Initializing": 397}
+
+
+def test_lag_on_empty_input(spark):
+    df = _flights(spark, [])
+    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt")
+    assert got.collect() == [] and got.columns == ["icao24", "flight_time", "eid", "baro_altitude", "prev_alt"]
+    assert flight_phase(df, tiebreak=["eid"]).count() == 0
