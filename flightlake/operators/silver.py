@@ -60,9 +60,19 @@ def to_silver(
     The surviving row of a duplicated key is the smallest by the remaining columns (deterministic);
     the de-duplication combines copies map-side first (see ``keep_first``).
     """
+    return keep_first(silver_rows(raw, run_ts, time_index, drop_blank, drop_null_coords), SILVER_KEYS)
+
+
+def silver_rows(
+    raw: DataFrame,
+    run_ts: Column | None = None,
+    time_index: int = 4,
+    drop_blank: bool = False,
+    drop_null_coords: bool = False,
+) -> DataFrame:
+    """The row-wise part of L1 (explode, positions, filters, casts), before the key de-duplication."""
     states = raw.select(F.explode("states").alias("s"))
-    cleaned = clean_states(project_states(states, time_index), run_ts, drop_blank, drop_null_coords)
-    return keep_first(cleaned, SILVER_KEYS)
+    return clean_states(project_states(states, time_index), run_ts, drop_blank, drop_null_coords)
 
 
 def legacy_to_current(df: DataFrame) -> DataFrame:

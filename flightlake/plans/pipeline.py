@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from flightlake.operators.dedupe import append_unique
-from flightlake.operators.silver import SILVER_KEYS, to_silver
+from flightlake.operators.silver import SILVER_KEYS, silver_rows, to_silver
 from flightlake.plans.gold import run_gold, run_stamp
 from flightlake.sources.readers import bronze_from_snapshots, read_layer, read_snapshots
 from flightlake.sources.sinks import write_append, write_overwrite
@@ -34,11 +34,16 @@ def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int
 
 
 def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime | None = None) -> str:
-    """L1 + C6: clean the landed snapshots and append only keys not yet stored."""
-    silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))
+    """L1 + C6: clean the landed snapshots and append only keys not yet stored.
+
+    With a stored table, ``append_unique`` de-duplicates the new rows and drops stored keys in one
+    aggregation (the same survivor rule as ``to_silver``), so the rows are shuffled once, not twice.
+    """
     stored = _stored(spark, silver_path)
-    if stored is not None:
-        silver = append_unique(stored, silver, SILVER_KEYS)
+    if stored is None:
+        silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))
+    else:
+        silver = append_unique(stored, silver_rows(read_snapshots(spark, raw_dir), run_stamp(ts)), SILVER_KEYS)
     write_append(silver, silver_path)
     return silver_path
 

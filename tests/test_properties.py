@@ -66,6 +66,8 @@ def test_keep_first_and_append_unique_match_brute_force(spark, rows):
         if (row[0], row[1]) not in best or rank < best[(row[0], row[1])][0]:
             best[(row[0], row[1])] = (rank, row)
     assert got == sorted((r for _, r in best.values()), key=repr)
+    # with nothing stored, the append keeps the same survivor per key as keep_first
+    assert sorted(map(tuple, append_unique(df.limit(0), df, ["k", "t"]).collect()), key=repr) == got
     # appending the same batch on top of its own de-duplicated copy adds nothing
     assert append_unique(keep_first(df, ["k", "t"]), df, ["k", "t"]).count() == 0
 
