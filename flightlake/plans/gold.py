@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlake.operators.geofence import airport_distance
@@ -64,7 +63,7 @@ def gold_tables(silver: DataFrame, airports: DataFrame, stamp: Column,
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: DataFrame | None = None,
              ts: datetime | None = None) -> dict[str, str]:
-    """Read silver once (persisted), write the four gold tables.
+    """Write the four gold tables from the stored silver table.
 
     ``flight_analytics`` is written first and ``country_stats`` is computed from this run's rows of
     the written table (one partition folder), so the window runs once and a lost executor never
@@ -75,16 +74,16 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: Da
     airports = airports if airports is not None else airports_frame(spark)
     base = gold_path.rstrip("/")
     by_run = [RUN_PARTITION]
-    silver = read_layer(spark, silver_path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        with scratch_scope(spark):  # per-run lag summaries are dropped once the tables are written
-            phased = flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day)
-            write_append(phased, f"{base}/flight_analytics", by_run)
-            run_rows = read_run(spark, f"{base}/flight_analytics", ts)
-            write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
-            write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
-            near = airport_distance(silver, airports).withColumn(RUN_PARTITION, day)
-            write_append(near, f"{base}/airport_distance", by_run)
-    finally:
-        silver.unpersist()
+    # Silver is not cached: each table reads only the columns it needs from parquet (the summary
+    # reads none, the geofence four), which costs less than holding every column of silver in
+    # executor storage.
+    silver = read_layer(spark, silver_path)
+    with scratch_scope(spark):  # per-run lag summaries are dropped once the tables are written
+        phased = flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day)
+        write_append(phased, f"{base}/flight_analytics", by_run)
+        run_rows = read_run(spark, f"{base}/flight_analytics", ts)
+        write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
+        write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
+        near = airport_distance(silver, airports).withColumn(RUN_PARTITION, day)
+        write_append(near, f"{base}/airport_distance", by_run)
     return {n: f"{base}/{n}" for n in ("flight_analytics", "country_stats", "daily_summary", "airport_distance")}
