@@ -9,14 +9,17 @@ from flightlake.fixed import BRONZE_FLOAT_POSITIONS, STATE_FIELDS
 from flightlake.functions.columns import safe_cast, state_field
 
 
-def read_snapshots(spark: SparkSession, path: str | list[str], corrupt_col: str | None = None) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str | list[str], corrupt_col: str | None = None,
+                   multi_line: bool = False) -> DataFrame:
     """A1: landed snapshot documents ``{"time": .., "states": [[..], ..]}`` with a fixed schema.
 
     No inference pass. Documents that do not parse keep NULL fields; with ``corrupt_col`` their raw
     text is kept in that column. Mixed number/boolean/text values inside a state arrive as text.
+    ``multi_line`` reads files that hold one (pretty-printed) document each; such a file is one task,
+    while line-delimited files are split across tasks.
     """
     schema = schemas.RAW_SNAPSHOT
-    reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", "false")
+    reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower())
     if corrupt_col:
         schema = schema.add(corrupt_col, "string")
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)

@@ -122,3 +122,12 @@ def test_source_folder_over_two_tables(spark, tmp_dir):
     assert set(rows) == {"stats", "summary"}
     assert rows["stats"].flight_count == 3 and rows["stats"].total_global_flights is None
     assert rows["summary"].total_global_flights == 7 and rows["summary"].origin_country is None
+
+
+def test_pretty_printed_snapshot_file(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pretty")
+    os.makedirs(path)
+    with open(os.path.join(path, "snap.json"), "w") as fh:
+        json.dump({"time": 1700000000, "states": [STATE_A, STATE_SHORT]}, fh, indent=2)
+    raw = read_snapshots(spark, path, multi_line=True)
+    assert [r.icao24 for r in bronze_from_snapshots(raw).collect()] == ["abc123", "def456"]
