@@ -85,8 +85,11 @@ FROM flights f CROSS JOIN airports a
 WHERE {dist} < CAST({radius} AS DOUBLE)"""
 
 
-def _silver_ctes() -> str:
-    """CTE chain ending in ``silver``: the silver job's rows over the stand-in flights."""
+def _silver_ctes(strict: bool = False) -> str:
+    """CTE chain ending in ``silver``: the silver job's rows over the stand-in flights.
+
+    ``strict`` adds the optional filters: blank callsigns and NULL coordinates removed before the
+    de-duplication."""
     rest = ["callsign", "origin_country", "longitude", "latitude", "baro_altitude", "velocity", "true_track",
             "vertical_rate", "flight_time", "processed_at"]
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
@@ -96,7 +99,8 @@ def _silver_ctes() -> str:
          CAST(NULL AS DOUBLE) AS true_track, CAST(NULL AS DOUBLE) AS vertical_rate,
          strftime(make_timestamp(time_position * 1000000), '%Y-%m-%d %H:%M:%S') AS flight_time,
          {STAMP} AS processed_at
-  FROM flights WHERE callsign IS NOT NULL
+  FROM flights WHERE callsign IS NOT NULL{
+    " AND trim(callsign) <> '' AND latitude IS NOT NULL AND longitude IS NOT NULL" if strict else ""}
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY icao24, time_position ORDER BY {order}) AS rn FROM s
 ), silver AS (
@@ -165,6 +169,10 @@ SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM flights"""
     "geofence_wide": _geofence(1.0),
     "silver_clean": _silver(),
     "silver_from_json": _silver(),
+    "silver_strict": f"WITH {_silver_ctes(strict=True)}\nSELECT * FROM silver",
+
+    "high_flyer_count": f"""WITH {FLIGHTS}
+SELECT count(*) AS row_count FROM flights WHERE baro_altitude > 10000""",
 
     "states_explode": f"""WITH {FLIGHTS}
 SELECT time_position AS snapshot_time, {", ".join(f"{e} AS {a}" for e, a in STATE_COLUMNS)}

@@ -91,6 +91,17 @@ def q_silver_clean(spark, sf_dir):
     return to_silver(states_from_flights(load_flights(spark, sf_dir)), stamp())
 
 
+def q_silver_strict(spark, sf_dir):
+    """B9 + optional blank filter: the README's NULL-coordinate rule and blank callsigns removed."""
+    states = states_from_flights(load_flights(spark, sf_dir))
+    return to_silver(states, stamp(), drop_blank=True, drop_null_coords=True)
+
+
+def q_high_flyer_count(spark, sf_dir):
+    """B10 + D6: the notebook's count of rows above the cruising threshold, as a one-row frame."""
+    return profile.row_count(profile.high_flyers(load_flights(spark, sf_dir)))
+
+
 def q_silver_from_json(spark, sf_dir):
     """A1 + A6 + L1: snapshots written as JSON text to the shared folder, read back with the fixed schema."""
     path = scratch_path(spark, "snapshots-json")
@@ -380,6 +391,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarter_axis": q_quarter_axis,
     "gold_folders": q_gold_folders,
     "report_silver": q_report_silver,
+    "silver_strict": q_silver_strict,
+    "high_flyer_count": q_high_flyer_count,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}
