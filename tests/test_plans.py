@@ -67,3 +67,17 @@ def test_top_groups_by_count_is_take_ordered(spark, tmp_dir):
     silver = _silver_table(spark, tmp_dir)
     plan = plan_of(profile.top_groups_by_count(silver, "origin_country"))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from flightlake.session import checkpoint_root
+    stub = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None),
+    )
+    with pytest.raises(RuntimeError, match="shared folder"):
+        checkpoint_root(stub)
