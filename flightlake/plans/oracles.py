@@ -169,6 +169,7 @@ SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM flights"""
     "geofence_wide": _geofence(1.0),
     "silver_clean": _silver(),
     "silver_from_json": _silver(),
+    "incremental_silver_exact": _silver(),
     "silver_strict": f"WITH {_silver_ctes(strict=True)}\nSELECT * FROM silver",
 
     "high_flyer_count": f"""WITH {FLIGHTS}

@@ -5,23 +5,19 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from flightlake.operators.dedupe import append_unique
 from flightlake.operators.silver import SILVER_KEYS, silver_rows, to_silver
 from flightlake.plans.gold import run_gold, run_stamp
-from flightlake.sources.readers import bronze_from_snapshots, read_layer, read_snapshots
+from flightlake.sources.readers import bronze_from_snapshots, read_snapshots, read_stored
 from flightlake.sources.sinks import write_append, write_overwrite
-from flightlake.streaming.incremental import run_available_now, silver_stream
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet."""
-    try:
-        return read_layer(spark, path)
-    except AnalysisException:
-        return None
+from flightlake.streaming.incremental import (
+    run_available_now,
+    run_exact_available_now,
+    silver_rows_stream,
+    silver_stream,
+)
 
 
 def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int | None = None) -> str:
@@ -39,7 +35,7 @@ def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime
     With a stored table, ``append_unique`` de-duplicates the new rows and drops stored keys in one
     aggregation (the same survivor rule as ``to_silver``), so the rows are shuffled once, not twice.
     """
-    stored = _stored(spark, silver_path)
+    stored = read_stored(spark, silver_path)
     if stored is None:
         silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))
     else:
@@ -56,15 +52,21 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, ts: datetime | None = N
 
 
 def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, ts: datetime | None = None,
-                    delay: str = "2 hours") -> dict[str, str]:
+                    delay: str = "2 hours", exact: bool = False) -> dict[str, str]:
     """L8 with J1/J2: only landing files not seen before are read (the stream's checkpoint, kept in
     the lake next to the table, remembers them), keys stay unique across runs within the watermark
     ``delay``, then the gold job runs on the stored silver table.
 
     Each call is one ``availableNow`` trigger, so the scheduler's hourly cadence is unchanged.
+    ``exact=True`` appends each micro-batch through ``append_unique`` instead (no watermark bound,
+    deterministic survivor; each batch reads the stored key columns).
     """
     silver_path = os.path.join(out_dir, "silver", "cleaned_flights")
-    checkpoint = os.path.join(out_dir, "_checkpoints", "silver_stream")
-    stream = silver_stream(spark, raw_dir, run_stamp(ts), delay=delay).drop("event_time")
-    run_available_now(stream, silver_path, checkpoint)
+    if exact:
+        checkpoint = os.path.join(out_dir, "_checkpoints", "silver_exact")
+        run_exact_available_now(silver_rows_stream(spark, raw_dir, run_stamp(ts)), silver_path, checkpoint)
+    else:
+        checkpoint = os.path.join(out_dir, "_checkpoints", "silver_stream")
+        stream = silver_stream(spark, raw_dir, run_stamp(ts), delay=delay).drop("event_time")
+        run_available_now(stream, silver_path, checkpoint)
     return run_gold(spark, silver_path, os.path.join(out_dir, "gold"), ts=ts)

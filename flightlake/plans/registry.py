@@ -33,7 +33,13 @@ from flightlake.sources.readers import (
     with_source_file,
     with_source_folder,
 )
-from flightlake.streaming.incremental import dedupe_stream, run_available_now, silver_stream
+from flightlake.streaming.incremental import (
+    dedupe_stream,
+    run_available_now,
+    run_exact_available_now,
+    silver_rows_stream,
+    silver_stream,
+)
 
 # Batch stamp used by every registered query (a run parameter; zone-free so both engines agree).
 RUN_TS = "2024-02-01 00:00:00"
@@ -266,6 +272,19 @@ def q_incremental_silver(spark, sf_dir):
     return read_layer(spark, sink).select("user_id", "ts")
 
 
+def q_incremental_silver_exact(spark, sf_dir):
+    """J1 + C6: the same two landings as ``incremental_silver_json`` (the second repeats part of the
+    first), each micro-batch appended through ``append_unique``: deterministic, so it has an oracle."""
+    landing = scratch_path(spark, "landing-stream")
+    sink, ckpt = scratch_path(spark, "silver-exact"), scratch_path(spark, "silver-exact-ckpt")
+    states = states_from_flights(load_flights(spark, sf_dir))
+    states.filter(F.col("time") < F.lit(1705000000)).write.mode("append").json(landing)
+    run_exact_available_now(silver_rows_stream(spark, landing, stamp()), sink, ckpt)
+    states.write.mode("append").json(landing)
+    run_exact_available_now(silver_rows_stream(spark, landing, stamp()), sink, ckpt)
+    return read_layer(spark, sink)
+
+
 def q_incremental_silver_json(spark, sf_dir):
     """J1/J2 on landed snapshot JSON: two landing files (the second repeats part of the first) and a
     trigger after each; keys stay unique across triggers. The survivor of a key repeated inside one
@@ -393,6 +412,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_silver": q_report_silver,
     "silver_strict": q_silver_strict,
     "high_flyer_count": q_high_flyer_count,
+    "incremental_silver_exact": q_incremental_silver_exact,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}

@@ -5,6 +5,7 @@ from flightlake.sources.readers import (  # noqa: F401
     bronze_from_snapshots,
     read_layer,
     read_snapshots,
+    read_stored,
     snapshot_states,
     with_source_file,
     with_source_folder,

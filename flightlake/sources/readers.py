@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlake import schemas
@@ -48,6 +49,14 @@ def read_layer(
     return reader.parquet(*paths)
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None when nothing has been written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def with_source_file(df: DataFrame, name: str = "source_file", full_path: bool = False) -> DataFrame:
     """Keep the file each row came from (hidden ``_metadata`` column of file sources)."""
     field = "_metadata.file_path" if full_path else "_metadata.file_name"
