@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from flightlake import schemas
 from flightlake.fixed import BRONZE_FLOAT_POSITIONS, STATE_FIELDS
@@ -49,10 +50,14 @@ def read_layer(
     return reader.parquet(*paths)
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None when nothing has been written there yet."""
+def read_stored(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The parquet table at ``path``, or None when nothing has been written there yet.
+
+    With a known ``schema`` there is no footer-inference job (and an empty folder reads as empty).
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException:
         return None
 

@@ -74,7 +74,7 @@ def append_unique_batches(sink_path: str, keys: Sequence[str] = SILVER_KEYS):
     keys = list(keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_stored(batch.sparkSession, sink_path)
+        stored = read_stored(batch.sparkSession, sink_path, batch.schema)
         fresh = keep_first(batch, keys) if stored is None else append_unique(stored, batch, keys)
         write_append(fresh, sink_path)
 
