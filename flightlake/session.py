@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     # incrementally to the shared checkpoint folder) instead of executor heap maps.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # The library's streams emit rows as they arrive (de-duplication, no windowed aggregates), so an
+    # empty micro-batch at the end of each availableNow trigger would only evict expired state early;
+    # the next run's first batch evicts it anyway.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 
