@@ -69,14 +69,33 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     return query
 
 
-def append_unique_batches(sink_path: str, keys: Sequence[str] = SILVER_KEYS):
-    """A ``foreachBatch`` function appending only keys not yet stored at ``sink_path`` (C6 per batch)."""
+def append_unique_batches(sink_path: str, keys: Sequence[str] = SILVER_KEYS, range_col: str | None = "time_position"):
+    """A ``foreachBatch`` function appending only keys not yet stored at ``sink_path`` (C6 per batch).
+
+    ``range_col`` is a key column: a stored key outside the batch's [min, max] of it cannot match any
+    batch key, so the stored keys are filtered to that range (NULLs kept: NULL keys compare equal).
+    The filter reaches the parquet scan, whose row-group statistics skip older files' data, so a
+    batch does not read the whole history of keys. The batch is persisted while it is used twice.
+    """
     keys = list(keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_stored(batch.sparkSession, sink_path, batch.schema)
-        fresh = keep_first(batch, keys) if stored is None else append_unique(stored, batch, keys)
-        write_append(fresh, sink_path)
+        spark = batch.sparkSession
+        stored = read_stored(spark, sink_path, batch.schema)
+        if stored is None:
+            write_append(keep_first(batch, keys), sink_path)
+            return
+        batch = batch.persist()
+        try:
+            if range_col:
+                lo, hi = batch.agg(F.min(range_col), F.max(range_col)).first()
+                in_range = F.col(range_col).isNull()
+                if lo is not None:
+                    in_range = in_range | F.col(range_col).between(lo, hi)
+                stored = stored.filter(in_range)
+            write_append(append_unique(stored, batch, keys), sink_path)
+        finally:
+            batch.unpersist()
 
     return write
 

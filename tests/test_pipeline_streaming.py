@@ -117,6 +117,12 @@ def test_exact_stream_keeps_smallest_row_and_is_replay_safe(spark, tmp_dir):
     batch = silver_rows(read_snapshots(spark, raw))
     append_unique_batches(sink)(batch, 7)
     assert read_layer(spark, sink).count() == 3
+    # a key with a NULL time, landed twice in later files, is stored once (outside any time range)
+    _write(raw, "c.json", [{"time": 1700000120, "states": [_state("n1", None)]}])
+    run_exact_available_now(silver_rows_stream(spark, raw), sink, ckpt)
+    _write(raw, "d.json", [{"time": 1700000180, "states": [_state("n1", None), _state("a4", 1700000180)]}])
+    run_exact_available_now(silver_rows_stream(spark, raw), sink, ckpt)
+    assert sorted(r.icao24 for r in read_layer(spark, sink).collect()) == ["a1", "a2", "a3", "a4", "n1"]
 
 
 def test_incremental_pipeline_exact(spark, tmp_dir):
