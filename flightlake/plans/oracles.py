@@ -317,3 +317,5 @@ FROM flights GROUP BY origin_country""",
 
 # The bronze job's stored table holds the same rows as the exploded snapshots.
 SQL["bronze_layer"] = SQL["states_explode"]
+# The split (hot-group) path of the lag must give the plain window's rows.
+SQL["flight_phase_split"] = SQL["flight_phase"]

@@ -68,6 +68,15 @@ def q_flight_phase(spark, sf_dir):
     )
 
 
+def q_flight_phase_split(spark, sf_dir):
+    """E1/E2 through the hot-group path on the whole table: one 31-day bucket per aircraft and a
+    50-row threshold, so most aircraft (about 67 rows each) are cut into range parts and the rest stay
+    on the cold path. Must equal ``flight_phase`` row for row."""
+    phased = flight_phase(load_flights(spark, sf_dir), tiebreak=["event_id"], bucket_seconds=31 * 86400,
+                          hot_rows=50)
+    return phased.select("event_id", "icao24", "flight_time", "baro_altitude", "prev_alt", "flight_phase")
+
+
 def q_country_stats(spark, sf_dir):
     return _stats(spark, sf_dir).select(
         "origin_country", "processed_at", "flight_count", r6("avg_speed_ms"), "count_climbing", r6("avg_altitude_m")
@@ -368,6 +377,7 @@ def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flight_phase": q_flight_phase,
+    "flight_phase_split": q_flight_phase_split,
     "country_stats": q_country_stats,
     "daily_summary": q_daily_summary,
     "geofence": q_geofence,
