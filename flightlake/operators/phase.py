@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from flightlake.fixed import PHASE_DELTA
 from flightlake.functions.columns import flight_phase_expr, time_bucket
-from flightlake.operators.joins import broadcast_if_small
 from flightlake.session import materialize
 
 DEFAULT_BUCKET_SECONDS = 3600
@@ -128,8 +127,10 @@ def lag_by_key(
         out = _lag_within(staged, carry, ["_lg_k"], order_cols, value_col, "_lg_carry", out_col)
         return out.select(*df.columns, out_col)
 
+    # The exact hot-group count was observed above, so the broadcast bound needs no counting job.
+    small = n_hot <= MAX_HOT_GROUPS
     hot = hot.select("_lg_k", "_lg_carry")
-    hot_side, small = broadcast_if_small(hot, MAX_HOT_GROUPS)
+    hot_side = F.broadcast(hot) if small else hot
     hot_keys = hot_side.select("_lg_k")
     cold = _lag_within(staged.join(hot_keys, "_lg_k", "left_anti"), carry, ["_lg_k"], order_cols, value_col,
                        "_lg_carry", out_col)
