@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlake.fixed import DEFAULT_SUM_COLUMNS, TOP_N
-from flightlake.operators.joins import broadcast_if_small, semi_join_bounded
-from flightlake.session import materialize
+from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join_bounded
+from flightlake.session import materialize, materialize_counted
 
 
 def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
@@ -90,9 +90,10 @@ def map_points(df: DataFrame) -> DataFrame:
 def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
     """Many-to-one join of state rows to the latest statistics of their country.
 
-    The stats side (one row per country) is computed once and checkpointed, then broadcast after a
-    bounded row count proves it small, so the state rows are never shuffled by country (a country
-    may hold a large share of them). Beyond the bound it is a shuffled join with AQE skew splitting.
+    The stats side (one row per country) is written once to the shared folder, its exact row count
+    observed while writing; it is broadcast when that count proves it small, so the state rows are
+    never shuffled by country (a country may hold a large share of them). Beyond the bound it is a
+    shuffled join with AQE skew splitting.
     """
     latest = latest_country_stats(stats).select(
         "origin_country",
@@ -100,7 +101,9 @@ def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("avg_speed_ms").alias("country_avg_speed_ms"),
         F.col("count_climbing").alias("country_count_climbing"),
     )
-    side, _ = broadcast_if_small(materialize(latest, "latest-country-stats"))
+    side, rows = materialize_counted(latest, "latest-country-stats")
+    if rows <= DEFAULT_BROADCAST_ROWS:
+        side = F.broadcast(side)
     return flights.join(side, "origin_country", "left")
 
 

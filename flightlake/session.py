@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Settings every job relies on. AQE re-plans joins and partition counts at runtime and splits
 # skewed shuffle partitions; the session zone is pinned so epoch <-> text conversions are stable.
@@ -122,3 +122,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """``materialize`` plus the exact row count, observed while the table is written (no extra job).
+
+    The count is a proven size bound for a later broadcast of the written table.
+    """
+    seen = Observation(f"rows-{name}")
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, int(seen.get["rows"])
