@@ -14,7 +14,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlake.fixed import DEFAULT_SUM_COLUMNS, TOP_N
 from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join_bounded
-from flightlake.session import materialize, materialize_counted
+from flightlake.session import materialize_counted
+
+
+def _top_sums(df: DataFrame, key: str, measure: str, n: int, extra_aggs: Sequence) -> tuple[DataFrame, int]:
+    """The top-``n`` groups by sum and the number of groups they were chosen from (an upper bound on
+    their count, observed while the grouped sums were written)."""
+    sums, groups = materialize_counted(
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs),
+        "topn-sums",
+    )
+    cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
+    return sums.filter(F.col("_tg_sum") >= cut), groups
 
 
 def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
@@ -24,12 +35,7 @@ def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
     Equivalent to ``rank() OVER (ORDER BY s DESC) <= n`` over non-NULL sums: a group has rank <= n
     exactly when its sum is at least the n-th largest sum.
     """
-    sums = materialize(
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs),
-        "topn-sums",
-    )
-    cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
-    return sums.filter(F.col("_tg_sum") >= cut)
+    return _top_sums(df, key, measure, n, extra_aggs)[0]
 
 
 def aircraft_count(df: DataFrame) -> DataFrame:
@@ -56,11 +62,17 @@ def max_altitude_top_countries(df: DataFrame, n: int = TOP_N) -> DataFrame:
 def top_speeders(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """Distinct (velocity, callsign, country) rows of the ``n`` callsigns with the largest summed velocity.
 
-    The top callsigns are a semi-join filter side whose size is checked before it is broadcast, so
-    the state rows are filtered where they are read and never shuffled by callsign.
+    The top callsigns are a semi-join filter side whose size is proven before it is broadcast, so
+    the state rows are filtered where they are read and never shuffled by callsign. The proof is free
+    when there are few callsigns at all (the observed group count bounds the selection); otherwise
+    a bounded count of the selection decides.
     """
-    top = top_groups_by_sum(df, "callsign", "velocity", n)
-    rows = semi_join_bounded(df.select("velocity", "callsign", "origin_country"), top, ["callsign"])
+    top, groups = _top_sums(df, "callsign", "velocity", n, ())
+    states = df.select("velocity", "callsign", "origin_country")
+    if groups <= DEFAULT_BROADCAST_ROWS:
+        rows = states.join(F.broadcast(top.select("callsign")), ["callsign"], "left_semi")
+    else:
+        rows = semi_join_bounded(states, top, ["callsign"])
     return rows.distinct().orderBy(F.col("velocity").desc_nulls_last())
 
 
