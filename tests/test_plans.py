@@ -81,3 +81,11 @@ def test_no_local_checkpoint_folder_on_a_cluster():
     )
     with pytest.raises(RuntimeError, match="shared folder"):
         checkpoint_root(stub)
+
+
+def test_materialize_counted_observes_exact_rows(spark):
+    from flightlake.session import materialize_counted
+    written, rows = materialize_counted(spark.range(1234).filter("id % 3 = 0"), "count-test")
+    assert rows == 412 and written.count() == 412
+    empty, none = materialize_counted(spark.range(5).filter("id > 9"), "count-test")
+    assert none == 0 and empty.count() == 0
