@@ -4,33 +4,94 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flightlake.llm import feistel, html_tree, langid, packing, quality_forest, toxicity, warc
 from flightlake.llm.decontaminate import contaminated
 from flightlake.llm.ring import ring_shards
 from flightlake.llm.simhash_trie import simhash_components
 
+# A key for the given tables only; a deployment passes its own secret.
+DEMO_KEY = b"demo-key-not-a-secret"
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    """Place of the public vocabulary file on the executors (the operators take it as a parameter)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(modulus: int):
+    """crc32 of the id as text, modulo ``modulus`` (null id: of the empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_index(_table(spark, sf_dir, "pages"))
+
+
+def q_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), sequence=1024)
+
+
 def q_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring_shards(_table(spark, sf_dir, "documents"), shards=24)
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel.with_pseudonyms(_table(spark, sf_dir, "documents"), DEMO_KEY, keep=["doc_id"])
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = _table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, known))
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_forest.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality_forest.judge(docs, model, keep=["doc_id"])
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def q_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_tree.extract(pages, html_tree.fit(pages), keep=["page_id", "url"])
+
+
 def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = langid.fit(docs, training=_remainder(3) != 1)
+    found = langid.identify(docs, profiles, keep=["doc_id"])
+    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "cosine")
+
+
 QUERIES = {
+    "op1_warc_merge": q_warc,
+    "op2_shortest_pack": q_pack,
     "op3_ring_shards": q_ring,
+    "op4_feistel_pii": q_pii,
+    "op5_toxicity_ftrl": q_toxicity,
+    "op6_quality_forest": q_quality,
     "op7_simhash_trie": q_simhash,
+    "op8_html_tree": q_html,
     "op9_decontaminate": q_decontaminate,
+    "op10_language_hd": q_language,
 }
 
 # Brute force: every shingle of every document against every item's shingles, compared as text.
