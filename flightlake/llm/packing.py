@@ -10,8 +10,6 @@ packs. Pieces then find their sequence by their rank among the pieces of equal l
 from __future__ import annotations
 
 import heapq
-import os
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,65 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flightlake.llm.common import chunks, rank_in_groups
+from flightlake.llm.tokens import token_ids
 from flightlake.session import materialize
 
 SEQUENCE, END_ID = 1024, 0
-# Most remembered word pieces in a worker (about 150 bytes each).
-WORD_CACHE = 200_000
-_TOKENIZERS: dict[str, tuple[object, dict[str, bytes], tuple[str, ...]]] = {}
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-_RUN = re.compile(r"\s\s|^\s|\s$")
-
-
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        added = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-        _TOKENIZERS[path] = (tokenizer, {}, added)
-    return _TOKENIZERS[path]
-
-
-def token_bytes(texts: list[str | None], path: str, split_words: bool = True) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers, without added special tokens.
-
-    With ``split_words`` (right for byte-level BPE whose words take in one space before them, without a prefix
-    space) a text is cut at single spaces between two characters that are not white space; such a cut is always a cut
-    of the tokenizer's own, so ids of the parts put together are the ids of the text, and parts seen before are
-    remembered. Texts that hold an added token are encoded whole.
-    """
-    tokenizer, known, added = _tokenizer(path)
-
-    def encode(parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(parts, add_special_tokens=False)]
-
-    if not split_words:
-        return encode([t or "" for t in texts])
-    cut: list[list[str]] = []
-    fresh: dict[str, None] = {}
-    for text in texts:
-        text = text or ""
-        if any(a in text for a in added):
-            parts = [text]
-        elif _RUN.search(text):
-            parts = _SAFE.split(text)
-        else:
-            parts = text.split(" ") if text else []
-        # The first part stands alone; each later one takes its space along.
-        parts[1:] = [" " + p for p in parts[1:]]
-        cut.append(parts)
-        fresh.update((p, None) for p in parts if p not in known)
-    known.update(zip(fresh, encode(list(fresh))))
-    out = [b"".join([known[p] for p in parts]) for parts in cut]
-    if len(known) > WORD_CACHE:
-        known.clear()
-    else:
-        for p in fresh:
-            if len(p) > 64:
-                del known[p]
-    return out
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE,
@@ -97,8 +40,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             at = 0
             for part in chunks(batch.column(0)):
                 owner, starts, lengths, sums, totals, held = [], [], [], [], [], []
-                for i, ids in enumerate(token_bytes(part.to_pylist(), tokenizer)):
-                    ids += end
+                flat, bounds = token_ids(part, tokenizer)
+                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                    ids = flat[a:b].tobytes() + end
                     for s in range(0, len(ids), 4 * sequence):
                         piece = ids[s:s + 4 * sequence]
                         owner.append(i)
