@@ -57,10 +57,11 @@ _TAG_KIND = {"nav": "menu", "menu": "menu", "header": "header", "footer": "foote
 KINDS = list(NAMED)
 FEATURES = (["bias", "inside_marked", "outside_marked", "log_chars", "link_share", "sentence_marks", "few_words", "heading", "paragraph",
              "list_item", "cell", "plain_block", "pre", "copyright"] + [f"in_{k}" for k in KINDS])
-# Prior means: what the names say, a weak preference for text that reads like sentences.
+# Prior means: what the names say (stronger than being inside an article and among its text), and a weak preference
+# for text that reads like sentences.
 PRIOR = {"inside_marked": 3.0, "outside_marked": -3.0, "log_chars": 0.3, "link_share": -3.0, "sentence_marks": 0.5, "paragraph": 0.5,
-         "copyright": -3.0, "in_menu": -5.0, "in_header": -2.5, "in_footer": -5.0, "in_sidebar": -5.0, "in_notice": -5.0,
-         "in_advert": -6.0, "in_comment": -6.0, "in_form": -5.0, "in_social": -3.0, "in_body": 1.0, "bias": -0.5}
+         "copyright": -3.0, "in_menu": -9.0, "in_header": -3.0, "in_footer": -9.0, "in_sidebar": -9.0, "in_notice": -9.0,
+         "in_advert": -9.0, "in_comment": -9.0, "in_form": -9.0, "in_social": -4.0, "in_body": 1.0, "bias": -0.5}
 PRIOR_VECTOR = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
 
 _TOKEN = re.compile(
