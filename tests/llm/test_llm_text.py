@@ -221,7 +221,8 @@ def test_warc_over_many_runs_and_broadcast_bound(spark, monkeypatch):
 
 def test_pipeline_stages(spark, tmp_dir):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").withColumn("extra", F.lit(1)).withColumn("score", F.lit("s"))
-    odd = spark.createDataFrame([(10_000, None, "en", "s", 0, 1, "s"), (10_001, "12 34 !!", None, "s", 0, 1, "s"), (10_002, "", "en", None, 0, None, None)], docs.schema)
+    odd = spark.createDataFrame([(10_000, None, "en", "s", 0, 1, "s"), (10_001, "12 34 !!", None, "s", 0, 1, "s"), (10_002, "", "en", None, 0, None, None)],
+                                "doc_id long, text string, lang string, source string, n_chars long, extra int, score string")
     docs = docs.unionByName(odd)
     before = docs
     for at, (name, stage) in enumerate(corpus_pipeline.STAGES):
