@@ -7,6 +7,5 @@ from flightlake.functions.columns import (  # noqa: F401
     proximity_status_expr,
     safe_cast,
     state_field,
-    time_bucket,
 )
 from flightlake.functions.dates import calendar_columns  # noqa: F401

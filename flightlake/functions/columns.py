@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql import types as T
 
 from flightlake.fixed import (
     LOW_ALTITUDE,
@@ -62,21 +61,3 @@ def flight_phase_expr(altitude: str | Column, previous: str | Column, delta: flo
 def proximity_status_expr(altitude: str | Column, low_altitude: float = LOW_ALTITUDE) -> Column:
     """Below ``low_altitude`` -> landing / taking off; otherwise (NULL included) -> passing over."""
     return F.when(_col(altitude) < F.lit(low_altitude), F.lit(STATUS_LOW)).otherwise(F.lit(STATUS_PASSING))
-
-
-def time_bucket(c: str | Column, data_type: T.DataType, bucket_seconds: int) -> Column:
-    """A bucket id that never decreases along the column's own sort order.
-
-    Timestamps: whole ``bucket_seconds`` windows of epoch seconds. Text (e.g. 'yyyy-MM-dd HH:mm:ss'):
-    a leading prefix, which is monotone under text order whatever the content. Numbers: integer
-    division. NULL stays NULL (sorts first, like the NULL values themselves).
-    """
-    col = _col(c)
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.floor(F.unix_timestamp(col) / F.lit(bucket_seconds))
-    if isinstance(data_type, T.StringType):
-        # 13 characters of 'yyyy-MM-dd HH:mm:ss' is the hour; generic prefix otherwise.
-        return F.substring(col, 1, 13)
-    if isinstance(data_type, T.NumericType):
-        return F.floor(col / F.lit(bucket_seconds))
-    raise TypeError(f"cannot bucket an ordering column of type {data_type}")

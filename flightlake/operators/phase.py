@@ -1,26 +1,18 @@
-"""Per-aircraft previous value (E1) and flight phase (E2), safe for hot aircraft and hot hours.
-
-A plain ``lag`` over ``Window.partitionBy(icao24)`` sends every row of one aircraft to one task. If a
-single key held a third of the data, that task would sort a third of the data alone. Instead the
-ordering axis is cut into buckets that never decrease along the order (time windows, or text
-prefixes), and the window runs per (key, bucket):
-
-1. ``groups``: per (key, bucket) the last value (``max_by``) and the row count, combined map-side,
-   plus the previous bucket's last value of the same key (``carry``; a small window per key, one row
-   per bucket, never per event). Written once to the shared folder.
-2. cold groups (at most ``hot_rows`` rows): the events are shuffled once on (key, bucket), joined to
-   ``carry`` on that same partitioning, and ``lag`` inside the group gives the previous value; the
-   first row of a group takes ``carry``.
-3. hot groups (more than ``hot_rows`` rows, e.g. one aircraft reporting a third of all rows within one
-   hour): their rows are range-partitioned on (group, order) into ``ceil(rows / hot_rows)`` parts and
-   written once, so one group is spread over many tasks; ``lag`` runs per (group, part) (a second
-   shuffle, of the hot rows only, on (group, part)), and the first row of a part
-   takes the last value of the group's previous part (one row per part, a bounded broadcast), or the
-   bucket ``carry`` for the group's first part.
-
-The result equals ``lag(value) OVER (PARTITION BY key ORDER BY order_cols)`` exactly. (key, bucket)
-is packed into one struct column, whose equality treats NULL fields as equal, so NULL keys keep
-their own partition as in the plain window, and the join reuses the window's hash partitioning.
+"""Per-aircraft previous value (E1) and flight phase (E2), safe for hot aircraft.
+
+A plain ``lag`` over ``Window.partitionBy(icao24)`` sends every row of one aircraft to one task. That is the
+best plan (one shuffle, one sort) for every aircraft whose rows fit a task, and a bad one for an aircraft that
+holds a large share of all rows. So rows are counted per key first (a hash aggregation of the key columns alone,
+combined map-side, written to the shared folder):
+
+1. Keys of at most ``hot_rows`` rows: the plain window.
+2. Hot keys: their rows are range-partitioned on (key, order) into ``ceil(rows / hot_rows)`` parts and
+   written once, so one key is spread over many tasks; ``lag`` runs per (key, part), and the first row of a part
+   takes the last value of the key's previous part (one row per key and part).
+
+The result equals ``lag(value) OVER (PARTITION BY key ORDER BY order_cols)`` exactly. Both sides of the range
+split and the window use Spark's own ordering (NULL first, NaN last), so any ordering type will do. NULL keys keep
+their own partition, as in the plain window.
 """
 
 from __future__ import annotations
@@ -30,36 +22,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from flightlake.fixed import PHASE_DELTA
-from flightlake.functions.columns import flight_phase_expr, time_bucket
+from flightlake.functions.columns import flight_phase_expr
 from flightlake.session import materialize
 
-DEFAULT_BUCKET_SECONDS = 3600
-# Rows one (key, bucket) group may hold before its rows are spread over several tasks.
+# Rows one key may hold before its rows are spread over several tasks.
 DEFAULT_HOT_ROWS = 2_000_000
-# Hot groups listed in a broadcast routing filter. Each holds more than ``hot_rows`` rows, so the
-# list is short by construction; beyond this bound the routing joins are shuffled instead.
-MAX_HOT_GROUPS = 100_000
+# Rows of a broadcast routing or carry table (a key, and a value). Beyond this bound the joins are shuffled.
+MAX_BROADCAST_ROWS = 100_000
 
 
-def _lag_within(rows: DataFrame, carry: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, carry_col: str, out_col: str) -> DataFrame:
-    """``lag`` inside each group of ``group_cols``; a group's first row takes ``carry_col``."""
-    joined = rows.join(carry, list(group_cols), "left")
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    prev = F.when(F.row_number().over(w) == 1, F.col(carry_col)).otherwise(F.lag(value_col).over(w))
-    return joined.withColumn(out_col, prev)
+def _lag_hot(rows: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str, parts: int,
+             small: bool) -> DataFrame:
+    """Rows of hot keys: range parts on (key, order), lag per part, carry across parts.
 
-
-def _lag_hot(rows: DataFrame, hot: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str,
-             parts: int, small: bool) -> DataFrame:
-    """Rows of hot groups: range parts on (group, order), lag per part, carry across parts.
-
-    Range bounds are sampled on the full sort key, so a group is cut wherever its rows are dense; rows
+    Range bounds are sampled on the full sort key, so a key is cut wherever its rows are dense; rows
     with equal sort keys stay in one part. Along the total order the part index never decreases, so
-    the previous part of the same group holds the previous rows. The parted rows are written once to
+    the previous part of the same key holds the previous rows. The parted rows are written once to
     the shared folder: the part index is fixed there (one sampling, one range shuffle), and the
-    per-part summary reads only the narrow columns back. That summary has at most
-    ``len(hot) + parts`` rows (groups and parts are both contiguous ranges of the same order).
+    per-part summary reads only the narrow columns back.
     """
     ranged = materialize(
         rows.repartitionByRange(parts, "_lg_k", *order_cols).withColumn("_lg_p", F.spark_partition_id()),
@@ -67,17 +47,13 @@ def _lag_hot(rows: DataFrame, hot: DataFrame, order_cols: Sequence[str], value_c
     )
     by_part = Window.partitionBy("_lg_k").orderBy("_lg_p")
     part_last = ranged.groupBy("_lg_k", "_lg_p").agg(
-        F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_pl")
-    )
-    part_carry = part_last.join(hot, "_lg_k", "left").select(
-        "_lg_k",
-        "_lg_p",
-        F.when(F.row_number().over(by_part) == 1, F.col("_lg_carry"))
-        .otherwise(F.lag("_lg_pl").over(by_part))
-        .alias("_lg_pc"),
+        F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_last")
     )
-    side = F.broadcast(part_carry) if small else part_carry
-    return _lag_within(ranged, side, ["_lg_k", "_lg_p"], order_cols, value_col, "_lg_pc", out_col)
+    carry = part_last.select("_lg_k", "_lg_p", F.lag("_lg_last").over(by_part).alias("_lg_carry"))
+    joined = ranged.join(F.broadcast(carry) if small else carry, ["_lg_k", "_lg_p"], "left")
+    w = Window.partitionBy("_lg_k", "_lg_p").orderBy(*order_cols)
+    prev = F.when(F.row_number().over(w) == 1, F.col("_lg_carry")).otherwise(F.lag(value_col).over(w))
+    return joined.withColumn(out_col, prev)
 
 
 def lag_by_key(
@@ -86,57 +62,37 @@ def lag_by_key(
     order_cols: Sequence[str],
     value_col: str,
     out_col: str,
-    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
-    """Add ``out_col`` = previous ``value_col`` of the same key in ``order_cols`` order (NULL first).
-
-    ``bucket_seconds=None`` gives the plain single-window plan (for data known to be free of hot keys).
-    """
+    """Add ``out_col`` = previous ``value_col`` of the same key in ``order_cols`` order (NULL first)."""
     keys, order_cols = list(keys), list(order_cols)
-    if bucket_seconds is None:
+
+    def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return df.withColumn(out_col, F.lag(value_col).over(w))
-
-    lead_col = order_cols[0]
-    staged = df.withColumn("_lg_b", time_bucket(lead_col, df.schema[lead_col].dataType, bucket_seconds))
-    per_key = Window.partitionBy(*keys).orderBy("_lg_b")
-    is_hot = F.col("_lg_n") > F.lit(hot_rows)
-    # The hot-group totals are observed while the summary is written (no extra job).
-    seen = Observation("lag-groups")
-    groups = materialize(
-        staged.groupBy(*keys, "_lg_b")
-        .agg(
-            F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_last"),
-            F.count(F.lit(1)).alias("_lg_n"),
-        )
-        .select(
-            F.struct(*keys, "_lg_b").alias("_lg_k"),
-            F.lag("_lg_last").over(per_key).alias("_lg_carry"),
-            "_lg_n",
-        )
-        .observe(seen, F.count_if(is_hot).alias("n_hot"), F.sum(F.when(is_hot, F.col("_lg_n"))).alias("hot_total")),
-        "lag-groups",
+        return rows.withColumn(out_col, F.lag(value_col).over(w))
+
+    # The totals over hot keys are observed while their (short) list is written: no extra job. A struct key
+    # treats NULL fields as equal, so NULL keys are routed like any other.
+    seen = Observation("lag-hot-keys")
+    hot = materialize(
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_lg_n"))
+        .filter(F.col("_lg_n") > F.lit(hot_rows))
+        .select(F.struct(*keys).alias("_lg_k"), "_lg_n")
+        .observe(seen, F.count(F.lit(1)).alias("keys"), F.sum("_lg_n").alias("rows")),
+        "lag-hot-keys",
     )
-    staged = staged.withColumn("_lg_k", F.struct(*keys, "_lg_b"))
-    carry = groups.select("_lg_k", "_lg_carry")
-
-    hot = groups.filter(is_hot)
-    n_hot, hot_total = seen.get["n_hot"], seen.get["hot_total"]
+    n_hot, hot_total = seen.get["keys"], seen.get["rows"]
     if not n_hot:
-        out = _lag_within(staged, carry, ["_lg_k"], order_cols, value_col, "_lg_carry", out_col)
-        return out.select(*df.columns, out_col)
-
-    # The exact hot-group count was observed above, so the broadcast bound needs no counting job.
-    small = n_hot <= MAX_HOT_GROUPS
-    hot = hot.select("_lg_k", "_lg_carry")
-    hot_side = F.broadcast(hot) if small else hot
-    hot_keys = hot_side.select("_lg_k")
-    cold = _lag_within(staged.join(hot_keys, "_lg_k", "left_anti"), carry, ["_lg_k"], order_cols, value_col,
-                       "_lg_carry", out_col)
+        return plain(df).select(*df.columns, out_col)
+
     parts = max(1, -(-int(hot_total) // hot_rows))
-    warm = _lag_hot(staged.join(hot_keys, "_lg_k", "left_semi"), hot_side, order_cols, value_col, out_col,
-                    parts, small)
+    # Parts and keys are both contiguous ranges of one order, so there are at most keys + parts carry rows.
+    small = n_hot + parts <= MAX_BROADCAST_ROWS
+    hot_keys = F.broadcast(hot.select("_lg_k")) if small else hot.select("_lg_k")
+    keyed = df.withColumn("_lg_k", F.struct(*keys))
+    cold = plain(keyed.join(hot_keys, "_lg_k", "left_anti"))
+    warm = _lag_hot(keyed.join(hot_keys, "_lg_k", "left_semi"), order_cols, value_col, out_col, parts, small)
     return cold.select(*df.columns, out_col).unionByName(warm.select(*df.columns, out_col))
 
 
@@ -147,9 +103,8 @@ def flight_phase(
     tiebreak: Sequence[str] = (),
     altitude_col: str = "baro_altitude",
     delta: float = PHASE_DELTA,
-    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev_alt`` and ``flight_phase`` (Initializing / Climbing / Descending / Cruising)."""
-    lagged = lag_by_key(df, [key], [time_col, *tiebreak], altitude_col, "prev_alt", bucket_seconds, hot_rows)
+    lagged = lag_by_key(df, [key], [time_col, *tiebreak], altitude_col, "prev_alt", hot_rows)
     return lagged.withColumn("flight_phase", flight_phase_expr(altitude_col, "prev_alt", delta))

@@ -47,13 +47,13 @@ def test_split_lag_equals_plain_window(spark):
         rows.append((key, t, eid, alt))
     df = _flights(spark, rows)
     want = sorted(map(tuple, _plain(df).collect()), key=lambda r: r[2])
-    for bucket, hot in ((60, 10**9), (3600, 10**9), (86400, 10**9), (None, 10**9), (3600, 40), (86400, 150)):
-        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", bucket, hot)
-        assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want, (bucket, hot)
+    for hot in (10**9, 1000, 300, 40):
+        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", hot)
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want, hot
 
 
-def test_hot_bucket_is_split_by_range(spark):
-    """One aircraft holds most rows inside a single hour (many equal times); the group is cut into parts."""
+def test_hot_key_is_split_by_range(spark):
+    """One aircraft holds most rows inside a few minutes (many equal times); its rows are cut into parts."""
     rnd = random.Random(11)
     rows = []
     for eid in range(4000):
@@ -63,19 +63,31 @@ def test_hot_bucket_is_split_by_range(spark):
         rows.append((key, t, eid, alt))
     df = _flights(spark, rows)
     want = sorted(map(tuple, _plain(df).collect()), key=lambda r: r[2])
-    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", 3600, hot_rows=100)
+    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", hot_rows=100)
     assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
-    # the hot rows are read back from their written range parts and windowed per (group, part)
+    # the hot rows are read back from their written range parts and windowed per (key, part)
     assert "lag-hot-rows" in plan
     assert re.search(r"windowspecdefinition\(_lg_k#\d+, _lg_p#\d+", plan)
 
 
+def test_lag_with_nan_and_null_order_keys(spark):
+    """NaN sorts after every number and NULL before, on both routes."""
+    order = [None, -1.0, 0.0, 5.0, float("inf"), float("nan")]
+    rows = [(k, order[i % 6], i, float(i)) for i, k in enumerate(["hot"] * 60 + ["cold"] * 6)]
+    df = spark.createDataFrame(rows, "icao24 STRING, flight_time DOUBLE, eid BIGINT, baro_altitude DOUBLE")
+    want = sorted((r.eid, r.prev_alt) for r in _plain(df).collect() if r.prev_alt is not None)
+    for hot in (10**9, 7):
+        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", hot).collect()
+        assert sorted((r.eid, r.prev_alt) for r in got if r.prev_alt is not None) == want, hot
+
+
 def test_split_lag_on_text_time(spark):
     rows = [("a", f"2024-01-0{1 + i % 3} {i % 24:02d}:00:00", i, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "icao24 STRING, flight_time STRING, eid BIGINT, baro_altitude DOUBLE")
-    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _plain(df).collect()))
+    for hot in (10**9, 9):
+        got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", hot)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _plain(df).collect()))
 
 
 def test_phase_counts_sum_to_rows(spark):
