@@ -39,9 +39,6 @@ SILVER_POSITIONS = [
 ]
 SILVER_DOUBLE_COLUMNS = ["latitude", "longitude", "baro_altitude", "velocity", "true_track", "vertical_rate"]
 
-# Positions the bronze ingestion coerces to floating point.
-BRONZE_FLOAT_POSITIONS = [5, 6, 7, 9, 10, 11, 13]
-
 # --- fixed values: reference airports (code, latitude, longitude, name) ------------------------
 AIRPORTS = [
     ("LHR", 51.4700, -0.4543, "London Heathrow"),
@@ -73,13 +70,13 @@ STATUS_LOW = "Landing/Taking Off"
 STATUS_PASSING = "Passing Over"
 QUARTER_PREFIX = "Qtr "
 
-# Columns the report model sums by default (legacy silver schema).
+# --- fixed values: columns the report model sums by default (its older silver schema) --------------
 DEFAULT_SUM_COLUMNS = [
     "time_position", "last_contact", "baro_altitude", "velocity", "true_track",
     "vertical_rate", "geo_altitude", "squawk", "position_source",
 ]
 
-# Report's older silver schema names -> current names.
+# --- fixed values: the report's older silver schema names -> current names --------------------------
 LEGACY_RENAMES = {"long": "longitude", "lat": "latitude"}
 
 # --- fixed values: the report's declared column types for its (older) silver table, in order ----

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from flightlake.functions.columns import safe_cast
 from flightlake.functions.dates import calendar_columns
 
 
@@ -14,8 +15,8 @@ def calendar_for(df: DataFrame, time_col: str) -> DataFrame:
     row. The output size is bounded by the year span of the data (366 rows per year), not its volume.
     """
     bounds = df.agg(
-        F.year(F.min(F.to_date(time_col))).alias("_y0"),
-        F.year(F.max(F.to_date(time_col))).alias("_y1"),
+        F.year(F.min(safe_cast(time_col, "date"))).alias("_y0"),
+        F.year(F.max(safe_cast(time_col, "date"))).alias("_y1"),
     )
     days = bounds.select(
         F.explode(
@@ -30,16 +31,21 @@ def calendar_for(df: DataFrame, time_col: str) -> DataFrame:
 
 
 def join_calendar(df: DataFrame, calendar: DataFrame, time_col: str) -> DataFrame:
-    """C4: left join on the date part only (``to_date(time_col) = calendar.date``)."""
+    """C4: left join on the date part only; text that is no date joins nothing."""
     cal = calendar.withColumnRenamed("date", "_cal_date")
-    joined = df.join(cal, F.to_date(F.col(time_col)) == F.col("_cal_date"), "left")
+    joined = df.join(cal, safe_cast(time_col, "date") == F.col("_cal_date"), "left")
     return joined.withColumnRenamed("_cal_date", "date")
 
 
 def rollup_by_date(df: DataFrame, calendar: DataFrame, time_col: str) -> DataFrame:
-    """Row counts at every level of Year > Quarter > Month > Day plus the grand total."""
-    joined = join_calendar(df, calendar, time_col)
-    return joined.rollup("year", "quarter_no", "month_no", "day").agg(F.count(F.lit(1)).alias("flight_rows"))
+    """Row counts at every level of Year > Quarter > Month > Day plus the grand total.
+
+    Rows are counted per day first (combined map-side), so the calendar join and the rollup, which repeats each
+    row for every level, see one row per day.
+    """
+    days = df.groupBy(safe_cast(time_col, "date").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = join_calendar(days, calendar, "_day")
+    return joined.rollup("year", "quarter_no", "month_no", "day").agg(F.sum("_n").alias("flight_rows"))
 
 
 def month_axis(calendar: DataFrame) -> DataFrame:

@@ -30,9 +30,9 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: total rows, distinct keys and rows beyond the first per key, in one aggregation pass."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.agg(
-        F.sum("_n").alias("total_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.sum(F.col("_n") - 1).alias("duplicate_rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
     )
 
 

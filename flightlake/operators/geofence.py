@@ -9,8 +9,8 @@ flights x airports product; the exact distance filter then runs on the few candi
 meets in at most one cell, so nothing is produced twice. Division by a power of two is exact, so the
 cell of a point is computed without rounding drift.
 
-Join strategy: the airport-cell side (9 rows per airport) is broadcast after a bounded row count
-proves it small (4 airports -> 36 rows), so flights are never shuffled by cell; an airport list
+Join strategy: the airport-cell side (9 rows per airport) is broadcast when its bytes, added up while it is
+written, prove it small (4 airports -> 36 rows), so flights are never shuffled by cell; an airport list
 beyond the bound falls back to a shuffled equi-join, where AQE splits the hot cells around busy
 airports.
 """
@@ -25,9 +25,6 @@ from flightlake.fixed import GEOFENCE_RADIUS, LOW_ALTITUDE
 from flightlake.functions.columns import planar_distance, proximity_status_expr
 from flightlake.operators.joins import broadcast_if_small
 
-# Airport-cell rows we ship to every executor (9 per airport).
-MAX_BROADCAST_CELLS = 1_000_000
-
 
 def cell_size(radius: float) -> float:
     if radius <= 0:
@@ -57,7 +54,7 @@ def airport_proximity(
         .withColumn("_gf_clon", _cell("lon_ref", size) + F.col("_gf_dlon"))
         .drop("_gf_dlat", "_gf_dlon")
     )
-    airport_cells, _ = broadcast_if_small(airport_cells, MAX_BROADCAST_CELLS)
+    airport_cells, _ = broadcast_if_small(airport_cells, name="airport-cells")
     flight_cells = flights.withColumn("_gf_clat", _cell(lat, size)).withColumn("_gf_clon", _cell(lon, size))
     pairs = flight_cells.join(airport_cells, ["_gf_clat", "_gf_clon"], "inner")
     return (

@@ -10,22 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from flightlake.fixed import DEFAULT_SUM_COLUMNS, TOP_N
-from flightlake.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join_bounded
-from flightlake.session import materialize_counted
-
-
-def _top_sums(df: DataFrame, key: str, measure: str, n: int, extra_aggs: Sequence) -> tuple[DataFrame, int]:
-    """The top-``n`` groups by sum and the number of groups they were chosen from (an upper bound on
-    their count, observed while the grouped sums were written)."""
-    sums, groups = materialize_counted(
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs),
-        "topn-sums",
-    )
-    cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
-    return sums.filter(F.col("_tg_sum") >= cut), groups
+from flightlake.functions.columns import safe_cast
+from flightlake.operators.joins import broadcast_if_small, semi_join_bounded
+from flightlake.session import materialize
 
 
 def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
@@ -35,7 +25,11 @@ def top_groups_by_sum(df: DataFrame, key: str, measure: str, n: int = TOP_N,
     Equivalent to ``rank() OVER (ORDER BY s DESC) <= n`` over non-NULL sums: a group has rank <= n
     exactly when its sum is at least the n-th largest sum.
     """
-    return _top_sums(df, key, measure, n, extra_aggs)[0]
+    sums = materialize(
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias("_tg_sum"), *extra_aggs), "topn-sums"
+    )
+    cut = sums.orderBy(F.col("_tg_sum").desc_nulls_last()).limit(n).agg(F.min("_tg_sum")).scalar()
+    return sums.filter(F.col("_tg_sum") >= cut)
 
 
 def aircraft_count(df: DataFrame) -> DataFrame:
@@ -62,34 +56,38 @@ def max_altitude_top_countries(df: DataFrame, n: int = TOP_N) -> DataFrame:
 def top_speeders(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """Distinct (velocity, callsign, country) rows of the ``n`` callsigns with the largest summed velocity.
 
-    The top callsigns are a semi-join filter side whose size is proven before it is broadcast, so
-    the state rows are filtered where they are read and never shuffled by callsign. The proof is free
-    when there are few callsigns at all (the observed group count bounds the selection); otherwise
-    a bounded count of the selection decides.
+    The top callsigns are a semi-join filter side whose bytes are added up while it is written; it is broadcast
+    when they prove it small, so the state rows are filtered where they are read and never shuffled by callsign.
     """
-    top, groups = _top_sums(df, "callsign", "velocity", n, ())
+    top = top_groups_by_sum(df, "callsign", "velocity", n)
     states = df.select("velocity", "callsign", "origin_country")
-    if groups <= DEFAULT_BROADCAST_ROWS:
-        rows = states.join(F.broadcast(top.select("callsign")), ["callsign"], "left_semi")
-    else:
-        rows = semi_join_bounded(states, top, ["callsign"])
-    return rows.distinct().orderBy(F.col("velocity").desc_nulls_last())
+    return semi_join_bounded(states, top, ["callsign"]).distinct().orderBy(F.col("velocity").desc_nulls_last())
 
 
 def latest_country_stats(stats: DataFrame) -> DataFrame:
-    """One stats row per country: the latest ``processed_at`` (stats are appended per run)."""
-    w = Window.partitionBy("origin_country").orderBy(F.col("processed_at").desc_nulls_last())
-    return stats.withColumn("_ls_rn", F.row_number().over(w)).filter("_ls_rn = 1").drop("_ls_rn")
+    """One stats row per country: the latest ``processed_at`` (stats are appended per run).
+
+    One aggregation, combined map-side; of rows with one stamp the largest by the other columns is kept, so the
+    choice is always the same. Stamps that are NULL come before all others.
+    """
+    rest = [c for c in stats.columns if c not in ("origin_country", "processed_at")]
+    latest = F.max(F.struct("processed_at", *rest)).alias("_ls")
+    return stats.groupBy("origin_country").agg(latest).select(*[c if c == "origin_country" else F.col(f"_ls.{c}").alias(c)
+                                                                for c in stats.columns])
 
 
 def avg_altitude_by_country(stats: DataFrame) -> DataFrame:
-    """Unweighted average of the per-run ``avg_altitude_m`` values per country."""
-    return stats.groupBy("origin_country").agg(F.avg("avg_altitude_m").alias("avg_of_avg_altitude"))
+    """Unweighted average of the per-run ``avg_altitude_m`` values per country, largest first."""
+    return stats.groupBy("origin_country").agg(F.avg("avg_altitude_m").alias("avg_of_avg_altitude")).orderBy(
+        F.col("avg_of_avg_altitude").desc_nulls_last(), "origin_country"
+    )
 
 
 def flights_by_country(stats: DataFrame) -> DataFrame:
-    """Summed ``flight_count`` per country."""
-    return stats.groupBy("origin_country").agg(F.sum("flight_count").alias("total_flights"))
+    """Summed ``flight_count`` per country, largest first."""
+    return stats.groupBy("origin_country").agg(F.sum("flight_count").alias("total_flights")).orderBy(
+        F.col("total_flights").desc_nulls_last(), "origin_country"
+    )
 
 
 def map_points(df: DataFrame) -> DataFrame:
@@ -102,10 +100,9 @@ def map_points(df: DataFrame) -> DataFrame:
 def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
     """Many-to-one join of state rows to the latest statistics of their country.
 
-    The stats side (one row per country) is written once to the shared folder, its exact row count
-    observed while writing; it is broadcast when that count proves it small, so the state rows are
-    never shuffled by country (a country may hold a large share of them). Beyond the bound it is a
-    shuffled join with AQE skew splitting.
+    The stats side (one row per country) is written once to the shared folder, its bytes added up while
+    writing; it is broadcast when they prove it small, so the state rows are never shuffled by country (a
+    country may hold a large share of them). Beyond the bound it is a shuffled join with AQE skew splitting.
     """
     latest = latest_country_stats(stats).select(
         "origin_country",
@@ -113,9 +110,7 @@ def enrich_with_country(flights: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("avg_speed_ms").alias("country_avg_speed_ms"),
         F.col("count_climbing").alias("country_count_climbing"),
     )
-    side, rows = materialize_counted(latest, "latest-country-stats")
-    if rows <= DEFAULT_BROADCAST_ROWS:
-        side = F.broadcast(side)
+    side, _ = broadcast_if_small(latest, name="latest-country-stats")
     return flights.join(side, "origin_country", "left")
 
 
@@ -131,6 +126,14 @@ def slicer_values(df: DataFrame) -> DataFrame:
 
 def default_measures(df: DataFrame, key: str = "origin_country",
                      flagged: Sequence[str] = DEFAULT_SUM_COLUMNS) -> DataFrame:
-    """Per-group sums of the columns the report sums by default (those present in ``df``)."""
-    cols = [c for c in flagged if c in df.columns]
-    return df.groupBy(key).agg(*[F.sum(c).alias(f"sum_{c}") for c in cols])
+    """Per-group sums of the columns the report sums by default.
+
+    Text columns are summed by what parses as a whole number (the report's declared type for them is BIGINT). A
+    flagged column that ``df`` does not have is an error; pass ``flagged`` for tables that hold fewer.
+    """
+    missing = [c for c in flagged if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns to sum are missing: {', '.join(missing)}")
+    kinds = dict(df.dtypes)
+    sums = [F.sum(safe_cast(c, "bigint") if kinds[c] == "string" else F.col(c)).alias(f"sum_{c}") for c in flagged]
+    return df.groupBy(key).agg(*sums)

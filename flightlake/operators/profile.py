@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from flightlake.fixed import EUROPE_LAT, EUROPE_LON, HIGH_FLYER_ALTITUDE, TOP_N
+from flightlake.functions.columns import safe_cast
 from flightlake.operators.dedupe import duplicate_count
 
 
@@ -27,17 +28,20 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def describe_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample stddev, min, max of numeric columns; one wide numeric row.
+    """Count, mean, sample stddev, min, max of numeric and text columns; one wide row.
 
-    Column names are ``<column>_<statistic>``. (``DataFrame.describe`` returns the same numbers as
-    text in long form; the wide numeric row keeps types and is a single aggregation.)
+    Column names are ``<column>_<statistic>``. (``DataFrame.describe`` returns the same values as
+    text in long form; the wide row keeps types and is a single aggregation.) Mean and deviation of text are those
+    of the values that parse as numbers (NULL if none does); its minimum and maximum are text.
     """
+    kinds = dict(df.dtypes)
     aggs = []
     for c in columns:
+        number = safe_cast(c, "double") if kinds[c] == "string" else F.col(c)
         aggs += [
             F.count(c).alias(f"{c}_count"),
-            F.avg(c).alias(f"{c}_mean"),
-            F.stddev_samp(c).alias(f"{c}_stddev"),
+            F.avg(number).alias(f"{c}_mean"),
+            F.stddev_samp(number).alias(f"{c}_stddev"),
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
         ]
@@ -49,15 +53,23 @@ DESCRIBE_STATS = ["count", "mean", "stddev", "min", "max"]
 
 def describe_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """D7 in the long layout of ``DataFrame.describe`` (a ``summary`` column, one row per statistic),
-    with numeric values: the single wide aggregation above, then a 5-row unpivot of its one row."""
+    with typed values: the single wide aggregation above, then a 5-row unpivot of its one row. Numeric columns
+    hold doubles, text columns text."""
     wide = describe_stats(df, columns)
+    kinds = {c: "string" if kind == "string" else "double" for c, kind in df.dtypes}
     rows = [
-        F.struct(F.lit(stat).alias("summary"), *[F.col(f"{c}_{stat}").cast("double").alias(c) for c in columns])
+        F.struct(F.lit(stat).alias("summary"), *[F.col(f"{c}_{stat}").cast(kinds[c]).alias(c) for c in columns])
         for stat in DESCRIBE_STATS
     ]
     return wide.select(F.inline(F.array(*rows)))
 
 
+def describable(df: DataFrame) -> list[str]:
+    """The columns a notebook's ``describe`` covers: numbers and text, not flags or times."""
+    return [c for c, kind in df.dtypes if kind in ("string", "tinyint", "smallint", "int", "bigint", "float", "double")
+            or kind.startswith("decimal")]
+
+
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """D7 in the long form of ``DataFrame.describe``: one row per statistic, values as text."""
     return df.select(*columns).describe()

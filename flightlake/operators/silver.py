@@ -86,11 +86,11 @@ def legacy_to_current(df: DataFrame) -> DataFrame:
 def declared_types(df: DataFrame, types=REPORT_CLEANED_TYPES) -> DataFrame:
     """The report's cast list, as ``try_cast`` (its "error values as null" option), in its order.
 
-    Columns missing from ``df`` are skipped; columns not in the list are dropped (the report keeps
-    only its declared columns).
+    A declared column missing from ``df`` is a NULL column of its type, so the result always has the declared
+    columns; columns not in the list are dropped (the report keeps only its declared columns).
     """
     present = set(df.columns)
-    return df.select(*[safe_cast(c, kind).alias(c) for c, kind in types if c in present])
+    return df.select(*[(safe_cast(c, kind) if c in present else F.lit(None).cast(kind)).alias(c) for c, kind in types])
 
 
 def report_silver(df: DataFrame, types=REPORT_CLEANED_TYPES) -> DataFrame:

@@ -33,6 +33,20 @@ def test_keep_first_and_duplicate_count(spark):
     assert (d.total_rows, d.distinct_keys, d.duplicate_rows) == (5, 2, 3)
 
 
+def test_duplicate_count_of_no_rows_is_zero(spark):
+    d = duplicate_count(spark.createDataFrame([], "k STRING, t BIGINT"), ["k", "t"]).first()
+    assert (d.total_rows, d.distinct_keys, d.duplicate_rows) == (0, 0, 0)
+
+
+def test_calendar_with_text_that_is_no_date(spark):
+    df = spark.createDataFrame([("2024-02-29 10:00:00",), ("n/a",), (None,), ("2024-02-30",)], "t STRING")
+    cal = calendar_for(df, "t")
+    assert cal.count() == 366
+    assert sorted(str(r.date) for r in join_calendar(df, cal, "t").collect()) == ["2024-02-29", "None", "None", "None"]
+    total = [r.flight_rows for r in rollup_by_date(df, cal, "t").collect() if r.day == 29]
+    assert total == [1] and rollup_by_date(df, cal, "t").agg({"flight_rows": "max"}).first()[0] == 4
+
+
 def test_append_twice_equals_once(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", None, 3)], "k STRING, t BIGINT, eid BIGINT")
     first = keep_first(df, ["k", "t"], ["eid"])

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from flightlake.operators import marts, profile
@@ -76,8 +77,13 @@ def test_profile_and_simple_marts(spark):
     assert pts == {(0.0, 40.0): 100.0, (50.0, 80.0): 50.0}
     assert [r.origin_country for r in marts.slicer_values(df).collect()] == ["FR", "UK"]
     assert marts.filter_countries(df, ["FR"]).count() == 1
-    dm = {r.origin_country: r for r in marts.default_measures(df).collect()}
+    dm = {r.origin_country: r for r in marts.default_measures(df, flagged=["velocity", "baro_altitude"]).collect()}
     assert dm["UK"].sum_velocity == 100.0 and dm["UK"].sum_baro_altitude == 12000.0
+    with pytest.raises(ValueError, match="squawk"):
+        marts.default_measures(df)
+    text = spark.createDataFrame([("UK", "7700"), ("UK", "7A0"), ("FR", None)], "origin_country STRING, squawk STRING")
+    got = {r.origin_country: r.sum_squawk for r in marts.default_measures(text, flagged=["squawk"]).collect()}
+    assert got == {"UK": 7700, "FR": None}
 
 
 def test_latest_stats_join(spark):
@@ -89,10 +95,12 @@ def test_latest_stats_join(spark):
     flights = spark.createDataFrame([("UK",), ("FR",), ("DE",)], "origin_country STRING")
     out = {r.origin_country: r.country_flight_count for r in marts.enrich_with_country(flights, stats).collect()}
     assert out == {"UK": 7, "FR": 3, "DE": None}
-    avg = {r.origin_country: r.avg_of_avg_altitude for r in marts.avg_altitude_by_country(stats).collect()}
-    assert avg == {"UK": 15.0, "FR": 30.0}
-    tot = {r.origin_country: r.total_flights for r in marts.flights_by_country(stats).collect()}
-    assert tot == {"UK": 12, "FR": 3}
+    avg = [(r.origin_country, r.avg_of_avg_altitude) for r in marts.avg_altitude_by_country(stats).collect()]
+    assert avg == [("FR", 30.0), ("UK", 15.0)]  # largest first, as the visual sorts
+    tot = [(r.origin_country, r.total_flights) for r in marts.flights_by_country(stats).collect()]
+    assert tot == [("UK", 12), ("FR", 3)]
+    tied = stats.withColumn("processed_at", F.lit(datetime(2024, 1, 5)))
+    assert {r.origin_country: r.flight_count for r in marts.latest_country_stats(tied).collect()} == {"UK": 7, "FR": 3}
 
 
 def test_quality_profile_bundle(spark):
@@ -106,6 +114,14 @@ def test_quality_profile_bundle(spark):
     assert text["count"] == "2" and text["mean"] == "1.0"
 
 
+def test_describe_text_columns(spark):
+    df = spark.createDataFrame([("7700", 1, True), ("7A0", 2, None), (None, None, None)], "squawk STRING, n INT, flag BOOLEAN")
+    assert profile.describable(df) == ["squawk", "n"]
+    row = profile.describe_stats(df, profile.describable(df)).first()
+    assert (row.squawk_count, row.squawk_mean, row.squawk_stddev, row.squawk_min, row.squawk_max) == (2, 7700.0, None, "7700", "7A0")
+    assert {r.summary: r.squawk for r in profile.describe_long(df, ["squawk", "n"]).collect()}["max"] == "7A0"
+
+
 def test_describe_long_matches_describe(spark):
     df = spark.createDataFrame([(1.0, 10.0), (2.0, None), (4.0, 30.0), (None, 40.0)], "a DOUBLE, b DOUBLE")
     got = {r.summary: (r.a, r.b) for r in profile.describe_long(df, ["a", "b"]).collect()}

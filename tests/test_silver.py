@@ -73,8 +73,12 @@ def test_report_declared_types_and_rename(spark):
     )
     row = report_silver(df).collect()[0]
     # declared order, unknown columns dropped, text parsed with try_cast, names updated
-    assert report_silver(df).columns == ["icao24", "callsign", "time_position", "longitude", "latitude", "squawk",
-                                         "flight_time"]
+    # declared columns that the table lacks are NULL columns of their type
+    declared = report_silver(df)
+    assert declared.columns == ["icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
+                                "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "sensors",
+                                "geo_altitude", "squawk", "spi", "position_source", "flight_time", "processed_at"]
+    assert dict(declared.dtypes)["geo_altitude"] == "double" and row.geo_altitude is None
     assert row.squawk == 7700 and row.time_position == 42 and row.latitude == 51.5 and row.longitude == -0.1
     assert str(row.flight_time) == "2024-01-01 10:00:00"
     bad = spark.createDataFrame([("n/a",)], "squawk STRING")
