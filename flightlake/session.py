@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -64,7 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="flightlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -73,18 +74,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-# Open ``scratch_scope`` blocks, innermost last; each collects the folders created inside it.
-_SCOPES: list[list[str]] = []
+# Open ``scratch_scope`` blocks of this thread, innermost last; each collects the folders named inside it.
+_OPEN = threading.local()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the checkpoint root for one job's written intermediates."""
+    """The name of a fresh, unique sub-folder of the checkpoint root for one job's written intermediates.
+
+    Only the name is made here; the writer that uses it creates the folder, on the file system of the root.
+    """
     root = checkpoint_root(spark)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = getattr(_OPEN, "scopes", [])
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -99,11 +102,12 @@ def scratch_scope(spark: SparkSession):
     block must not read them lazily afterwards.
     """
     created: list[str] = []
-    _SCOPES.append(created)
+    scopes = _OPEN.__dict__.setdefault("scopes", [])
+    scopes.append(created)
     try:
         yield created
     finally:
-        _SCOPES.remove(created)
+        scopes.pop()
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in created:
             jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,8 +6,9 @@ from flightlake.sources.readers import (  # noqa: F401
     read_layer,
     read_snapshots,
     read_stored,
+    read_tables,
     snapshot_states,
     with_source_file,
     with_source_folder,
 )
-from flightlake.sources.sinks import write_append, write_overwrite, write_tables  # noqa: F401
+from flightlake.sources.sinks import write_append, write_overwrite  # noqa: F401

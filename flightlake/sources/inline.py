@@ -4,39 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from flightlake import schemas
 from flightlake.fixed import AIRPORTS, INLINE_CITIES
 
-# Up to this many rows a literal table is planned as an in-plan VALUES relation (exact size
-# statistics, no job to materialise it); larger inputs go through ``createDataFrame``.
-MAX_VALUES_ROWS = 1000
-
 
 def rows_frame(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
     """Rows -> DataFrame with an explicit schema (DDL string or StructType); no inference pass.
 
-    Small inputs become a ``VALUES`` relation with bound parameters (values are never spliced into
-    SQL text), which Catalyst sees as a ``LocalRelation`` of known size, so joins against it
-    broadcast without a runtime check.
+    One typing rule for any number of rows: values are put into Arrow columns of the schema's types (an integer is a
+    valid DOUBLE, text is never parsed). Spark plans such a table as a local relation of known size, so joins
+    against a small one broadcast without a runtime check.
     """
     rows = list(rows)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    if not rows or len(rows) > MAX_VALUES_ROWS:
-        return spark.createDataFrame(rows, schema=schema)
-    params, tuples = {}, []
-    for i, row in enumerate(rows):
-        marks = []
-        for j, value in enumerate(row):
-            params[f"r{i}c{j}"] = value
-            marks.append(f":r{i}c{j}")
-        tuples.append("(" + ", ".join(marks) + ")")
-    names = ", ".join(f"`{f.name}`" for f in schema.fields)
-    casts = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
-    return spark.sql(f"SELECT {casts} FROM VALUES {', '.join(tuples)} AS t({names})", args=params)
+    fields = to_arrow_schema(schema, timestamp_utc=True)
+    columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, schema=fields), schema=schema)
 
 
 def airports_frame(spark: SparkSession, rows: Iterable[tuple] = AIRPORTS) -> DataFrame:

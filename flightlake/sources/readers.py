@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from flightlake import schemas
-from flightlake.fixed import BRONZE_FLOAT_POSITIONS, STATE_FIELDS
+from flightlake.fixed import STATE_FIELDS
 from flightlake.functions.columns import safe_cast, state_field
 
 
@@ -38,7 +41,9 @@ def read_layer(
     """Parquet scan of one or more folders.
 
     ``glob`` keeps only matching file names (``pathGlobFilter``); files starting with ``_`` or ``.``
-    (``_SUCCESS``, checksums) are skipped by Spark itself; several folders are read as one union.
+    (``_SUCCESS``, checksums) are skipped by Spark itself. Several folders of one schema are read as one scan;
+    with ``merge_schema`` they may be tables of their own, partitioned or not: each is read from its own base folder
+    and the rows are put together by column name.
     """
     reader = spark.read
     if glob:
@@ -47,18 +52,30 @@ def read_layer(
         reader = reader.option("mergeSchema", "true")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.parquet(*paths)
+    if not merge_schema:
+        return reader.parquet(*paths)
+    frames = [reader.parquet(path) for path in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_tables(spark: SparkSession, paths: Mapping[str, str], name: str = "source_table") -> DataFrame:
+    """Several tables (name -> folder) as one frame, each row tagged with its table's name."""
+    frames = [read_layer(spark, path, merge_schema=True).withColumn(name, F.lit(table)) for table, path in paths.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_stored(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The parquet table at ``path``, or None when nothing has been written there yet.
+    """The parquet table at ``path``, or None when nothing has been written there yet (no folder, or one without data
+    files). Any other failure is raised: an unreadable table must not be taken for a new one.
 
     With a known ``schema`` there is no footer-inference job (and an empty folder reads as empty).
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
         return reader.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -69,34 +86,27 @@ def with_source_file(df: DataFrame, name: str = "source_file", full_path: bool =
 
 
 def with_source_folder(df: DataFrame, name: str = "source_table") -> DataFrame:
-    """The folder (table) each row was read from, for scans over several folders."""
-    return df.withColumn(name, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    """The table folder each row of a single scan was read from; partition folders (``key=value``) are
+    passed over."""
+    folders = F.filter(F.split(F.col("_metadata.file_path"), "/"), lambda part: ~part.contains("="))
+    return df.withColumn(name, F.element_at(folders, -2))
 
 
-def snapshot_states(raw: DataFrame, keep_empty: bool = False, keep_time: bool = True) -> DataFrame:
+def snapshot_states(raw: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per state array. ``keep_empty`` keeps a NULL row for NULL/empty ``states``."""
     gen = F.explode_outer("states") if keep_empty else F.explode("states")
-    cols: list[Column] = [gen.alias("s")]
-    if keep_time:
-        cols.insert(0, F.col("time").alias("snapshot_time"))
-    return raw.select(*cols)
+    return raw.select(F.col("time").alias("snapshot_time"), gen.alias("s"))
 
 
-def bronze_from_snapshots(raw: DataFrame, keep_empty: bool = False, sample: int | None = None) -> DataFrame:
+def bronze_from_snapshots(raw: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Snapshots -> the 17 typed bronze columns plus the snapshot ``time``.
 
     Positions are read with ``F.get`` (short arrays give NULL) and cast with ``try_cast`` (text that
-    does not parse gives NULL). ``sample`` reproduces the optional ingestion cap; it is off by default.
+    does not parse gives NULL). Every landed state becomes a row; there is no ingestion cap.
     """
     states = snapshot_states(raw, keep_empty)
     typed = [
         safe_cast(state_field("s", i), kind).alias(name) if kind != "string" else state_field("s", i).alias(name)
         for i, (name, kind) in enumerate(STATE_FIELDS)
     ]
-    out = states.select("snapshot_time", *typed)
-    return out.limit(sample) if sample else out
-
-
-def float_positions() -> list[str]:
-    """Names of the positions the bronze ingestion coerces to floating point."""
-    return [STATE_FIELDS[i][0] for i in BRONZE_FLOAT_POSITIONS]
+    return states.select("snapshot_time", *typed)

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from flightlake.sources import (
@@ -62,13 +64,6 @@ def test_bronze_positions_and_safe_casts(spark, tmp_dir):
     assert mixed.time_position == 1700000010
 
 
-def test_sample_cap_is_optional(spark, tmp_dir):
-    _write_docs(tmp_dir, _docs())
-    raw = read_snapshots(spark, tmp_dir)
-    assert bronze_from_snapshots(raw).count() == 3
-    assert bronze_from_snapshots(raw, sample=2).count() == 2
-
-
 def test_corrupt_record_column(spark, tmp_dir):
     os.makedirs(tmp_dir, exist_ok=True)
     with open(os.path.join(tmp_dir, "bad.json"), "w") as fh:
@@ -112,18 +107,41 @@ def test_literal_tables(spark):
     assert quoted.a == "it's" and quoted.b is None
 
 
-def test_source_folder_over_two_tables(spark, tmp_dir):
-    from flightlake.sources import with_source_folder
+@pytest.mark.parametrize("n", [0, 1, 1000, 1001])
+def test_literal_tables_type_alike_at_any_size(spark, n):
+    rows = rows_frame(spark, [(i, f"t{i}", None) for i in range(n)], "x DOUBLE, s STRING, d DATE")
+    assert rows.dtypes == [("x", "double"), ("s", "string"), ("d", "date")] and rows.count() == n
+    with pytest.raises(pa.lib.ArrowException):
+        rows_frame(spark, [("7",)] * max(n, 1), "x DOUBLE")
+
+
+def test_tables_partitioned_or_not_are_read_together(spark, tmp_dir):
+    from flightlake.sources import read_tables, with_source_folder
     a, b = os.path.join(tmp_dir, "stats"), os.path.join(tmp_dir, "summary")
-    write_overwrite(spark.createDataFrame([("X", 3)], "origin_country STRING, flight_count BIGINT"), a)
+    write_overwrite(spark.createDataFrame([("X", 3, "r1")], "origin_country STRING, flight_count BIGINT, run STRING"), a, ["run"])
     write_overwrite(spark.createDataFrame([(7,)], "total_global_flights BIGINT"), b)
-    both = with_source_folder(read_layer(spark, a, b, merge_schema=True))
+    assert read_layer(spark, a, b, merge_schema=True).count() == 2
+    assert with_source_folder(read_layer(spark, a)).first().source_table == "stats"
+    assert with_source_folder(read_layer(spark, b)).first().source_table == "summary"
+    both = read_tables(spark, {"stats": a, "summary": b})
     rows = {r.source_table: r for r in both.collect()}
     assert set(rows) == {"stats", "summary"}
     assert rows["stats"].flight_count == 3 and rows["stats"].total_global_flights is None
     assert rows["summary"].total_global_flights == 7 and rows["summary"].origin_country is None
 
 
+def test_only_a_missing_table_counts_as_nothing_stored(spark, tmp_dir):
+    from flightlake.sources import read_stored
+    assert read_stored(spark, os.path.join(tmp_dir, "none")) is None
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(bad)
+    assert read_stored(spark, bad) is None
+    with open(os.path.join(bad, "part-0.parquet"), "w") as fh:
+        fh.write("no parquet")
+    with pytest.raises(Exception):
+        read_stored(spark, bad).count()
+
+
 def test_pretty_printed_snapshot_file(spark, tmp_dir):
     path = os.path.join(tmp_dir, "pretty")
     os.makedirs(path)
