@@ -1,4 +1,4 @@
-"""Gold job (L2-L5): four tables from one silver read."""
+"""Gold job (L2-L5): four tables from one silver read. Running it again with one stamp changes nothing."""
 
 from __future__ import annotations
 
@@ -13,12 +13,12 @@ from flightlake.operators.stats import country_stats, daily_summary
 from flightlake.session import scratch_scope
 from flightlake.sources.inline import airports_frame
 from flightlake.sources.readers import read_layer
-from flightlake.sources.sinks import write_append, write_overwrite
+from flightlake.sources.silver_table import SILVER_PARTITION
+from flightlake.sources.sinks import write_overwrite
 
-
-# Appended gold tables are partitioned by the run's date, so reading one run back (and any report
-# restricted to recent runs) prunes to that folder instead of scanning the whole history.
-RUN_PARTITION = "run_date"
+# Gold tables that keep every run are partitioned by the run's stamp. A run replaces its own folder, so a job that is
+# tried again never doubles its rows, and reading one run back opens that folder alone.
+RUN_PARTITION = "run"
 
 
 def _utc(ts: datetime | None) -> datetime:
@@ -31,17 +31,19 @@ def run_stamp(ts: datetime | None = None) -> Column:
     return F.lit(_utc(ts).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
-def run_day(ts: datetime | None = None) -> Column:
-    """The run's date (UTC), the partition value of the appended gold tables."""
-    return F.lit(_utc(ts).date().isoformat()).cast("date")
+def run_name(ts: datetime | None = None) -> str:
+    """The run's partition value: its stamp (UTC) as text that sorts by time."""
+    return _utc(ts).strftime("r%Y%m%dT%H%M%S%f")
+
+
+def write_run(df: DataFrame, path: str, ts: datetime) -> None:
+    """Replace the rows that the run stamped ``ts`` has in the table at ``path``; other runs are not touched."""
+    write_overwrite(df, f"{path.rstrip('/')}/{RUN_PARTITION}={run_name(ts)}")
 
 
 def read_run(spark: SparkSession, path: str, ts: datetime) -> DataFrame:
-    """The rows one run appended to a gold table: partition pruning on the run date, then the stamp."""
-    rows = read_layer(spark, path)
-    return rows.filter((F.col(RUN_PARTITION) == run_day(ts)) & (F.col("processed_at") == run_stamp(ts))).drop(
-        RUN_PARTITION
-    )
+    """The rows of one run of a gold table (partition pruning on the run)."""
+    return read_layer(spark, path).filter(F.col(RUN_PARTITION) == F.lit(run_name(ts))).drop(RUN_PARTITION)
 
 
 def flight_analytics(silver: DataFrame, stamp: Column, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -49,41 +51,25 @@ def flight_analytics(silver: DataFrame, stamp: Column, tiebreak: Sequence[str] =
     return flight_phase(silver, tiebreak=tiebreak).withColumn("processed_at", stamp)
 
 
-def gold_tables(silver: DataFrame, airports: DataFrame, stamp: Column,
-                tiebreak: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The four gold frames, lazily; ``country_stats`` builds on ``flight_analytics``."""
-    phased = flight_analytics(silver, stamp, tiebreak)
-    return {
-        "flight_analytics": phased,
-        "airport_distance": airport_distance(silver, airports),
-        "country_stats": country_stats(phased),
-        "daily_summary": daily_summary(silver, stamp),
-    }
-
-
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: DataFrame | None = None,
              ts: datetime | None = None) -> dict[str, str]:
-    """Write the four gold tables from the stored silver table.
+    """Write the four gold tables from the stored silver table; returns their folders.
 
     ``flight_analytics`` is written first and ``country_stats`` is computed from this run's rows of
     the written table (one partition folder), so the window runs once and a lost executor never
-    forces it to be recomputed from scratch. Appended tables are partitioned by ``run_date``.
+    forces it to be recomputed from scratch.
     """
     ts = _utc(ts)
-    stamp, day = run_stamp(ts), run_day(ts)
+    stamp = run_stamp(ts)
     airports = airports if airports is not None else airports_frame(spark)
     base = gold_path.rstrip("/")
-    by_run = [RUN_PARTITION]
     # Silver is not cached: each table reads only the columns it needs from parquet (the summary
     # reads none, the geofence four), which costs less than holding every column of silver in
     # executor storage.
-    silver = read_layer(spark, silver_path)
-    with scratch_scope(spark):  # per-run lag summaries are dropped once the tables are written
-        phased = flight_analytics(silver, stamp).withColumn(RUN_PARTITION, day)
-        write_append(phased, f"{base}/flight_analytics", by_run)
-        run_rows = read_run(spark, f"{base}/flight_analytics", ts)
-        write_append(country_stats(run_rows).withColumn(RUN_PARTITION, day), f"{base}/country_stats", by_run)
+    silver = read_layer(spark, silver_path).drop(SILVER_PARTITION)
+    with scratch_scope(spark):  # per-run lists and carries are dropped once the tables are written
+        write_run(flight_analytics(silver, stamp), f"{base}/flight_analytics", ts)
+        write_run(country_stats(read_run(spark, f"{base}/flight_analytics", ts)), f"{base}/country_stats", ts)
         write_overwrite(daily_summary(silver, stamp), f"{base}/daily_summary")
-        near = airport_distance(silver, airports).withColumn(RUN_PARTITION, day)
-        write_append(near, f"{base}/airport_distance", by_run)
+        write_run(airport_distance(silver, airports), f"{base}/airport_distance", ts)
     return {n: f"{base}/{n}" for n in ("flight_analytics", "country_stats", "daily_summary", "airport_distance")}

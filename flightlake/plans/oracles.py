@@ -18,20 +18,30 @@ FLIGHTS = """flights AS (
               WHEN e.event_type = 'signup' THEN '        '
               ELSE '  ' || upper(e.event_type) || CAST(e.user_id AS VARCHAR) || ' ' END AS callsign,
          n.n_name AS origin_country,
-         CAST(floor(epoch(e.ts)) AS BIGINT) AS time_position,
-         e.ts AS flight_time,
+         CAST(floor(epoch(CASE WHEN e.event_id % 5 = 0 THEN date_trunc('hour', e.ts) ELSE e.ts END)) AS BIGINT)
+           AS time_position,
+         CASE WHEN e.event_id % 5 = 0 THEN date_trunc('hour', e.ts) ELSE e.ts END AS flight_time,
          CASE WHEN e.event_id % 40 = 0 THEN NULL ELSE e.value * 30 END AS baro_altitude,
          100 + e.value / 3 AS velocity,
          CASE WHEN e.event_id % 50 = 0 THEN NULL
-              ELSE CAST(51.47 AS DOUBLE) + CAST((e.event_id * 37) % 101 - 50 AS DOUBLE) / CAST(100 AS DOUBLE) END
-           AS latitude,
-         CAST(-0.4543 AS DOUBLE) + CAST((e.event_id * 53) % 97 - 48 AS DOUBLE) / CAST(100 AS DOUBLE)
-           + CAST(0.0037 AS DOUBLE) AS longitude
+              WHEN e.event_id % 8 < 4
+              THEN CAST(CASE e.event_id % 8 WHEN 0 THEN 51.4700 WHEN 1 THEN 40.6413 WHEN 2 THEN 25.2532 ELSE 1.3644 END
+                   AS DOUBLE) + CAST((e.event_id * 37) % 101 - 50 AS DOUBLE) / CAST(100 AS DOUBLE)
+              ELSE CAST(-70 AS DOUBLE) + CAST((e.event_id * 37) % 1400 AS DOUBLE) / CAST(10 AS DOUBLE) END AS latitude,
+         CASE WHEN e.event_id % 70 = 0 THEN NULL
+              WHEN e.event_id % 8 < 4
+              THEN CAST(CASE e.event_id % 8 WHEN 0 THEN -0.4543 WHEN 1 THEN -73.7781 WHEN 2 THEN 55.3657 ELSE 103.9915 END
+                   AS DOUBLE) + CAST((e.event_id * 53) % 97 - 48 AS DOUBLE) / CAST(100 AS DOUBLE) + CAST(0.0037 AS DOUBLE)
+              ELSE CAST(-179 AS DOUBLE) + CAST((e.event_id * 53) % 3580 AS DOUBLE) / CAST(10 AS DOUBLE) END AS longitude
   FROM events e
   LEFT JOIN customer c ON e.user_id = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
+# Positions 10 and 11 of the stand-in's state rows.
+TRACK = "CAST((event_id * 7) % 360 AS DOUBLE)"
+RATE = "CAST(event_id % 41 - 20 AS DOUBLE) / CAST(2 AS DOUBLE)"
+
 PHASED = f"""lagged AS (
   SELECT *, lag(baro_altitude) OVER (
       PARTITION BY icao24 ORDER BY flight_time ASC NULLS FIRST, event_id ASC NULLS FIRST) AS prev_alt
@@ -45,6 +55,11 @@ PHASED = f"""lagged AS (
   FROM lagged
 )"""
 
+# Two runs appended to the statistics: an earlier one over a third of the rows, then the run above.
+EARLIER = "TIMESTAMP '2024-01-31 00:00:00'"
+EARLIER_RUN = (PHASED.replace("lagged", "lagged0").replace("phased AS", "phased0 AS")
+               .replace("FROM flights", "FROM flights WHERE event_id % 3 = 0").replace(STAMP, EARLIER))
+
 STATS = """stats AS (
   SELECT origin_country, processed_at,
          count(icao24) AS flight_count,
@@ -54,6 +69,8 @@ STATS = """stats AS (
   FROM phased GROUP BY origin_country, processed_at
 )"""
 
+TWO_RUNS = f"""{EARLIER_RUN}, {PHASED}, {STATS.replace("FROM phased", "FROM (FROM phased UNION ALL FROM phased0)")}"""
+
 AIRPORTS = """airports(code, lat_ref, lon_ref, airport_name) AS (
   VALUES ('LHR', CAST(51.4700 AS DOUBLE), CAST(-0.4543 AS DOUBLE), 'London Heathrow'),
          ('JFK', CAST(40.6413 AS DOUBLE), CAST(-73.7781 AS DOUBLE), 'New York JFK'),
@@ -96,7 +113,7 @@ def _silver_ctes(strict: bool = False) -> str:
     return f"""{FLIGHTS}, s AS (
   SELECT icao24, trim(callsign) AS callsign, origin_country, CAST(time_position AS VARCHAR) AS time_position,
          longitude, latitude, baro_altitude, velocity,
-         CAST(NULL AS DOUBLE) AS true_track, CAST(NULL AS DOUBLE) AS vertical_rate,
+         {TRACK} AS true_track, {RATE} AS vertical_rate,
          strftime(make_timestamp(time_position * 1000000), '%Y-%m-%d %H:%M:%S') AS flight_time,
          {STAMP} AS processed_at
   FROM flights WHERE callsign IS NOT NULL{
@@ -123,9 +140,9 @@ def _first_per_key() -> str:
 SELECT * EXCLUDE (rn) FROM r WHERE rn = 1"""
 
 
-def _pipeline_stats() -> str:
-    """Silver rows, then phase over the text flight time, then country stats."""
-    return f"""WITH {_silver_ctes()}, lagged AS (
+def _gold_ctes() -> str:
+    """Silver rows, then phase over the text flight time (``phased``), as the gold job computes them."""
+    return f"""{_silver_ctes()}, lagged AS (
   SELECT *, lag(baro_altitude) OVER (PARTITION BY icao24 ORDER BY flight_time ASC NULLS FIRST) AS prev_alt FROM silver
 ), phased AS (
   SELECT *, CASE WHEN prev_alt IS NULL THEN 'Initializing'
@@ -133,7 +150,24 @@ def _pipeline_stats() -> str:
                  WHEN baro_altitude < prev_alt - 15 THEN 'Descending'
                  ELSE 'Cruising' END AS flight_phase
   FROM lagged
-)
+)"""
+
+
+def _describe_row(column: str) -> str:
+    """Statistics of one bronze column: numbers as DOUBLE, text (what parses as a number) with text bounds."""
+    text = column in ("icao24", "callsign", "origin_country", "sensors", "squawk")
+    number = f"TRY_CAST({column} AS DOUBLE)"
+    bounds = (f"CAST(NULL AS DOUBLE) AS min_number, CAST(NULL AS DOUBLE) AS max_number, min({column}) AS min_text, "
+              f"max({column}) AS max_text" if text else
+              f"round(min({number}), 6) AS min_number, round(max({number}), 6) AS max_number, "
+              "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text")
+    return (f"SELECT '{column}' AS column_name, count({column}) AS n, round(avg({number}), 3) AS mean, "
+            f"round(stddev_samp({number}), 3) AS stddev, {bounds} FROM bronze")
+
+
+def _pipeline_stats() -> str:
+    """Country statistics over the gold job's phases."""
+    return f"""WITH {_gold_ctes()}
 SELECT origin_country, processed_at, count(icao24) AS flight_count, round(avg(velocity), 6) AS avg_speed_ms,
        count(*) FILTER (WHERE flight_phase = 'Climbing') AS count_climbing,
        round(avg(baro_altitude), 6) AS avg_altitude_m
@@ -143,11 +177,12 @@ FROM phased GROUP BY origin_country, processed_at"""
 # The 17 state positions of a snapshot row built from the stand-in (expression, bronze name).
 STATE_COLUMNS = [
     ("icao24", "icao24"), ("callsign", "callsign"), ("origin_country", "origin_country"),
-    ("time_position", "time_position"), ("time_position", "last_contact"), ("longitude", "long"),
+    ("time_position - event_id % 30", "time_position"), ("time_position", "last_contact"), ("longitude", "long"),
     ("latitude", "lat"), ("baro_altitude", "baro_altitude"), ("baro_altitude < 100", "on_ground"),
-    ("velocity", "velocity"), ("CAST(NULL AS DOUBLE)", "true_track"), ("CAST(NULL AS DOUBLE)", "vertical_rate"),
-    ("CAST(NULL AS VARCHAR)", "sensors"), ("baro_altitude", "geo_altitude"), ("CAST(NULL AS VARCHAR)", "squawk"),
-    ("CAST(NULL AS BOOLEAN)", "spi"), ("CAST(NULL AS BIGINT)", "position_source"),
+    ("velocity", "velocity"), (TRACK, "true_track"), (RATE, "vertical_rate"),
+    ("CAST(NULL AS VARCHAR)", "sensors"), ("baro_altitude", "geo_altitude"),
+    ("CASE WHEN event_id % 9 = 0 THEN '7A0' ELSE lpad(CAST(event_id % 7777 AS VARCHAR), 4, '0') END", "squawk"),
+    ("event_id % 11 = 0", "spi"), ("CAST(event_id % 4 AS BIGINT)", "position_source"),
 ]
 
 FLIGHT_COLS = ["event_id", "icao24", "callsign", "origin_country", "time_position", "flight_time",
@@ -170,6 +205,7 @@ SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM flights"""
     "silver_clean": _silver(),
     "silver_from_json": _silver(),
     "incremental_silver_exact": _silver(),
+    "incremental_silver_json": _silver(),
     "silver_strict": f"WITH {_silver_ctes(strict=True)}\nSELECT * FROM silver",
 
     "high_flyer_count": f"""WITH {FLIGHTS}
@@ -203,13 +239,42 @@ SELECT DISTINCT month_no, month FROM cal ORDER BY month_no""",
     "quarter_axis": f"""WITH {FLIGHTS}, {CALENDAR}
 SELECT DISTINCT quarter_no, quarter FROM cal ORDER BY quarter_no""",
 
-    "gold_folders": f"""WITH {FLIGHTS}, {PHASED}, {STATS}
-SELECT 'country_stats' AS source_table, origin_country, processed_at, flight_count,
-       round(avg_speed_ms, 6) AS avg_speed_ms, count_climbing, round(avg_altitude_m, 6) AS avg_altitude_m,
-       CAST(NULL AS BIGINT) AS total_global_flights
-FROM stats
+    "gold_folders": f"""WITH {_gold_ctes()}
+SELECT 'country_stats' AS source_table, origin_country, processed_at, count(icao24) AS flight_count,
+       round(avg(velocity), 6) AS avg_speed_ms, count(*) FILTER (WHERE flight_phase = 'Climbing') AS count_climbing,
+       round(avg(baro_altitude), 6) AS avg_altitude_m, CAST(NULL AS BIGINT) AS total_global_flights
+FROM phased GROUP BY origin_country, processed_at
 UNION ALL
-SELECT 'daily_summary', NULL, {STAMP}, NULL, NULL, NULL, NULL, count(*) FROM flights""",
+SELECT 'daily_summary', NULL, {STAMP}, NULL, NULL, NULL, NULL, count(*) FROM silver""",
+
+    "gold_flight_analytics": f"""WITH {_gold_ctes()}
+SELECT icao24, callsign, origin_country, time_position, round(longitude, 6) AS longitude, round(latitude, 6) AS latitude,
+       baro_altitude, round(velocity, 6) AS velocity, true_track, vertical_rate, flight_time, processed_at, prev_alt,
+       flight_phase
+FROM phased""",
+
+    "gold_airport_distance": f"""WITH {_gold_ctes()}, {AIRPORTS}
+SELECT f.icao24, f.callsign, a.airport_name,
+       round(sqrt(pow(f.latitude - a.lat_ref, 2) + pow(f.longitude - a.lon_ref, 2)), 6) AS dist,
+       CASE WHEN f.baro_altitude < 3000 THEN 'Landing/Taking Off' ELSE 'Passing Over' END AS proximity_status,
+       f.flight_time, f.processed_at
+FROM silver f CROSS JOIN airports a
+WHERE sqrt(pow(f.latitude - a.lat_ref, 2) + pow(f.longitude - a.lon_ref, 2)) < CAST(0.2 AS DOUBLE)""",
+
+    "gold_daily_summary": f"""WITH {_silver_ctes()}
+SELECT {STAMP} AS processed_at, count(*) AS total_global_flights FROM silver""",
+
+    "describe_bronze": f"""WITH {FLIGHTS}, bronze AS (SELECT {", ".join(f"{e} AS {a}" for e, a in STATE_COLUMNS)} FROM flights)
+{" UNION ALL ".join(_describe_row(a) for _, a in STATE_COLUMNS if a not in ("on_ground", "spi"))}""",
+
+    "default_measures_all": f"""WITH {FLIGHTS}, bronze AS (SELECT {", ".join(f"{e} AS {a}" for e, a in STATE_COLUMNS)} FROM flights)
+SELECT origin_country, CAST(sum(time_position) AS BIGINT) AS sum_time_position,
+       CAST(sum(last_contact) AS BIGINT) AS sum_last_contact, round(sum(baro_altitude), 6) AS sum_baro_altitude,
+       round(sum(velocity), 6) AS sum_velocity, round(sum(true_track), 6) AS sum_true_track,
+       round(sum(vertical_rate), 6) AS sum_vertical_rate, round(sum(geo_altitude), 6) AS sum_geo_altitude,
+       CAST(sum(TRY_CAST(squawk AS BIGINT)) AS BIGINT) AS sum_squawk,
+       CAST(sum(position_source) AS BIGINT) AS sum_position_source
+FROM bronze GROUP BY origin_country""",
 
     "report_silver": f"""WITH {FLIGHTS}
 SELECT icao24, callsign, origin_country, time_position, time_position AS last_contact, longitude, latitude,
@@ -277,17 +342,17 @@ SELECT origin_country, max_altitude FROM r WHERE rk <= 10""",
                                FROM g WHERE s IS NOT NULL) WHERE rk <= 10)
 SELECT DISTINCT velocity, callsign, origin_country FROM flights WHERE callsign IN (SELECT callsign FROM t)""",
 
-    "avg_alt_country": f"""WITH {FLIGHTS}, {PHASED}, {STATS}
+    "avg_alt_country": f"""WITH {FLIGHTS}, {TWO_RUNS}
 SELECT origin_country, round(avg(avg_altitude_m), 6) AS avg_of_avg_altitude FROM stats GROUP BY origin_country""",
 
-    "flights_by_country": f"""WITH {FLIGHTS}, {PHASED}, {STATS}
+    "flights_by_country": f"""WITH {FLIGHTS}, {TWO_RUNS}
 SELECT origin_country, CAST(sum(flight_count) AS BIGINT) AS total_flights FROM stats GROUP BY origin_country""",
 
     "map_points": f"""WITH {FLIGHTS}
 SELECT longitude, latitude, round(coalesce(sum(velocity), 0), 6) AS velocity_sum
 FROM flights GROUP BY longitude, latitude""",
 
-    "country_enriched": f"""WITH {FLIGHTS}, {PHASED}, {STATS}, latest AS (
+    "country_enriched": f"""WITH {FLIGHTS}, {TWO_RUNS}, latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin_country ORDER BY processed_at DESC NULLS LAST) AS rn
                  FROM stats) WHERE rn = 1
 )

@@ -2,71 +2,53 @@
 
 from __future__ import annotations
 
-import os
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from flightlake.operators.dedupe import append_unique
-from flightlake.operators.silver import SILVER_KEYS, silver_rows, to_silver
+from flightlake.operators.silver import silver_rows
 from flightlake.plans.gold import run_gold, run_stamp
-from flightlake.sources.readers import bronze_from_snapshots, read_snapshots, read_stored
-from flightlake.sources.sinks import write_append, write_overwrite
-from flightlake.streaming.incremental import (
-    run_available_now,
-    run_exact_available_now,
-    silver_rows_stream,
-    silver_stream,
-)
+from flightlake.session import scratch_scope
+from flightlake.sources.readers import bronze_from_snapshots, read_snapshots
+from flightlake.sources.silver_table import append_silver
+from flightlake.sources.sinks import write_overwrite
+from flightlake.streaming.incremental import run_exact_available_now, silver_rows_stream
 
 
-def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str, sample: int | None = None) -> str:
+def run_bronze(spark: SparkSession, raw_dir: str, bronze_path: str) -> str:
     """Landed snapshot JSON -> typed 17-column bronze parquet (replaced each run).
 
     The live HTTP pull of the source job is not rebuilt; the landing zone is the input.
     """
-    write_overwrite(bronze_from_snapshots(read_snapshots(spark, raw_dir), sample=sample), bronze_path)
+    write_overwrite(bronze_from_snapshots(read_snapshots(spark, raw_dir)), bronze_path)
     return bronze_path
 
 
-def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime | None = None) -> str:
-    """L1 + C6: clean the landed snapshots and append only keys not yet stored.
+def silver_folder(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}/silver/cleaned_flights"
 
-    With a stored table, ``append_unique`` de-duplicates the new rows and drops stored keys in one
-    aggregation (the same survivor rule as ``to_silver``), so the rows are shuffled once, not twice.
-    """
-    stored = read_stored(spark, silver_path)
-    if stored is None:
-        silver = to_silver(read_snapshots(spark, raw_dir), run_stamp(ts))
-    else:
-        silver = append_unique(stored, silver_rows(read_snapshots(spark, raw_dir), run_stamp(ts)), SILVER_KEYS)
-    write_append(silver, silver_path)
+
+def run_silver(spark: SparkSession, raw_dir: str, silver_path: str, ts: datetime | None = None) -> str:
+    """L1 + C6: clean the landed snapshots and append only keys not yet stored."""
+    with scratch_scope(spark):
+        append_silver(silver_rows(read_snapshots(spark, raw_dir), run_stamp(ts)), silver_path)
     return silver_path
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, ts: datetime | None = None) -> dict[str, str]:
     """Bronze JSON -> silver -> gold, each stage a plain function call (the scheduler's job order)."""
-    silver_path = os.path.join(out_dir, "silver", "cleaned_flights")
-    run_silver(spark, raw_dir, silver_path, ts)
-    return run_gold(spark, silver_path, os.path.join(out_dir, "gold"), ts=ts)
+    run_silver(spark, raw_dir, silver_folder(out_dir), ts)
+    return run_gold(spark, silver_folder(out_dir), f"{out_dir.rstrip('/')}/gold", ts=ts)
 
 
-def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, ts: datetime | None = None,
-                    delay: str = "2 hours", exact: bool = False) -> dict[str, str]:
-    """L8 with J1/J2: only landing files not seen before are read (the stream's checkpoint, kept in
-    the lake next to the table, remembers them), keys stay unique across runs within the watermark
-    ``delay``, then the gold job runs on the stored silver table.
+def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, ts: datetime | None = None) -> dict[str, str]:
+    """L8 with J1: only landing files not seen before are read (the stream's checkpoint, kept in the lake next to the
+    table, remembers them), then the gold job runs on the stored silver table.
 
-    Each call is one ``availableNow`` trigger, so the scheduler's hourly cadence is unchanged.
-    ``exact=True`` appends each micro-batch through ``append_unique`` instead (no watermark bound,
-    deterministic survivor; each batch reads the stored key columns).
+    Each call is one ``availableNow`` trigger, so the scheduler's hourly cadence is unchanged. Every micro-batch goes
+    through the same ``append_silver`` as ``run``: a row is stored if its key is not, however late it comes, and the
+    two kinds of run can be mixed on one lake.
     """
-    silver_path = os.path.join(out_dir, "silver", "cleaned_flights")
-    if exact:
-        checkpoint = os.path.join(out_dir, "_checkpoints", "silver_exact")
-        run_exact_available_now(silver_rows_stream(spark, raw_dir, run_stamp(ts)), silver_path, checkpoint)
-    else:
-        checkpoint = os.path.join(out_dir, "_checkpoints", "silver_stream")
-        stream = silver_stream(spark, raw_dir, run_stamp(ts), delay=delay).drop("event_time")
-        run_available_now(stream, silver_path, checkpoint)
-    return run_gold(spark, silver_path, os.path.join(out_dir, "gold"), ts=ts)
+    stream = silver_rows_stream(spark, raw_dir, run_stamp(ts))
+    run_exact_available_now(stream, silver_folder(out_dir), f"{out_dir.rstrip('/')}/_checkpoints/silver")
+    return run_gold(spark, silver_folder(out_dir), f"{out_dir.rstrip('/')}/gold", ts=ts)

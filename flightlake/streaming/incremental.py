@@ -1,36 +1,36 @@
 """Incremental silver (J1) and cross-run key uniqueness.
 
-The source pipeline re-reads every landed file each hour and appends, so keys repeat across runs.
-Here a file stream picks up only new files (the checkpoint remembers which were read), the row-wise
-silver cleaning runs unchanged, and ``dropDuplicatesWithinWatermark`` keeps keys unique across
-triggers. State is bounded by the watermark: a key is remembered until event time passes it by the
-delay; a copy arriving later than that is treated as new. (The batch path, ``append_unique``, is
-exact and unbounded.) ``trigger(availableNow=True)`` processes what is there and stops, so the same
-code runs as an hourly batch or continuously.
-
-``run_exact_available_now`` is the exact alternative: the same file stream, but each micro-batch is
-appended through ``append_unique`` against the keys already stored (one keyed aggregation per batch,
-no streaming state). Its survivor is deterministic (the smallest row of a key within the batch; the
-first batch that holds a key wins), and a replayed batch adds nothing, so the at-least-once batch
-sink is exactly-once on the table. The price is that each batch reads the stored key columns.
+The source pipeline re-reads every landed file each hour and appends, so keys repeat across runs. Here a file
+stream picks up only new files (the checkpoint remembers which were read) and the row-wise silver cleaning runs
+unchanged.
+
+``run_exact_available_now`` is the pipeline's path: each micro-batch is appended through the keyed append of the
+silver table. A row is stored exactly if its key is not stored yet, however late it arrives; the survivor is
+deterministic (the smallest row of a key within the batch; the first batch that holds a key wins), and a replayed
+batch adds nothing, so the at-least-once batch sink is exactly-once on the table.
+
+``dedupe_stream`` is the bounded operator (``dropDuplicatesWithinWatermark``): a key is remembered until event time
+passes it by the delay, so state stays small, and **rows that arrive later than the delay are dropped, new keys
+too**. It suits streams whose lateness is known to be bounded; no pipeline of this library uses it.
+``trigger(availableNow=True)`` processes what is there and stops, so the same code runs as an hourly batch or
+continuously.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake import schemas
-from flightlake.operators.dedupe import append_unique, keep_first
 from flightlake.operators.silver import SILVER_KEYS, silver_rows
-from flightlake.sources.readers import read_stored
-from flightlake.sources.sinks import write_append
+from flightlake.session import scratch_scope
+from flightlake.sources.silver_table import append_silver
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop rows whose key was already seen within the watermark delay."""
+    """J2, bounded: drop rows whose key was seen within the watermark delay, and rows later than the delay."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -43,20 +43,13 @@ def silver_rows_stream(spark: SparkSession, raw_dir: str, run_ts: Column | None
     return silver_rows(reader.json(raw_dir), run_ts, time_index)
 
 
-def silver_stream(spark: SparkSession, raw_dir: str, run_ts: Column | None = None, time_index: int = 4,
-                  delay: str = "2 hours", max_files_per_trigger: int | None = None) -> DataFrame:
-    """J1 + J2: the stream of silver rows, unique on (icao24, time_position) within the watermark.
-
-    ``event_time`` (a TIMESTAMP from the epoch seconds) carries the watermark.
-    """
-    cleaned = silver_rows_stream(spark, raw_dir, run_ts, time_index, max_files_per_trigger)
-    timed = cleaned.withColumn("event_time", F.timestamp_seconds(F.col("time_position").try_cast("bigint")))
-    return dedupe_stream(timed, SILVER_KEYS, "event_time", delay)
-
-
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
                       timeout_s: float | None = None) -> StreamingQuery:
-    """Process every file available now into ``sink_path`` (append), then stop."""
+    """Process every file available now into ``sink_path`` (append), then stop.
+
+    The file sink keeps its own log in ``sink_path``; Spark then reads only files of that log there, so nothing else
+    may write to the folder.
+    """
     query = (
         stream.writeStream.format(fmt)
         .outputMode("append")
@@ -69,33 +62,12 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     return query
 
 
-def append_unique_batches(sink_path: str, keys: Sequence[str] = SILVER_KEYS, range_col: str | None = "time_position"):
-    """A ``foreachBatch`` function appending only keys not yet stored at ``sink_path`` (C6 per batch).
-
-    ``range_col`` is a key column: a stored key outside the batch's [min, max] of it cannot match any
-    batch key, so the stored keys are filtered to that range (NULLs kept: NULL keys compare equal).
-    The filter reaches the parquet scan, whose row-group statistics skip older files' data, so a
-    batch does not read the whole history of keys. The batch is persisted while it is used twice.
-    """
-    keys = list(keys)
+def append_silver_batches(sink_path: str, keys: Sequence[str] = SILVER_KEYS) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends only keys not yet stored at ``sink_path`` (C6 per batch)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = read_stored(spark, sink_path, batch.schema)
-        if stored is None:
-            write_append(keep_first(batch, keys), sink_path)
-            return
-        batch = batch.persist()
-        try:
-            if range_col:
-                lo, hi = batch.agg(F.min(range_col), F.max(range_col)).first()
-                in_range = F.col(range_col).isNull()
-                if lo is not None:
-                    in_range = in_range | F.col(range_col).between(lo, hi)
-                stored = stored.filter(in_range)
-            write_append(append_unique(stored, batch, keys), sink_path)
-        finally:
-            batch.unpersist()
+        with scratch_scope(batch.sparkSession):
+            append_silver(batch, sink_path, keys)
 
     return write
 
@@ -104,7 +76,7 @@ def run_exact_available_now(stream: DataFrame, sink_path: str, checkpoint: str,
                             keys: Sequence[str] = SILVER_KEYS, timeout_s: float | None = None) -> StreamingQuery:
     """Process every file available now; each micro-batch is appended exactly (see module notes)."""
     query = (
-        stream.writeStream.foreachBatch(append_unique_batches(sink_path, keys))
+        stream.writeStream.foreachBatch(append_silver_batches(sink_path, keys))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -35,17 +35,49 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_dir):
     assert "ReadSchema: struct<event_id:bigint,latitude:double,longitude:double>" in box
 
 
-def test_phase_shuffles_the_rows_once_on_key_and_bucket(spark, tmp_dir):
+def test_phase_without_hot_keys_is_one_exchange_and_one_sort(spark, tmp_dir):
     silver = _silver_table(spark, tmp_dir)
     plan = plan_of(flight_phase(silver, tiebreak=["event_id"]))
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # the rows move once, on the (key, bucket) struct; the per-group carry table (read back from the
-    # shared folder) is either broadcast or shuffled on the same struct; nothing moves by the aircraft
-    # key alone (that window ran on the small per-bucket summary, before)
-    assert 1 <= sum("_lg_k" in e for e in exchanges) <= 2
-    assert not any(e.startswith("icao24") for e in exchanges)
-    assert "Window [row_number()" in plan and "windowspecdefinition(_lg_k" in plan
-    assert "SinglePartition" not in plan and "rangepartitioning" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 1
+    assert len(re.findall(r"\bSort \[", plan)) == 1
+    assert "SortAggregate" not in plan and "Join" not in plan and "SinglePartition" not in plan
+
+
+def test_hot_keys_are_counted_by_hash_aggregation(spark, tmp_dir):
+    """The list of hot keys reads the key column alone and adds up counts before the shuffle."""
+    silver = _silver_table(spark, tmp_dir)
+    plan = plan_of(silver.groupBy("icao24").agg(F.count(F.lit(1)).alias("n")).filter("n > 5"))
+    assert "partial_count" in plan and "SortAggregate" not in plan and "ReadSchema: struct<icao24:string>" in plan
+
+
+def test_rollup_expands_days_not_rows(spark, tmp_dir):
+    from flightlake.operators.calendar import calendar_for, rollup_by_date
+    silver = _silver_table(spark, tmp_dir)
+    plan = plan_of(rollup_by_date(silver, calendar_for(silver, "flight_time"), "flight_time"))
+    assert plan.index("Expand") < plan.index("partial_count(1)")  # the count per day runs below the Expand
+
+
+def test_silver_append_prunes_stored_partitions(spark, tmp_dir):
+    from flightlake.sources.readers import read_stored
+    from flightlake.sources.silver_table import append_silver, flight_date
+    path = os.path.join(tmp_dir, "silver")
+    rows = load_flights(spark, SF).withColumn("time_position", F.col("time_position").cast("string"))
+    append_silver(rows, path)
+    stored = read_stored(spark, path)
+    assert stored.count() == rows.select("icao24", "time_position").distinct().count()
+    assert stored.select("flight_date").distinct().count() > 5
+    seen = stored.filter(F.col("flight_date").isNull() | F.col("flight_date").between("2024-01-02", "2024-01-03"))
+    plan = plan_of(seen.select("icao24", "time_position"))
+    assert re.search(r"PartitionFilters: \[.*flight_date", plan) and "ReadSchema: struct<icao24:string,time_position:string>" in plan
+    odd = spark.createDataFrame([("1e99",), ("99999999999999999",), ("-5",), (None,), ("0",)], "time_position STRING")
+    assert [str(r[0]) for r in odd.select(flight_date()).collect()] == ["None", "None", "1969-12-31", "None", "1970-01-01"]
+
+
+def test_broadcast_bound_is_in_bytes(spark):
+    from flightlake.operators.joins import broadcast_if_small
+    df = spark.createDataFrame([("x" * 5000,)] * 20, "s STRING")
+    assert broadcast_if_small(df, 200_000)[1] and not broadcast_if_small(df, 50_000)[1]
+    assert broadcast_if_small(df.limit(0), 0)[1]
 
 
 def test_country_stats_is_partial_then_final_hash_aggregate(spark, tmp_dir):
@@ -60,7 +92,8 @@ def test_top_n_uses_no_global_window_and_a_broadcast_semi_join(spark, tmp_dir):
     plan = plan_of(marts.top_speeders(silver))
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
     assert "Window" not in plan
-    assert "TakeOrderedAndProject" in plan
+    cut = plan_of(marts.top_groups_by_sum(silver, "callsign", "velocity"))
+    assert "TakeOrderedAndProject" in cut and "Window" not in cut
 
 
 def test_top_groups_by_count_is_take_ordered(spark, tmp_dir):
@@ -75,12 +108,13 @@ def test_no_local_checkpoint_folder_on_a_cluster():
     import pytest
 
     from flightlake.session import checkpoint_root
-    stub = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default=None: default),
-        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None),
-    )
-    with pytest.raises(RuntimeError, match="shared folder"):
-        checkpoint_root(stub)
+    for master in ("yarn", "local-cluster[2,1,512]"):
+        stub = SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: default),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None),
+        )
+        with pytest.raises(RuntimeError, match="shared folder"):
+            checkpoint_root(stub)
 
 
 def test_materialize_counted_observes_exact_rows(spark):
