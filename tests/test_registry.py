@@ -45,5 +45,14 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(cols, rows) == digest(ocols, orows)
 
 
+@pytest.mark.parametrize("gone", ["corpus_pipeline", "flightlake.llm"])
+def test_entry_works_without_the_optional_subpackage(gone):
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.modules['{gone}'] = None; import __spark_entry__ as E; from flightlake.plans.registry import QUERIES; "
+            "assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_duckdb_available():
     assert duckdb.sql("SELECT 1").fetchall() == [(1,)]
