@@ -148,6 +148,14 @@ def test_pseudonyms_keep_format_and_validity(value):
     assert feistel.pseudonymize(text, b"another key")[0] != new
 
 
+def test_assigned_passwords():
+    text = "a password=da6a7d4f67f2203943 and PASSWORD=DA6A7D4F67F2203943!! password=da6a7d4f67f2203943"
+    new, found = feistel.pseudonymize(text, KEY)
+    values = [new[a:b] for a, b, _ in found]
+    assert len(values) == 3 and values[0] == values[2] and shape(new) == shape(text) and "da6a7d4f67f2203943" not in new.lower()
+    assert all(re.fullmatch("[0-9a-f]{18}|[0-9A-F]{18}", v) for v in values)
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_clean_text_stays(text):
     assert feistel.pseudonymize(text, KEY) == (text, [])
