@@ -66,6 +66,7 @@ PRIOR_VECTOR = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _MARK = re.compile(r"[.!?;:,](?=\s|$)")
@@ -137,9 +138,12 @@ def parse(source: str) -> Page:
         return 0
 
     at, links, n = 0, 0, len(source)
+    last, unclosed = source.rfind(">"), set()
     while at < n:
-        token = _TOKEN.search(source, at)
-        text = source[at:token.start() if token else n]
+        token = _TOKEN.search(source, at) if at <= last else None
+        # After the last ">" no tag ends: what starts there like a tag is a cut-off one and no text.
+        cut = _CUT_OFF.search(source, at) if not token else None
+        text = source[at:token.start() if token else cut.start() if cut else n]
         if text:
             run.append(text)
             if links:
@@ -152,7 +156,9 @@ def parse(source: str) -> Page:
             continue
         tag = name.lower()
         if not end and tag in RAW:
-            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at) if tag not in unclosed else None
+            if not closing:
+                unclosed.add(tag)  # looked for once, not at every further start tag
             if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
                 at = closing.end() if closing else (n if tag in ("script", "style", "title", "textarea") else at)
             continue

@@ -197,6 +197,10 @@ def test_sum_product_matches_enumeration(tree):
 
 def test_html_odd_pages(spark, tree):
     deep = "<div>" * 5_000 + "Deep text, in the end." + "</div>" * 10
+    assert tree.extract("<article><p>Whole text, in the end. <a href='x")[0] == "Whole text, in the end."
+    assert tree.extract("<article><p>One is < two, and so on.")[0] == "One is < two, and so on."
+    for page in ("<a " * 200_000, "<p>x" + "<button>" * 50_000, "<!--" * 50_000, "<p '" * 50_000 + ">", "</" * 100_000 + ">"):
+        assert isinstance(tree.extract(page)[0], str)  # in time that grows with the page, not with its square
     for page in (None, "", "   ", "<", "<p", "</p></div>", "<a href='x", "<!-- open", "<script>x", deep, "plain words only"):
         assert isinstance(tree.extract(page)[0], str)
     docs = spark.createDataFrame([(1, "u", None, "t"), (None, None, "", "t"), (1, "u", "<article><p>Hello there, you.</p></article>", "t")],
