@@ -129,9 +129,11 @@ def rank_in_groups(df: DataFrame, group: str, order: list[str], target: int = 4_
 
     A group of n rows is cut into ceil(n / target) salted buckets by a hash of the ``order`` columns, so no
     task orders a whole hot group; ranks run bucket after bucket, and by ``order`` in each. Rows equal in
-    all ``order`` columns are interchangeable. Three shuffles, of ``df``'s own (narrow) rows and of counts.
+    all ``order`` columns are interchangeable. ``group`` must have a number of values that parameters bound (arcs of a
+    ring, lengths up to a sequence's): their counts are broadcast, so rows are first dealt out by group and bucket
+    and never by the group alone.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = F.broadcast(df.groupBy(group).agg(F.count(F.lit(1)).alias("__n")))
     salted = df.join(sizes, group).withColumn(
         "__b", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / F.lit(target)).cast("long"))).drop("__n")
     before = Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
