@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -90,6 +91,19 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` whose Python workers find this package even where the driver's own path was set by hand.
+
+    Where the package is installed on the executors, or sent with the job, the added path changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = df.sparkSession.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(run, schema)
+
+
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
           "binary": pa.binary()}
 
@@ -121,7 +135,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[tuple[str, str]],
                 yield pa.RecordBatch.from_arrays(
                     piece.columns[:n_kept] + [x.cast(kind) for x, kind in zip(made, types)], names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, schema)
+    return map_arrow(df.select(*[F.col(f"`{c}`") for c in wanted]), run, schema)
 
 
 def rank_in_groups(df: DataFrame, group: str, order: list[str], target: int = 4_000) -> DataFrame:

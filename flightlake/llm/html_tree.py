@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns
+from flightlake.llm.common import add_columns, map_arrow
 
 # Expected training pages, the most leaves of a page kept for training, and gradient steps.
 TRAIN_PAGES, TRAIN_LEAVES, STEPS, RIDGE = 2_000, 400, 200, 0.002
@@ -337,7 +337,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([found[pick].ravel().tolist()]), pa.array([labels[pick].tolist()]), pa.array([pairs.tolist()])], names=["x", "y", "pairs"])
 
-    got = taken.mapInArrow(counted, "x array<double>, y array<double>, pairs array<double>").toArrow()
+    got = map_arrow(taken, counted, "x array<double>, y array<double>, pairs array<double>").toArrow()
     x = np.concatenate([np.empty(0), *[r.values.to_numpy() for c in got.column("x").chunks for r in c]]).reshape(-1, width)
     y = np.concatenate([np.empty(0), *[r.values.to_numpy() for c in got.column("y").chunks for r in c]])
     pairs = sum((r.values.to_numpy() for c in got.column("pairs").chunks for r in c), np.zeros(8))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flightlake.llm.common import add_columns, chunks
+from flightlake.llm.common import add_columns, chunks, map_arrow
 
 DIMS, NGRAM, SEED = 1024, 3, 7
 # Expected number of training documents per language, and the most languages (a prototype takes DIMS floats).
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, training: Column | None = None, text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(np.arange(dims)), pa.array(vector)],
                                              names=["lang", "dim", "x"])
 
-    summed = taken.mapInArrow(sums, "lang string, dim long, x double").groupBy("lang", "dim").agg(F.sum("x").alias("x"))
+    summed = map_arrow(taken, sums, "lang string, dim long, x double").groupBy("lang", "dim").agg(F.sum("x").alias("x"))
     vectors: dict[str, np.ndarray] = {}
     for r in summed.collect():
         vectors.setdefault(r["lang"], np.zeros(dims))[r["dim"]] = r["x"]

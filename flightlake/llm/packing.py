@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import chunks, rank_in_groups
+from flightlake.llm.common import chunks, map_arrow, rank_in_groups
 from flightlake.llm.tokens import token_ids
 from flightlake.session import materialize
 
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, {schema}")
+    return map_arrow(rows, run, f"id {id_type}, {schema}")
 
 
 def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -147,7 +147,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 names=[*cols, "sequence_id", "offset"])
 
     schema = ranked.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(place, schema).withColumnRenamed("id", id_col)
+    return map_arrow(ranked, place, schema).withColumnRenamed("id", id_col)
 
 
 def sequences(packed: DataFrame, sequence: int = SEQUENCE) -> DataFrame:

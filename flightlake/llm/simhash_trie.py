@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns
+from flightlake.llm.common import add_columns, map_arrow
 from flightlake.llm.components import components
 from flightlake.session import materialize, materialize_counted
 
@@ -220,7 +220,8 @@ def _trie_links(keys: DataFrame, n: int, half: int, total: int, swap: bool, leaf
                  .select("ka", F.when(F.col("a") != F.col("b"), F.col("kb")).alias("kb")))
         # A fixed number of tasks: the arrays are small for the work they cause, so sizes must not merge tasks.
         tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts.append(dealt.repartition(tasks, F.xxhash64("ka"), F.xxhash64("kb")).mapInArrow(
+        parts.append(map_arrow(
+            dealt.repartition(tasks, F.xxhash64("ka"), F.xxhash64("kb")),
             lambda it: _walk_pairs(it, half, total, swap), "u long, v long"))
         if depth + STEP > 62:
             break

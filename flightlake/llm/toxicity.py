@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns, chunks
+from flightlake.llm.common import add_columns, chunks, map_arrow
 from flightlake.llm.features import all_grams, distinct
 
 
@@ -115,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         keep = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(keep, -1)), pa.array(np.append(w[keep], model.bias()))], names=["i", "w"])
 
-    learned = rows.repartition(1).sortWithinPartitions("point", "label", "body").mapInArrow(learn, "i long, w double").collect()
+    learned = map_arrow(
+        rows.repartition(1).sortWithinPartitions("point", "label", "body"), learn, "i long, w double").collect()
     weights = {r["i"]: r["w"] for r in learned}
     bias = weights.pop(-1, 0.0)
     at = np.array(sorted(weights), np.int64)

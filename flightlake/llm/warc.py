@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flightlake.llm.common import map_arrow
 from flightlake.session import materialize_counted, scratch_path
 
 MIN_PAYLOAD = 100
@@ -142,7 +143,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def capture_runs(spark, path: str) -> DataFrame:
     """Index rows of all archives under ``path``: one sorted run per archive (column ``run``)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    return files.mapInArrow(_index, _INDEX)
+    return map_arrow(files, _index, _INDEX)
 
 
 class LoserTree:
@@ -198,7 +199,7 @@ def merge_runs(runs: DataFrame, n: int) -> DataFrame:
     parts = max(1, math.ceil(n / MERGE_ROWS), min(n, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keys = ["url_key", "captured_at", "page_id", "run", "offset"]
     dealt = runs.repartitionByRange(parts, *keys).sortWithinPartitions("run", "url_key", "captured_at", "page_id", "offset")
-    return dealt.mapInArrow(_merge, _INDEX + ", range_no int, position long")
+    return map_arrow(dealt, _merge, _INDEX + ", range_no int, position long")
 
 
 def archive_and_index(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
