@@ -257,6 +257,18 @@ def test_pipeline_stages(spark, tmp_dir):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontaminate", "pseudonyms", "pack"]
 
 
+def test_pipeline_run_leaves_only_stage_results(spark):
+    import os
+    from flightlake.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    packed = corpus_pipeline.run(spark, SF001)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(root)) - before}
+    assert left == {"language", "near_dedup", "decontaminate", "pseudonyms", "pieces"}
+    assert packed.select("doc_id").distinct().count() > 100
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_dir):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
