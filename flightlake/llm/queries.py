@@ -31,7 +31,8 @@ def _remainder(modulus: int):
 
 
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_and_index(_table(spark, sf_dir, "pages"))
+    merged = warc.archive_and_index(_table(spark, sf_dir, "pages"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
 
 
 def q_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,4 +114,20 @@ FROM hit JOIN n ON hit.item_id = n.item_id AND hit.item_text = n.item_text
 WHERE n_shared / n_item >= 0.8 - 1e-12
 """
 
-SQL = {"op9_decontaminate": DECONTAMINATE_SQL}
+# What the archives must hold, straight from the pages. (The key of a URL as web pages have it: a scheme, no port.)
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, url, sha256(h) AS payload_digest, CAST(strlen(h) AS BIGINT) AS payload_bytes FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1),
+u AS (SELECT *, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www\.', '') AS host,
+             regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+             regexp_extract(url, '^[^?#]*(\?[^#]+)', 1) AS query FROM d)
+SELECT page_id, payload_bytes, u.payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to,
+       CASE WHEN url = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
+            || CASE WHEN path = '' THEN '/' ELSE path END || query END AS url_key,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(coalesce(page_id, 0)), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+FROM u LEFT JOIN f ON u.payload_digest = f.payload_digest
+"""
+
+SQL = {"op1_warc_merge": WARC_SQL, "op9_decontaminate": DECONTAMINATE_SQL}
