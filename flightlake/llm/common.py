@@ -138,7 +138,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[tuple[str, str]],
     return map_arrow(df.select(*[F.col(f"`{c}`") for c in wanted]), run, schema)
 
 
-def rank_in_groups(df: DataFrame, group: str, order: list[str], target: int = 4_000) -> DataFrame:
+def rank_in_groups(df: DataFrame, group: str, order: list[str], target: int = 1_000) -> DataFrame:
     """``df`` (a written table) with ``rank``: 0, 1, ... within each ``group``, without gaps.
 
     A group of n rows is cut into ceil(n / target) salted buckets by a hash of the ``order`` columns, so no
