@@ -10,8 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-# Text bytes worked on at once inside a task (arrays of a few times this size are held).
-CHUNK_BYTES = 2 * 1024 * 1024
+# Text bytes worked on at once inside a task (arrays of a few dozen times this size are held).
+CHUNK_BYTES = 512 * 1024
 
 
 def free_name(df: DataFrame, base: str) -> str:

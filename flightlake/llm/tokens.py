@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from flightlake.llm.common import span_hashes, utf8_buffer
 
-# Most remembered parts in a worker (about 50 bytes each), and their greatest length in bytes.
+# Most remembered parts in a worker (about 30 bytes each), and their greatest length in bytes.
 KNOWN_PARTS, PART_BYTES = 1_000_000, 64
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), 28, 29, 30, 31, 32]] = True
@@ -36,7 +36,7 @@ class Parts:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.keys, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat, self.used = np.empty(1 << 16, "<u4"), 0
 
     def encode(self, parts: list[str]) -> list[np.ndarray]:
@@ -103,7 +103,7 @@ class Parts:
                 f = first[new]
                 self.remember(keys[new], self.encode([data[a:b].decode("utf-8") for a, b in zip(starts[f].tolist(), ends[f].tolist())]))
                 at = np.searchsorted(self.keys, keys)
-            begin, size = self.starts[at][inverse], self.sizes[at][inverse]
+            begin, size = self.starts[at][inverse].astype(np.int64), self.sizes[at][inverse].astype(np.int64)
             after = np.cumsum(size)
             flat = self.flat[np.repeat(begin - (after - size), size) + np.arange(after[-1])]
             bounds = np.concatenate([[0], after])[np.searchsorted(starts, offsets)]
