@@ -195,16 +195,12 @@ def _days(wide: tuple[int, int], year_first: bool, slashed: bool, american: bool
     return tuple(out)
 
 
-# Names whose assigned value is a password.
-_NAMED = "|".join(f"(?<={name}{mark})" for word in ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey")
-                  for name in (word, word.upper()) for mark in ("=", ":"))
-
-# Kinds in the order they are tried at a place; each pattern takes whole values only.
+# Kinds in the order they are tried at a place; each pattern takes whole values only (its group, if it has one).
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])", _email),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])", _secret),
-    ("password", rf"(?:{_NAMED})[A-Za-z0-9._~+/-]{{6,64}}(?![A-Za-z0-9])", _password),
+    ("password", r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api_?key)[=:]([A-Za-z0-9._~+/-]{6,64})(?![A-Za-z0-9])", _password),
     ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _address),
     ("day", r"(?<![\d/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)", _day),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
@@ -213,7 +209,7 @@ KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
 ]
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
 _RULES = {name: (re.compile(pattern, re.ASCII), rule) for name, pattern, rule in KINDS}
-_HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key)[=:]")
+_HINT = re.compile(r"[0-9@=:]")
 
 
 def pseudonymize(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]]:
@@ -231,8 +227,10 @@ def pseudonymize(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]
         for name in names[names.index(match.lastgroup):]:
             pattern, rule = _RULES[name]
             own = pattern.match(text, start)
-            if own and (new := rule(own[0], key)) is not None:
-                hit = (own.end(), name, new)
+            value = own.re.groups if own else 0  # 0: the whole match
+            if own and (new := rule(own[value], key)) is not None:
+                hit = (own.end(value), name, new)
+                start = own.start(value)
                 break
         if hit is None:
             at = start + 1
