@@ -4,11 +4,15 @@ Every letter has a random vector of +1 and -1 (made from its code point, so no t
 n-gram binds its letters: each letter's vector is rotated by its place and the vectors are multiplied. A document
 bundles (adds) the vectors of all its n-grams; a language's prototype bundles the unit vectors of its documents. A
 document's language is the prototype with the largest cosine.
+
+Cosines of unlike texts are not 0 but noise of about 1 / sqrt(dims) around it, and more where letters are shared. What counts
+as like a language is learned with the prototypes, from the cosines of the language's own documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +24,10 @@ DIMS, NGRAM, SEED = 1024, 3, 7
 # Expected number of training documents per language, and the most languages (a prototype takes DIMS floats).
 TRAIN_PER_LANG, MAX_LANGS = 4_000, 1_000
 UNKNOWN = "und"
+# Rejection bound: this part of the low quantile of a language's own training cosines (each against the prototype without
+# the document itself, relative to the cosine usual at its length), less so many deviations of the noise. A
+# language with one training document alone has none: there it is the cosine that noise exceeds in this share of unlike texts.
+MARGIN, LOW, DEVIATIONS, CHANCE = 0.5, 0.01, 2.5, 0.01
 # N-gram kinds turned into vectors at once (a block of KINDS x DIMS floats).
 KINDS = 2_048
 _LETTER = np.empty(0, bool)
@@ -79,10 +87,17 @@ def ngram_counts(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarra
 
 def bundle(texts: list[str | None], dims: int = DIMS, n: int = NGRAM, seed: int = SEED) -> np.ndarray:
     """The documents' vectors, one row each (zeros without letters)."""
+    return _bundled(texts, dims, n, seed)[0]
+
+
+def _bundled(texts: list[str | None], dims: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The documents' vectors and their effective numbers of n-grams: squared sum by sum of squares, so that repeats of a
+    few n-grams count as few."""
     row, kind, count, letters = ngram_counts(texts, n)
-    out = np.zeros((len(texts), dims), np.float32)
+    out, grams = np.zeros((len(texts), dims), np.float32), np.bincount(row, count, len(texts)).astype(np.float64) ** 2
+    grams /= np.maximum(np.bincount(row, count.astype(np.float64) ** 2, len(texts)), 1)
     if not len(row):
-        return out
+        return out, grams
     symbols, at = np.unique(letters, return_inverse=True)
     at = at.reshape(letters.shape)
     table = np.stack([letter_vector(int(s), dims, seed) for s in symbols])
@@ -98,7 +113,7 @@ def bundle(texts: list[str | None], dims: int = DIMS, n: int = NGRAM, seed: int
         weights = np.zeros((len(rows), len(block)), np.float32)
         weights[local, kind[lo:hi] - start] = count[lo:hi]
         out[rows] += weights @ vectors.astype(np.float32)
-    return out
+    return out, grams
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -107,23 +122,51 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 class Profiles:
-    """Learned languages in alphabetical order and their unit prototype vectors."""
+    """Learned languages in alphabetical order and their unit prototype vectors.
 
-    def __init__(self, langs: list[str], vectors: np.ndarray, n: int, seed: int) -> None:
+    ``spread`` and ``least`` (one for each language; 0: nothing learned) make the rejection bound, see ``bounds``.
+    """
+
+    def __init__(self, langs: list[str], vectors: np.ndarray, n: int, seed: int, spread: np.ndarray | None = None,
+                 least: np.ndarray | None = None) -> None:
         self.langs, self.vectors, self.n, self.seed = langs, vectors, n, seed
+        self.spread = np.zeros(len(langs)) if spread is None else spread
+        self.least = np.zeros(len(langs)) if least is None else least
 
     def cosines(self, texts: list[str | None]) -> np.ndarray:
         return _unit(bundle(texts, self.vectors.shape[1], self.n, self.seed)) @ self.vectors.T
 
+    def bounds(self, grams: np.ndarray) -> np.ndarray:
+        """Cosine with each language (column) from which a text with so many effective n-grams (row) is like it."""
+        noise = 1 / np.sqrt(self.vectors.shape[1])
+        return np.where(self.least > 0, _usual_cosine(grams[:, None], self.spread) * self.least - DEVIATIONS * noise,
+                        NormalDist().inv_cdf(1 - CHANCE / len(self.langs)) * noise)
+
+    def resembles(self, texts: list[str | None]) -> np.ndarray:
+        """Whether each text is like a learned language; texts without n-grams are like none."""
+        if not self.langs:
+            return np.zeros(len(texts), bool)
+        vectors, grams = _bundled(texts, self.vectors.shape[1], self.n, self.seed)
+        return (grams > 0) & (_unit(vectors) @ self.vectors.T >= self.bounds(grams)).any(axis=1)
+
+
+def _usual_cosine(grams: np.ndarray, spread: np.ndarray | float) -> np.ndarray:
+    """Cosine with its prototype of a text of ``grams`` effective n-grams drawn from a language whose n-gram shares have the
+    sum of squares ``spread``: each n-gram adds its share to the product, so it grows with the square root, up to 1."""
+    return np.sqrt(np.minimum(grams * spread, 1))
+
 
 def fit(docs: DataFrame, training: Column | None = None, text_col: str = "text", lang_col: str = "lang",
-        id_col: str = "doc_id", per_lang: int = TRAIN_PER_LANG, dims: int = DIMS, n: int = NGRAM, seed: int = SEED) -> Profiles:
+        id_col: str = "doc_id", per_lang: int = TRAIN_PER_LANG, dims: int = DIMS, n: int = NGRAM, seed: int = SEED, bounds: bool = True) -> Profiles:
     """Prototypes from rows with a language and where ``training`` holds.
 
     About ``per_lang`` rows of each language are taken by a hash of their id (all, where there are fewer), a bound on
     what training reads of labelled rows. Tasks add up their documents' unit vectors by language; only these sums
     (languages x dims, checked against ``MAX_LANGS``) are shuffled and collected. Null texts and texts without letters
     add nothing; a language without any letter is not learned; with no row nothing is learned.
+
+    With ``bounds`` the same rows are read again for the rejection bounds (used by ``drop_unidentified`` alone); two numbers
+    of each come to the driver, so at most about ``per_lang`` pairs for a language.
     """
     rows = docs.select(F.col(text_col).alias("body"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
                        (F.lit(True) if training is None else training).alias("used"))
@@ -157,7 +200,40 @@ def fit(docs: DataFrame, training: Column | None = None, text_col: str = "text",
         vectors.setdefault(r["lang"], np.zeros(dims))[r["dim"]] = r["x"]
     langs = sorted(lang for lang, v in vectors.items() if v.any())
     stacked = np.stack([vectors[lang] for lang in langs]) if langs else np.zeros((0, dims))
-    return Profiles(langs, _unit(np.round(stacked, 9)).astype(np.float32), n, seed)
+    profiles = Profiles(langs, _unit(np.round(stacked, 9)).astype(np.float32), n, seed)
+    if bounds and langs:
+        _learn_bounds(profiles, taken, np.linalg.norm(stacked, axis=1))
+    return profiles
+
+
+def _learn_bounds(profiles: Profiles, taken: DataFrame, norms: np.ndarray) -> None:
+    """``spread`` and ``least`` from the training rows; ``norms`` are the lengths of the prototypes' sums."""
+    dims, n, seed, vectors = profiles.vectors.shape[1], profiles.n, profiles.seed, profiles.vectors
+    place = {lang: i for i, lang in enumerate(profiles.langs)}
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in chunks(batch.column(0)):
+                lang = np.array([place.get(x, -1) for x in batch.column(1).slice(at, len(part)).to_pylist()], np.int32)
+                at += len(part)
+                found, grams = _bundled(part.to_pylist(), dims, n, seed)
+                used = (lang >= 0) & (grams > 0)
+                lang, grams, units = lang[used], grams[used], _unit(found[used])
+                # Against the sum without the document itself; where nothing is left of it, there is nothing to learn from.
+                along = (units * vectors[lang]).sum(axis=1, dtype=np.float64) * norms[lang]
+                rest = np.sqrt(np.maximum(norms[lang] ** 2 - 2 * along + 1, 0))
+                some = rest > 0.01
+                yield pa.RecordBatch.from_arrays([pa.array(lang[some]), pa.array(grams[some]), pa.array((along[some] - 1) / rest[some])],
+                                                 names=["lang", "grams", "cosine"])
+
+    got = map_arrow(taken, own, "lang int, grams double, cosine double").toArrow()
+    lang, grams, cosine = (got.column(c).to_numpy() for c in ("lang", "grams", "cosine"))
+    for i in range(len(profiles.langs)):
+        m, c = grams[lang == i], np.maximum(cosine[lang == i], 0)
+        if len(m) and (spread := float(np.median(c ** 2 / m))) > 0:
+            profiles.spread[i] = spread
+            profiles.least[i] = MARGIN * float(np.quantile(c / _usual_cosine(m, spread), LOW))
 
 
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep: list[str] | None = None,
@@ -184,7 +260,15 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep:
 
 
 def drop_unidentified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` without rows that resemble no learned language: no letter, or no prototype with a positive cosine."""
+    """``docs`` without rows that resemble no learned language: no letter, or every cosine under the language's bound.
+
+    Bounds follow the number of n-grams (``Profiles.bounds``). Under about a hundred letters, clean texts come near the noise;
+    such texts rather stay. So can texts in an unlearned language that has letter sequences of a learned one.
+    """
     cols = docs.columns
-    rows = identify(docs.toDF(*[f"c{i}" for i in range(len(cols))]), profiles, f"c{cols.index(text_col)}")
-    return rows.where("lang_pred != 'und' and cosine > 0").drop("lang_pred", "score", "cosine").toDF(*cols)
+
+    def run(texts: pa.Array) -> list:
+        return [profiles.resembles(texts.to_pylist())]
+
+    rows = add_columns(docs.toDF(*[f"c{i}" for i in range(len(cols))]), [f"c{cols.index(text_col)}"], [("known", "boolean")], run)
+    return rows.where("known").drop("known").toDF(*cols)

@@ -77,7 +77,7 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    profiles = langid.fit(docs, training=_remainder(3) != 1)
+    profiles = langid.fit(docs, training=_remainder(3) != 1, bounds=False)
     found = langid.identify(docs, profiles, keep=["doc_id"])
     return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "cosine")
 

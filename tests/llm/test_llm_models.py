@@ -59,6 +59,26 @@ def test_language_odd_rows(spark):
     assert langid.identify(docs.limit(0), profiles).count() == 0
 
 
+FOREIGN = {
+    "ru": "кошка спит на коврике а на улице идёт дождь завтра мы пойдём рынок купить хлеб сыр детям завтрак потом школу",
+    "el": "η γάτα κοιμάται στο χαλί ενώ έξω βρέχει στην πόλη αύριο θα πάμε αγορά για να αγοράσουμε ψωμί και τυρί",
+    "zh": "猫在垫子上 睡觉 外面正在下雨 明天我们 去市场 买面包 和奶酪 给孩子们 做早餐 然后去学校",
+    "tr": "kedi halının üzerinde uyuyor ve dışarıda yağmur yağıyor yarın çocukların kahvaltısı için ekmek peynir almak üzere pazara gideceğiz",
+    "pl": "kot śpi na macie a za oknem pada deszcz jutro pójdziemy targ żeby kupić chleb ser śniadanie dla dzieci które lubią bawić się"}
+
+
+def test_language_unlike_texts_go_and_clean_ones_stay(spark):
+    rng = random.Random(3)
+    unlike = [" ".join(rng.choices(words.split(), k=k)) for words in FOREIGN.values() for k in (40, 100, 300) for _ in range(15)]
+    unlike += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(k)) for k in (40, 100, 300) for _ in range(15)]
+    unlike += [" ".join(f"{rng.getrandbits(64):016x}" for _ in range(k)) for k in (40, 100, 300) for _ in range(15)]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    profiles = langid.fit(docs)
+    made = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(unlike)], docs.schema)
+    left = [r["doc_id"] for r in langid.drop_unidentified(docs.unionByName(made), profiles).collect()]
+    assert sum(i < 0 for i in left) <= 0.02 * len(unlike) and sum(i >= 0 for i in left) == docs.count()
+
+
 def insults(n, seed=2):
     rng = random.Random(seed)
     common = [f"word{i}" for i in range(300)]
