@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from flightlake.llm.common import add_columns
 
 ROUNDS = 8
+# Characters permuted together; longer values go piece by piece, each under the pieces before it.
+LONGEST = 128
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -40,6 +42,13 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
 
 def _symbols(text: str, key: bytes, kind: str, ranges: list[tuple[int, int]]) -> str:
     """``text`` with the characters at places where ``ranges`` gives (first code, count) permuted together."""
+    if len(text) > LONGEST:
+        n, before, out = -(-len(text) // LONGEST), hashlib.blake2b(key=key, digest_size=16), []
+        cuts = [len(text) * i // n for i in range(n + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            out.append(_symbols(text[a:b], key, f"{kind}:{before.hexdigest()}", ranges[a:b]))
+            before.update(text[a:b].encode("utf-8", "surrogatepass"))
+        return "".join(out)
     value, size = 0, 1
     for ch, (low, count) in zip(text, ranges):
         value, size = value * count + ord(ch) - low, size * count
@@ -76,12 +85,19 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+# First digits that stay: 2 to 6 are the travel and banking industries as a whole; of the others the ranges given to card
+# issuers: UATP (15 digits), GPN, UnionPay and RuPay 81 and 82, UzCard, Napas, Troy, Humo.
+_ISSUER = re.compile(r"[2-6]|1(?=\d{14}\Z)|8[12](?=\d{14,17}\Z)|(?:1946|8600|9704|9792|9860)(?=\d{12}(?:\d{3})?\Z)", re.ASCII)
+
+
 def _card(found: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", found)
-    if not 13 <= len(digits) <= 19 or digits[0] not in "23456" or luhn_digit(digits[:-1]) != digits[-1]:
+    issuer = _ISSUER.match(digits)
+    if not 13 <= len(digits) <= 19 or not issuer or luhn_digit(digits[:-1]) != digits[-1]:
         return None
-    body = _symbols(digits[1:-1], key, "card" + digits[0], [(48, 10)] * (len(digits) - 2))
-    fresh = iter(digits[0] + body + luhn_digit(digits[0] + body))
+    first = issuer[0]
+    body = _symbols(digits[len(first):-1], key, "card" + first, [(48, 10)] * (len(digits) - len(first) - 1))
+    fresh = iter(first + body + luhn_digit(first + body))
     return "".join(next(fresh) if ch.isdigit() else ch for ch in found)
 
 
@@ -103,7 +119,7 @@ def _phone(found: str, key: bytes) -> str | None:
     """Country code and marks stay; all other digits move together."""
     lead = re.match(r"\+\d{1,3}(?=\D)", found)
     at = lead.end() if lead else 0
-    if not 7 <= len(re.sub(r"\D", "", found[at:])) <= 14:
+    if not 7 <= len(re.sub(r"\D", "", found[at:])) <= (15 if found[0] == "+" and not lead else 14):
         return None
     return found[:at] + _symbols(found[at:], key, "phone" + found[:at], _classes(found[at:]))
 
@@ -156,7 +172,7 @@ def _day(found: str, key: bytes) -> str | None:
     a, mark, b, _, c = parts
     year_first = len(a) == 4
     year, month, day = (int(a), int(b), int(c)) if year_first else (int(c), int(b), int(a))
-    american = mark == "/" and not year_first and month > 12
+    american = mark in "/-" and not year_first and month > 12
     if american:
         month, day = day, month
     try:
@@ -167,7 +183,7 @@ def _day(found: str, key: bytes) -> str | None:
         return None
     # Among the days written in the same way: equal widths, and where only one order of day and month is possible, that.
     wide = (len(b), len(c)) if year_first else (len(a), len(b))
-    days = _days(wide, year_first, mark == "/" and not year_first, american)
+    days = _days(wide, year_first, mark in "/-" and not year_first, american)
     place = _find(days, ordinal)
     if place is None:
         return None
@@ -195,23 +211,43 @@ def _days(wide: tuple[int, int], year_first: bool, slashed: bool, american: bool
     return tuple(out)
 
 
-# Kinds in the order they are tried at a place; each pattern takes whole values only (its group, if it has one).
+# A further digit of an international number, with what stands before it (no IP address or date begins there); no-break
+# spaces are usual in French text. North American numbers have ten digits, so that what follows them stays apart.
+_GAP = "[ .  /-]{0,2}"
+_DIGIT = rf"(?:(?=\d)|{_GAP}(?!\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?!\d)|\d{{4}}-\d\d?-\d\d?(?!\d)))\(?\d(?:\)(?={_GAP}\d))?"
+# Assigned values: quoted ones whole; without quotes after a space, a plain word is a value of passwords only ("the token: nothing").
+_SET = "A-Za-z0-9._~+/!@#$%^*=-"
+_VALUE = rf"(?:[{_SET}]{{5,}}[A-Za-z0-9]|[A-Za-z0-9._~+/-]{{6,}}(?![A-Za-z0-9]))"
+_PLAIN = r"[A-Za-z][a-z]*(?:[-/][a-z]+)*[^A-Za-z0-9\s\"']*(?:[\s\"']|\Z)"
+_PASS, _KEYS, _SIGN = "password|passwd|pwd", "secret|token|api[_-]?key", r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}"
+_ASSIGNED = (rf"(?<![A-Za-z0-9])(?:(?i:{_PASS}|{_KEYS}){_SIGN}(?:\"([^\"\n]{{6,}})\"|'([^'\n]{{6,}})')|"
+             rf"(?:(?i:{_PASS}){_SIGN}|(?i:{_KEYS})(?:[=:]|{_SIGN}(?!{_PLAIN})))[\"']?({_VALUE}))")
+# Kinds in the order they are tried at a place; each pattern takes whole values only (the group that matched, if it has any).
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])", _email),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])", _secret),
-    ("password", r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api_?key)[=:]([A-Za-z0-9._~+/-]{6,64})(?![A-Za-z0-9])", _password),
+    ("password", _ASSIGNED, _password),
     ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _address),
-    ("day", r"(?<![\d/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)", _day),
+    ("day", r"(?<![\d/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _day),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
-    ("card", r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-]|\.\d)", _card),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|\+\d{9,14})(?!\d)", _phone),
+    ("card", r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\d-]|\.\d)", _card),
+    ("phone", rf"(?<![\w+])(?:\+1{_GAP}\(?\d{{3}}\)?{_GAP}\d{{3}}{_GAP}\d{{4}}(?!\d)|\+\d{{1,3}}(?!\d)(?:{_DIGIT}){{7,14}}|\+\d(?:{_DIGIT}){{7,14}}|"
+     r"\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)", _phone),
 ]
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
 _RULES = {name: (re.compile(pattern, re.ASCII), rule) for name, pattern, rule in KINDS}
 _HINT = re.compile(r"[0-9@=:]")
 
 
+def _elsewhere(found: str, key: bytes) -> tuple[str, str] | None:
+    """Kind and pseudonym of an assigned value that is a whole value of another kind, as it has where nothing is assigned."""
+    for name, (pattern, rule) in _RULES.items():
+        if name != "password" and pattern.fullmatch(found) and (new := rule(found, key)) is not None:
+            return name, new
+    return None
+
+
 def pseudonymize(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with every valid value replaced, and (start, end, kind) of each in the new text.
 
@@ -227,8 +263,10 @@ def pseudonymize(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]
         for name in names[names.index(match.lastgroup):]:
             pattern, rule = _RULES[name]
             own = pattern.match(text, start)
-            value = own.re.groups if own else 0  # 0: the whole match
+            value = (own.lastindex or 0) if own else 0  # 0: the whole match
             if own and (new := rule(own[value], key)) is not None:
+                if name == "password":
+                    name, new = _elsewhere(own[value], key) or (name, new)
                 hit = (own.end(value), name, new)
                 start = own.start(value)
                 break

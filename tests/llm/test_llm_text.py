@@ -156,6 +156,51 @@ def test_assigned_passwords():
     assert all(re.fullmatch("[0-9a-f]{18}|[0-9A-F]{18}", v) for v in values)
 
 
+FORMS = ["+33 6 12 34 56 78", "+33 (0)1 42 68 53 00", "+33\u00a06\u00a012\u00a034\u00a056\u00a078", "+44 7911 123456", "+44 (0)20 7946 0958", "+49 30 901820", "+49 151 23456789",
+         "+49 30/901820", "+34 612 345 678", "+33612345678", "+4915123 456789", "31-12-1999", "12-31-1999", "1-2-2003", "3056-930902-5904", "3782-822463-10005",
+         "8171999927660000", "9792 0303 9444 0796", "135412345678911"]
+
+
+@pytest.mark.parametrize("value", FORMS)
+def test_national_forms(value):
+    text = f"Before {value}, and (after {value})."
+    new, found = feistel.pseudonymize(text, KEY)
+    first, second = [new[a:b] for a, b, _ in found]
+    assert value not in new and shape(new) == shape(text) and first == second and len(first) == len(value)
+    again, more = feistel.pseudonymize(first, KEY)
+    assert [k for *_, k in more] == [found[0][2]] and again != first
+
+
+def test_phone_beside_other_numbers_and_cards_of_no_issuer():
+    for text in ("+1 (826) 555-4081 190.137.10.7", "+33 6 12 34 56 78 10.1.10.7", "+1 (826) 555-4081 2021-02-28"):
+        assert [k for *_, k in feistel.pseudonymize(text, KEY)[1]] in (["phone", "ip"], ["phone", "day"])
+    new, found = feistel.pseudonymize("+49 30 901820 1234567 and 7083559999999999", KEY)
+    assert [(a, b, k) for a, b, k in found] == [(0, 13, "phone")] and new.endswith(" 1234567 and 7083559999999999")
+
+
+@pytest.mark.parametrize("text,value", [('password = "correct horse battery"', "correct horse battery"), ("pwd: hunter2-secret", "hunter2-secret"), ("Password: swordfish", "swordfish"),
+                                        ("token = 'Ab3dEf6h'", "Ab3dEf6h"), ('{"api_key": "Zz81-kq02-Lm"}', "Zz81-kq02-Lm"), ("secret=" + "aB3" * 40, "aB3" * 40), ("token: " + "x9Y" * 700, "x9Y" * 700),
+                                        ("passwd=p@ssw0rd!", "p@ssw0rd"), ('token = "cut0ff123', "cut0ff123")])
+def test_assigned_forms(text, value):
+    new, found = feistel.pseudonymize(text, KEY)
+    assert len(found) == 1 and shape(new) == shape(text) and len(new) == len(text) and value not in new
+    a, b, _ = found[0]
+    assert (a, b - a) == (text.index(value), len(value)) and new[:a] + new[b:] == text[:a] + text[b:]
+
+
+def test_assigned_values_of_other_kinds_and_prose():
+    code = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce"
+    new, found = feistel.pseudonymize(f'{code} token = "{code}" password={code}', KEY)
+    assert len({new[a:b] for a, b, _ in found}) == 1 and len(found) == 3
+    for text in ("The secret: nothing at all.", "A token = placeholder, as said.", "Tokens: 12 of 14"):
+        assert feistel.pseudonymize(text, KEY) == (text, [])
+
+
+def test_long_values_stay_one_to_one():
+    values = [f"{i:04d}" + "x" * 300 + f"{i * 7 % 1000:03d}" for i in range(500)]
+    assert len({feistel.pseudonymize(f"token={v}", KEY)[0] for v in values}) == 500
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_clean_text_stays(text):
     assert feistel.pseudonymize(text, KEY) == (text, [])
