@@ -53,6 +53,16 @@ NAMED = {
     "body": "article content main post entry story text body articlebody maintext prose",
 }
 _NAME_KIND = {name: kind for kind, names in NAMED.items() for name in names.split()}
+# Names that are also words for what articles are about. Inside an article they count as a whole class or role of a container,
+# or where the part is made of links or has form fields; those of ``_PROSE`` (notes to the reader) only by such structure.
+_TOPIC = frozenset(
+    "discussion more message input search warning related feedback response reply replies respond reviews form register login signup notice alert menu "
+    "navigation pagination toc tabs legal copyright share sharing follow like tweet tags meta social subscription subscribe popular trending commercial "
+    "promotion recommended recommendations header banner top foot bottom rail disclaimer overlay".split())
+_PROSE = frozenset("more message input warning".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_TEXT = _HEADING | frozenset("p blockquote pre li dt dd td th caption figcaption legend summary".split())
+_FIELD = frozenset("input select textarea button".split())
 _TAG_KIND = {"nav": "menu", "menu": "menu", "header": "header", "footer": "footer", "aside": "sidebar", "form": "form", "dialog": "notice", "fieldset": "form"}
 KINDS = list(NAMED)
 FEATURES = (["bias", "inside_marked", "outside_marked", "log_chars", "link_share", "sentence_marks", "few_words", "heading", "paragraph",
@@ -75,7 +85,7 @@ _MARK = re.compile(r"[.!?;:,](?=\s|$)")
 class Page:
     """Block elements and text runs of a page; a parent always comes before its children."""
 
-    __slots__ = ("parent", "tag", "kinds", "text", "linked", "marked")
+    __slots__ = ("parent", "tag", "kinds", "text", "linked", "marked", "unsure", "fields")
 
     def __init__(self) -> None:
         self.parent: list[int] = []
@@ -84,6 +94,8 @@ class Page:
         self.text: list[str | None] = []  # of leaves
         self.linked: list[int] = []
         self.marked: list[bool] = []  # inside article or main
+        self.unsure: dict[int, set[str]] = {}  # kinds that count by the element's structure only
+        self.fields: dict[int, int] = {}  # form fields right below an element
 
     def add(self, parent: int, tag: str, kinds: frozenset, marked: bool, text: str | None = None, linked: int = 0) -> int:
         self.parent.append(parent)
@@ -95,15 +107,38 @@ class Page:
         return len(self.parent) - 1
 
 
-def _named(attributes: str) -> set[str]:
-    """Kinds that class, id and role name, word by word; camel case and dashes part words."""
-    found = set()
+def _named(attributes: str, tag: str, inside: bool) -> tuple[set[str], set[str]]:
+    """Kinds that class, id and role name, word by word (camel case and dashes part words), and kinds that count by structure
+    only. Ids of headings and paragraphs are places to link to and name nothing."""
+    found, unsure = set(), set()
     for name, a, b, c in _ATTR.findall(attributes):
-        if name.lower() in ("hidden", "aria-hidden"):
+        name = name.lower()
+        if name in ("hidden", "aria-hidden") or (name == "id" and (tag in _HEADING or tag in ("p", "blockquote"))):
             continue
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()
-        found.update(_NAME_KIND[w] for w in _WORDS.findall(value) if w in _NAME_KIND)
-    return found
+        for part in re.sub(r"([a-z])([A-Z])", r"\1 \2" if name == "id" else r"\1-\2", a or b or c).lower().split():
+            words = _WORDS.findall(part)
+            whole = name != "id" and tag not in _TEXT and all(w in _NAME_KIND for w in words)
+            for w in words:
+                if w in _NAME_KIND:
+                    sure = not inside or w not in _TOPIC or (whole and w not in _PROSE)
+                    (found if sure else unsure).add(_NAME_KIND[w])
+    return found, (set() if tag in _HEADING else unsure - found)
+
+
+def _settle(page: Page) -> None:
+    """Gives elements the kinds that their names leave open if half of their text is linked or they have form fields."""
+    n = len(page.parent)
+    size, linked, fields = [len(t) if t is not None else 0 for t in page.text], page.linked.copy(), [page.fields.get(i, 0) for i in range(n)]
+    for i in range(n - 1, 0, -1):  # children come after their parent
+        p = page.parent[i]
+        size[p], linked[p], fields[p] = size[p] + size[i], linked[p] + linked[i], fields[p] + fields[i]
+    more: dict[int, frozenset] = {}
+    for i in range(1, n):
+        own = page.unsure.get(i, ()) if fields[i] or (size[i] and 2 * linked[i] >= size[i]) else ()
+        above = more.get(page.parent[i])
+        if own or above:
+            more[i] = (above or frozenset()) | frozenset(own)
+            page.kinds[i] |= more[i]
 
 
 def parse(source: str) -> Page:
@@ -155,6 +190,8 @@ def parse(source: str) -> Page:
         if not name:
             continue
         tag = name.lower()
+        if not end and tag in _FIELD:
+            page.fields[stack[-1][1]] = page.fields.get(stack[-1][1], 0) + 1
         if not end and tag in RAW:
             closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at) if tag not in unclosed else None
             if not closing:
@@ -198,13 +235,17 @@ def parse(source: str) -> Page:
         parent = stack[-1][1]
         main = tag in ("article", "main") and not page.kinds[parent] & {"comment", "sidebar", "advert"}
         marked = page.marked[parent] or main
-        own = _named(attributes)
+        own, unsure = _named(attributes, tag, marked and not main or "body" in page.kinds[parent])
         if tag in _TAG_KIND and not (tag == "header" and marked):
             own.add(_TAG_KIND[tag])
         if tag in ("article", "main"):
             own -= {"header", "social", "notice"}
         stack.append((tag, page.add(parent, tag, page.kinds[parent] | own, marked)))
+        if unsure:
+            page.unsure[stack[-1][1]] = unsure
     flush()
+    if page.unsure:
+        _settle(page)
     return page
 
 

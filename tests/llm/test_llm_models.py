@@ -182,6 +182,27 @@ def test_html_main_text(tree, tag):
     assert tree.extract(PAGE % (tag, tag))[0] == MAIN
 
 
+TOPICS = """<html><body><nav><a href="/">Home</a></nav><%s><h1 id="top">On forums</h1>
+<section id="discussion"><h2 id="input-and-output">Input and output</h2><p id="search">The program reads its input, and then writes.</p></section>
+<h3 id="related-work">Related work</h3><p class="more">Earlier authors have said much more, in longer books.</p>
+<div class="warning">Mind the step, it is high.</div><section id="message-format"><h2 class="feedback">The format</h2><p>Messages have a head, and a body.</p></section>
+<div id="feedback"><p>Loops feed back, as amplifiers do.</p></div>
+<p class="more"><a href="/x">Read more of this</a></p><div class="related-posts"><a href="/a">Ten tricks</a> <a href="/b">Nine tips</a></div>
+<div id="search"><input name="q">Find it</div><div class="discussion"><p>Nice one, thanks a lot.</p></div><p class="ad">Buy now!</p>
+</%s><footer>Imprint</footer></body></html>"""
+TOPICS_MAIN = """On forums Input and output The program reads its input, and then writes. Related work Earlier authors have said much more, in longer books.
+Mind the step, it is high. The format Messages have a head, and a body. Loops feed back, as amplifiers do.""".replace("\n", " ")
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_html_article_parts_named_by_their_topic(tree, tag):
+    assert tree.extract(TOPICS % (tag, tag))[0] == TOPICS_MAIN
+    assert html_tree.prior_model().extract(TOPICS % (tag, tag))[0] == TOPICS_MAIN
+    page = html_tree.parse(TOPICS % (tag, tag))
+    leaves, _ = html_tree.leaf_features(page)
+    assert [page.text[i] for i, y in zip(leaves, html_tree.leaf_labels(page, leaves)) if y] == [page.text[i] for i in leaves if page.text[i] in TOPICS_MAIN]
+
+
 def test_html_given_pages(spark, tree):
     import html as h
     import re
