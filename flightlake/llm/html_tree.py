@@ -259,7 +259,7 @@ def leaf_features(page: Page, hide_marks: bool = False) -> tuple[list[int], np.n
         words = text.count(" ") + 1
         out[row, :14] = (
             1.0, known and page.marked[i], known and not page.marked[i], min(math.log1p(len(text)), 7.0) / 2, page.linked[i] / len(text),
-            min(len(_MARK.findall(text[-400:])), 4) / 4, words < 4, tag in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"),
+            min(len(_MARK.findall(text)), 4) / 4, words < 4, tag in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"),
             tag in ("p", "blockquote"), tag in ("li", "dd", "dt"), tag in ("td", "th", "caption"), tag in ("div", "section", "html"),
             tag == "pre", text[:1] == "©")
         for k in page.kinds[i]:

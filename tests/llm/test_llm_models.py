@@ -203,6 +203,12 @@ def test_html_article_parts_named_by_their_topic(tree, tag):
     assert [page.text[i] for i, y in zip(leaves, html_tree.leaf_labels(page, leaves)) if y] == [page.text[i] for i in leaves if page.text[i] in TOPICS_MAIN]
 
 
+def test_html_sentence_marks_of_the_whole_block():
+    text = "It began well, they said. Then it ended. All went home. " + "alpha beta " * 60
+    leaves, rows = html_tree.leaf_features(html_tree.parse(f"<p>{text}</p>"))
+    assert rows[0, html_tree.FEATURES.index("sentence_marks")] == 1.0
+
+
 def test_html_given_pages(spark, tree):
     import html as h
     import re
