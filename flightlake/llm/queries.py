@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flightlake.llm import feistel, html_tree, langid, packing, quality_forest, toxicity, warc
+from flightlake.llm import centroids, feistel, fim, html_tree, langid, licenses, packing, quality_forest, toxicity, warc
 from flightlake.llm.decontaminate import contaminated
 from flightlake.llm.ring import ring_shards
 from flightlake.llm.simhash_trie import simhash_components
@@ -82,6 +82,20 @@ def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "cosine")
 
 
+def q_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, seed=2)
+
+
+def q_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=1, keep=["doc_id"])
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(), 256).alias("restored_sha256"))
+
+
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_merge": q_warc,
     "op2_shortest_pack": q_pack,
@@ -93,6 +107,9 @@ QUERIES = {
     "op8_html_tree": q_html,
     "op9_decontaminate": q_decontaminate,
     "op10_language_hd": q_language,
+    "op11_centroid_dictionaries": q_centroids,
+    "op12_fim_swar": q_fim,
+    "op13_license_diagonals": q_licenses,
 }
 
 # Brute force: every shingle of every document against every item's shingles, compared as text.
@@ -130,4 +147,80 @@ SELECT page_id, payload_bytes, u.payload_digest, CASE WHEN page_id <> first THEN
 FROM u LEFT JOIN f ON u.payload_digest = f.payload_digest
 """
 
-SQL = {"op1_warc_merge": WARC_SQL, "op9_decontaminate": DECONTAMINATE_SQL}
+
+def _centroids_sql(k: int = 40, rounds: int = 5, dims: int = 64, seed: int = 2) -> str:
+    """Every vector against every centroid, component by component, one CTE a round."""
+    ctes = [f"""e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda c: isfinite(c))) = {dims})""",
+            f"""x AS MATERIALIZED (SELECT r, unnest(range({dims})) AS d,
+  unnest(list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT))) AS v FROM e)""",
+            f"""first AS (SELECT r, row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')), r) - 1 AS c
+  FROM e QUALIFY c < {k})""",
+            "c0 AS MATERIALIZED (SELECT c, d, v FROM first JOIN x USING (r))"]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT r, min({{'dist': dist, 'c': c}}) AS best FROM (
+  SELECT r, c, CAST(sum((x.v - m.v) * (x.v - m.v)) AS BIGINT) AS dist FROM x JOIN c{i} m USING (d) GROUP BY r, c) GROUP BY r)""")
+        if i < rounds:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT m.c, m.d, coalesce(s.v, m.v) AS v FROM c{i} m LEFT JOIN (
+  SELECT best.c AS c, d, CAST(floor(CAST(sum(v) AS DOUBLE) / count(*)) AS BIGINT) AS v FROM a{i} JOIN x USING (r) GROUP BY ALL) s
+  ON m.c = s.c AND m.d = s.d)""")
+    return "WITH " + ",\n".join(ctes) + f""",
+h AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.dist AS distance,
+       CAST(sum(best.dist) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.dist) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a{rounds} JOIN e USING (r) JOIN h ON h.c = best.c"""
+
+
+FIM_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+h AS (SELECT *, len(u) AS n, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2,
+             CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _licenses_sql(templates=licenses.TEMPLATES) -> str:
+    """Grams compared as text instead of hashes; diagonals, merging and verification as relations."""
+    table = ", ".join(f"({i}, '{t.label}', {t.base}, {t.k}, {t.slack}, CAST({t.share} AS DOUBLE), '{' '.join(t.words)}', {t.key_range[0] or 0}, {t.key_range[1] or 0})"
+                      for i, t in enumerate(templates))
+    return rf"""
+WITH t(template, label, base, k, slack, share, body, key_first, key_end) AS (VALUES {table}),
+tg AS (SELECT template, k, unnest(list_transform(range(0, len(w) - k + 1), lambda i: {{'t': i, 'gram': array_to_string(w[i + 1:i + k], ' ')}})) AS g
+       FROM (SELECT template, k, string_split(body, ' ') AS w FROM t)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+dg AS (SELECT r, k, unnest(list_transform(range(0, greatest(len(w) - k + 1, 0)), lambda i: {{'pos': i, 'gram': array_to_string(w[i + 1:i + k], ' ')}})) AS g
+       FROM d, (VALUES (2), (4)) AS ks(k)),
+hit AS (SELECT r, template, dg.g.pos - tg.g.t AS diagonal, tg.g.t AS tp FROM dg JOIN tg ON dg.k = tg.k AND dg.g.gram = tg.g.gram),
+diag AS (SELECT DISTINCT r, template, diagonal FROM hit),
+gap AS (SELECT r, template, diagonal, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap FROM diag),
+grp AS (SELECT r, template, diagonal, sum(CASE WHEN gap IS NULL OR gap > slack THEN 1 ELSE 0 END)
+               OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM gap JOIN t USING (template)),
+cov AS (SELECT r, template, span, count(DISTINCT tp + j) AS covered FROM (
+          SELECT r, template, span, tp, unnest(range(0, k)) AS j FROM hit JOIN grp USING (r, template, diagonal) JOIN t USING (template)) GROUP BY ALL),
+ext AS (SELECT r, template, span, min(diagonal + tp) AS first_word, max(diagonal + tp) AS last, bool_or(key_end = 0 OR (tp <= key_first AND tp + k >= key_end)) AS key_hit
+        FROM hit JOIN grp USING (r, template, diagonal) JOIN t USING (template) GROUP BY ALL),
+s AS (SELECT r, label, base, share, first_word, covered / greatest(len(string_split(body, ' ')), last + k - first_word) AS similarity
+      FROM ext JOIN cov USING (r, template, span) JOIN t USING (template) WHERE key_hit),
+v AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(first_word) FILTER (WHERE base) AS first_word, max(first_word) FILTER (WHERE base) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(similarity) AS score
+      FROM s WHERE similarity >= share GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN v USING (r)
+"""
+
+
+SQL = {"op1_warc_merge": WARC_SQL, "op9_decontaminate": DECONTAMINATE_SQL, "op11_centroid_dictionaries": _centroids_sql(),
+       "op12_fim_swar": FIM_SQL, "op13_license_diagonals": _licenses_sql()}
