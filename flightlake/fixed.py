@@ -102,3 +102,6 @@ REPORT_CLEANED_TYPES = [
     ("flight_time", "timestamp_ntz"),
     ("processed_at", "timestamp_ntz"),
 ]
+
+# Years a calendar may span; times beyond them are taken for wrong ones.
+CALENDAR_YEARS = (1900, 2199)

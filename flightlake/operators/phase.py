@@ -17,13 +17,15 @@ their own partition, as in the plain window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from flightlake.fixed import PHASE_DELTA
 from flightlake.functions.columns import flight_phase_expr
 from flightlake.session import materialize
+from flightlake.sources.versions import DAY, days_of
 
 # Rows one key may hold before its rows are spread over several tasks.
 DEFAULT_HOT_ROWS = 2_000_000
@@ -108,3 +110,92 @@ def flight_phase(
     """Add ``prev_alt`` and ``flight_phase`` (Initializing / Climbing / Descending / Cruising)."""
     lagged = lag_by_key(df, [key], [time_col, *tiebreak], altitude_col, "prev_alt", hot_rows)
     return lagged.withColumn("flight_phase", flight_phase_expr(altitude_col, "prev_alt", delta))
+
+
+def phase_order(columns: Sequence[str], key: str = "icao24", time_col: str = "flight_time") -> list[str]:
+    """An order of an aircraft's rows that no partitioning changes: time, then every other column.
+
+    The batch stamp and the day are no part of it: rows that differ in these alone have the same altitude, so any
+    order of them gives the same phases.
+    """
+    first = [time_col, *[c for c in ("time_position",) if c in columns]]
+    return first + [c for c in columns if c not in (key, "processed_at", DAY, *first)]
+
+
+def _place(columns: Sequence[str], key: str) -> Column:
+    return F.struct(*phase_order(columns, key))
+
+
+def edges_of(rows: DataFrame, key: str = "icao24") -> DataFrame:
+    """First and last place (the whole order key) of each aircraft and day. Edges of appended rows merge by min and max."""
+    at = _place(rows.columns, key)
+    return rows.groupBy(key, DAY).agg(F.min(at).alias("first"), F.max(at).alias("last")).select(key, "first", "last", DAY)
+
+
+def latest_of(edges: DataFrame, key: str = "icao24") -> DataFrame:
+    """The state carried from run to run: the last place of each aircraft, its altitude included."""
+    return edges.groupBy(key).agg(F.max("last").alias("last"))
+
+
+@dataclass(frozen=True)
+class PhaseUpdate:
+    """``rows``: what to write, with ``prev_alt``, ``flight_phase`` and the stamp of rows taken over unchanged
+    (``_old_stamp``). ``rewritten``: days that these rows hold whole and whose stored parts they replace; rows of all other
+    days are added to what is stored."""
+
+    rows: DataFrame
+    rewritten: set[str]
+
+
+def update_phases(new: DataFrame, edges: DataFrame, state: DataFrame | None, old_edges: DataFrame | None,
+                  stored_days: Callable[[set[str]], DataFrame], key: str = "icao24", altitude_col: str = "baro_altitude",
+                  delta: float = PHASE_DELTA, hot_rows: int = DEFAULT_HOT_ROWS) -> PhaseUpdate:
+    """Phases of ``new`` silver rows (with their day) as if all rows so far had been ordered together.
+
+    ``edges`` are those of ``new``, ``state`` and ``old_edges`` those stored by the runs before, and ``stored_days`` reads the
+    stored phases of some days. An aircraft whose new rows all come after its state carries on from it. An aircraft with a
+    late row has the days of its new rows worked out again, and the first day after each, whose first row has another
+    predecessor now; such stored days are replaced whole, the rows of other aircraft taken over as they are.
+    """
+    order = phase_order(new.columns, key)
+    fresh = new.withColumn("_old_stamp", F.lit(None).cast(new.schema["processed_at"].dataType))
+
+    def lagged(rows: DataFrame, before: DataFrame | None) -> DataFrame:
+        """``before`` (key, last) holds the rows that stand before the first of ``rows``; they are left out again."""
+        marked = rows.withColumn("_before", F.lit(False))
+        if before is not None:
+            ghosts = before.select(key, "last.*").withColumn("_before", F.lit(True))
+            marked = marked.unionByName(ghosts, allowMissingColumns=True)
+        out = lag_by_key(marked, [key], order, altitude_col, "prev_alt", hot_rows).where(~F.col("_before")).drop("_before")
+        return out.withColumn("flight_phase", flight_phase_expr(altitude_col, "prev_alt", delta))
+
+    if state is None:
+        return PhaseUpdate(lagged(fresh, None), set())
+    seen = Observation("late-aircraft")
+    starts = edges.groupBy(F.col(key).alias("_k")).agg(F.min("first").alias("_first"))
+    late = F.col("_first") <= F.col("last")
+    known = materialize(starts.join(state, F.col("_k").eqNullSafe(F.col(key))).select(key, "last", late.alias("late"))
+                        .observe(seen, F.count_if("late").alias("late")), "phase-known")
+    before = known.where(~F.col("late")).select(key, "last")
+    if not seen.get["late"]:
+        return PhaseUpdate(lagged(fresh, before), set())
+
+    behind = known.where("late").select(F.col(key).alias("_k"))
+    chain = old_edges.withColumn("is_new", F.lit(False)).unionByName(edges.withColumn("is_new", F.lit(True)))
+    days = (chain.join(behind, F.col(key).eqNullSafe(F.col("_k")), "left_semi").groupBy(key, DAY)
+            .agg(F.max("last").alias("last"), F.max("is_new").alias("has_new"), F.max(~F.col("is_new")).alias("has_old")))
+    own = Window.partitionBy(key).orderBy(F.col(DAY).asc_nulls_first())
+    days = days.withColumn("touched", F.col("has_new") | F.coalesce(F.lag("has_new").over(own), F.lit(False)))
+    days = days.select(key, DAY, "touched", "has_old", F.lag("last").over(own).alias("prev_last"),
+                       F.coalesce(F.lag("touched").over(own), F.lit(False)).alias("prev_touched"))
+    pairs = materialize(days.where("touched").drop("touched"), "phase-days")
+    rewritten = days_of(pairs.where("has_old"))
+    carried = pairs.where(F.col("prev_last").isNotNull() & ~F.col("prev_touched")).select(key, F.col("prev_last").alias("last"))
+    before = before.unionByName(carried)
+    stored = stored_days(rewritten)
+    again = pairs.where("has_old").select(F.col(key).alias("_k"), F.col(DAY).alias("_d"))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(DAY).eqNullSafe(F.col("_d"))
+    reopened = stored.join(again, same, "left_semi").select(*new.columns)
+    rows = lagged(fresh.unionByName(reopened, allowMissingColumns=True), before)
+    kept = stored.join(again, same, "left_anti").withColumn("_old_stamp", F.col("processed_at"))
+    return PhaseUpdate(rows.unionByName(kept), rewritten)

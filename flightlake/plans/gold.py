@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlake.operators.geofence import airport_distance
-from flightlake.operators.phase import flight_phase
+from flightlake.operators.phase import flight_phase, phase_order
 from flightlake.operators.stats import country_stats, daily_summary
 from flightlake.session import scratch_scope
 from flightlake.sources.inline import airports_frame
@@ -46,9 +46,14 @@ def read_run(spark: SparkSession, path: str, ts: datetime) -> DataFrame:
     return read_layer(spark, path).filter(F.col(RUN_PARTITION) == F.lit(run_name(ts))).drop(RUN_PARTITION)
 
 
-def flight_analytics(silver: DataFrame, stamp: Column, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """L2: per-aircraft previous altitude and phase, stamped with the run."""
-    return flight_phase(silver, tiebreak=tiebreak).withColumn("processed_at", stamp)
+def flight_analytics(silver: DataFrame, stamp: Column, tiebreak: Sequence[str] | None = None) -> DataFrame:
+    """L2: per-aircraft previous altitude and phase, stamped with the run.
+
+    Rows of one time are ordered by ``time_position`` and then every other column, so the phases are the same
+    however the rows are partitioned.
+    """
+    ties = phase_order(silver.columns)[1:] if tiebreak is None else tiebreak
+    return flight_phase(silver, tiebreak=ties).withColumn("processed_at", stamp)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, airports: DataFrame | None = None,

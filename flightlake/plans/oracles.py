@@ -7,7 +7,7 @@ spelled out (DuckDB sorts NULLs last, Spark first), and computed doubles are rou
 
 from __future__ import annotations
 
-from flightlake.plans.registry import RUN_TS
+from flightlake.plans.registry import LANDING_CUT, RUN_TS
 
 STAMP = f"TIMESTAMP '{RUN_TS}'"
 
@@ -55,10 +55,10 @@ PHASED = f"""lagged AS (
   FROM lagged
 )"""
 
-# Two runs appended to the statistics: an earlier one over a third of the rows, then the run above.
+# Two runs appended to the statistics: an earlier one over the flights before the cut, then the run above.
 EARLIER = "TIMESTAMP '2024-01-31 00:00:00'"
 EARLIER_RUN = (PHASED.replace("lagged", "lagged0").replace("phased AS", "phased0 AS")
-               .replace("FROM flights", "FROM flights WHERE event_id % 3 = 0").replace(STAMP, EARLIER))
+               .replace("FROM flights", f"FROM flights WHERE time_position < {LANDING_CUT}").replace(STAMP, EARLIER))
 
 STATS = """stats AS (
   SELECT origin_country, processed_at,
@@ -143,7 +143,8 @@ SELECT * EXCLUDE (rn) FROM r WHERE rn = 1"""
 def _gold_ctes() -> str:
     """Silver rows, then phase over the text flight time (``phased``), as the gold job computes them."""
     return f"""{_silver_ctes()}, lagged AS (
-  SELECT *, lag(baro_altitude) OVER (PARTITION BY icao24 ORDER BY flight_time ASC NULLS FIRST) AS prev_alt FROM silver
+  SELECT *, lag(baro_altitude) OVER (PARTITION BY icao24 ORDER BY flight_time ASC NULLS FIRST,
+    time_position ASC NULLS FIRST) AS prev_alt FROM silver
 ), phased AS (
   SELECT *, CASE WHEN prev_alt IS NULL THEN 'Initializing'
                  WHEN baro_altitude > prev_alt + 15 THEN 'Climbing'

@@ -66,10 +66,10 @@ def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of two runs: an earlier one over a third of the rows, and the run of ``_stats``."""
-    third = load_flights(spark, sf_dir).filter(F.col("event_id") % 3 == 0)
+    """Statistics of two runs: an earlier one over the flights before the cut, and the run of ``_stats``."""
+    before = load_flights(spark, sf_dir).filter(F.col("time_position") < F.lit(LANDING_CUT))
     earlier = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
-    first = country_stats(flight_phase(third, tiebreak=["event_id"]).withColumn("processed_at", earlier))
+    first = country_stats(flight_phase(before, tiebreak=["event_id"]).withColumn("processed_at", earlier))
     return first.unionByName(_stats(spark, sf_dir))
 
 

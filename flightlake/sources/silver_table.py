@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlake.operators.dedupe import append_unique, keep_first
 from flightlake.operators.silver import SILVER_KEYS
@@ -32,21 +32,20 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
 def append_silver(rows: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, time_col: str = "time_position") -> None:
     """Add the rows whose key is not stored yet, one per key (the smallest by the other columns).
 
-    The new rows are written once to the shared folder, their date range seen on the way. A stored key of another date
-    cannot equal a new one, so only the partitions of that range (and of NULL dates) are read, and of these the key
-    columns alone. Adding the same rows again adds nothing, so a batch that is tried again is safe.
+    The new rows are written once to the shared folder. A stored key of another date cannot equal a new one, so only
+    the partitions of the new rows' own dates are read (of rows without a date only if the batch has such rows), and of these
+    the key columns alone. Adding the same rows again adds nothing, so a batch that is tried again is safe.
     """
     spark = rows.sparkSession
     keys = list(keys)
-    seen = Observation("silver-dates")
-    dated = rows.withColumn(SILVER_PARTITION, flight_date(time_col))
-    new = materialize(dated.observe(seen, F.min(SILVER_PARTITION).alias("lo"), F.max(SILVER_PARTITION).alias("hi")), "silver-new")
+    new = materialize(rows.withColumn(SILVER_PARTITION, flight_date(time_col)), "silver-new")
     stored = read_stored(spark, path, new.schema)
     if stored is None:
         fresh = keep_first(new, keys)
     else:
-        wanted = F.col(SILVER_PARTITION).isNull()
-        if seen.get["lo"] is not None:
-            wanted = wanted | F.col(SILVER_PARTITION).between(F.lit(seen.get["lo"]), F.lit(seen.get["hi"]))
+        dates = [r[0] for r in new.select(SILVER_PARTITION).distinct().collect()]  # at most the days of the calendar
+        wanted = F.col(SILVER_PARTITION).isin([d for d in dates if d is not None])
+        if None in dates:
+            wanted = wanted | F.col(SILVER_PARTITION).isNull()
         fresh = append_unique(stored.filter(wanted), new, keys)
     write_append(fresh, path, [SILVER_PARTITION])

@@ -16,7 +16,13 @@ def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ())
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add files to the table at ``path`` (use ``operators.dedupe.append_unique`` to stay repeat-safe)."""
+    """Add files to the table at ``path`` (use ``operators.dedupe.append_unique`` to stay repeat-safe).
+
+    Rows are dealt out by partition first, so each partition gets one file for each advisory size of its rows and not one
+    for every task that held some.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
