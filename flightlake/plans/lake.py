@@ -20,7 +20,7 @@ from flightlake.operators import stats
 from flightlake.operators.dedupe import append_unique, keep_first
 from flightlake.operators.geofence import airport_distance
 from flightlake.operators.phase import PhaseUpdate, edges_of, latest_of, update_phases
-from flightlake.operators.silver import SILVER_KEYS, silver_rows
+from flightlake.operators.silver import RESCUED, SILVER_KEYS, rescued_cells, rescuing_rows
 from flightlake.plans.gold import run_name, run_stamp
 from flightlake.session import materialize, materialize_counted, scratch_scope
 from flightlake.sources import versions
@@ -30,7 +30,7 @@ from flightlake.sources.readers import read_snapshots
 from flightlake.sources.silver_table import flight_date
 from flightlake.sources.versions import DAY, Part, Version
 
-SILVER, FILTERS = "cleaned_flights", "key_filters"
+SILVER, FILTERS, RESCUES = "cleaned_flights", "key_filters", "rescued_cells"
 PHASES, EDGES, STATE, PARTIALS = "flight_analytics", "phase_edges", "phase_state", "country_partials"
 COUNTRIES, SUMMARY, DISTANCES = "country_stats", "daily_summary", "airport_distance"
 TIME = "time_position"
@@ -87,13 +87,15 @@ def append_silver_run(spark: SparkSession, lake: Lake, rows: DataFrame, ts: date
     """Commit the ``rows`` whose key is not stored, one per key (the smallest by the other columns).
 
     Of what is stored, the key columns of those files are read whose time range and filter let a new key
-    in; all other files are not opened, whatever the days of the new rows. No new keys: no commit.
+    in; all other files are not opened, whatever the days of the new rows. No new keys: no commit. Rows of
+    ``rescuing_rows`` have their unconverted cells written to a side table of the same commit; silver is the same without them.
     """
     now, coming, run = _next(spark, lake.silver, ts)
     with scratch_scope(spark):
-        new, n = materialize_counted(rows.withColumn(DAY, flight_date(TIME)), "lake-new")
+        staged, n = materialize_counted(rows.withColumn(DAY, flight_date(TIME)), "lake-new")
         if not n:
             return now
+        new = staged.drop(RESCUED, "source_file")
         files = files_with_keys(spark, lake.silver, now, new)
         if files:
             root = f"{lake.silver.rstrip('/')}/{SILVER}"
@@ -105,6 +107,8 @@ def append_silver_run(spark: SparkSession, lake: Lake, rows: DataFrame, ts: date
         if not parts:
             return now
         _add_filters(spark, lake, coming, run, parts)
+        if RESCUED in staged.columns:
+            _add(coming, lake.silver, run, RESCUES, rescued_cells(staged).distinct(), by_day=False)
     return versions.commit(spark, lake.silver, coming)
 
 
@@ -209,6 +213,7 @@ def latest_run(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 def run_hour(spark: SparkSession, raw_dir: str, folder: str, ts: datetime | None = None) -> Lake:
     """Landed snapshots -> silver commit -> gold commit. Rows stored before are passed over by their key."""
     lake = Lake.at(folder)
-    append_silver_run(spark, lake, silver_rows(read_snapshots(spark, raw_dir), run_stamp(ts)), ts)
+    landed = rescuing_rows(read_snapshots(spark, raw_dir), run_stamp(ts), source=F.col("_metadata.file_name"))
+    append_silver_run(spark, lake, landed, ts)
     update_gold(spark, lake, ts=ts)
     return lake

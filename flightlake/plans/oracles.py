@@ -381,7 +381,27 @@ FROM flights GROUP BY origin_country""",
     "incremental_silver": """SELECT DISTINCT user_id, ts FROM events""",
 }
 
-# The bronze job's stored table holds the same rows as the exploded snapshots.
-SQL["bronze_layer"] = SQL["states_explode"]
-# The split (hot-group) path of the lag must give the plain window's rows.
-SQL["flight_phase_split"] = SQL["flight_phase"]
+SQL["lake_flight_analytics"] = SQL["gold_flight_analytics"]
+SQL["lake_country_stats"] = SQL["pipeline_country_stats"]
+SQL["lake_aircraft"] = f"""WITH {_silver_ctes()}
+SELECT strftime(make_timestamp(CAST(time_position AS BIGINT) * 1000000), '%Y-%m') AS month, count(DISTINCT icao24) AS aircraft_exact,
+       true AS estimate_close
+FROM silver GROUP BY 1"""
+SQL["clustered_box"] = SQL["europe_box"]
+SQL["clustered_geofence"] = SQL["geofence_wide"]
+SQL["calendar_week"] = f"""WITH {_silver_ctes()}, {CALENDAR}
+SELECT icao24, time_position, date, year, quarter, month, day
+FROM silver JOIN cal ON CAST(make_timestamp(CAST(time_position AS BIGINT) * 1000000) AS DATE) = cal.date WHERE day <= 7"""
+# The raw text is compared by the number that stands in it, since engines write doubles differently.
+SQL["rescued_cells"] = f"""WITH {FLIGHTS}, bad AS (SELECT * FROM flights WHERE callsign IS NOT NULL AND time_position % 13 = 0),
+cells AS (SELECT icao24, time_position, 'baro_altitude' AS column_name, baro_altitude AS cell FROM bad
+          UNION ALL SELECT icao24, time_position, 'velocity', velocity FROM bad)
+SELECT DISTINCT icao24, CAST(time_position AS VARCHAR) AS time_position, column_name, 'n/a' AS mark, round(cell, 6) AS number
+FROM cells WHERE cell IS NOT NULL"""
+SQL["sensors_variant"] = f"""WITH {FLIGHTS}
+SELECT icao24, CAST(event_id AS VARCHAR) AS event,
+       CASE event_id % 4 WHEN 0 THEN '[' || event_id || ',' || event_id % 7 || ']' WHEN 1 THEN CAST(event_id AS VARCHAR)
+            WHEN 2 THEN 'broken [' END AS sensors,
+       CASE event_id % 4 WHEN 0 THEN 'ARRAY<BIGINT>' WHEN 1 THEN 'BIGINT' END AS sensors_type,
+       CASE event_id % 4 WHEN 0 THEN event_id || ',' || event_id % 7 WHEN 1 THEN CAST(event_id AS VARCHAR) END AS sensor_ids
+FROM flights"""

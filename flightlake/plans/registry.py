@@ -14,18 +14,20 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlake.operators import calendar as cal
-from flightlake.operators import marts, profile
+from flightlake.operators import marts, profile, spatial, stats
 from flightlake.operators.dedupe import append_unique, duplicate_count, keep_first
 from flightlake.operators.geofence import airport_distance
 from flightlake.operators.phase import flight_phase
-from flightlake.operators.silver import report_silver, to_silver
+from flightlake.operators.silver import report_silver, sensor_values, to_silver
 from flightlake.operators.stats import country_stats, daily_summary
+from flightlake.plans import lake
 from flightlake.plans.gold import RUN_PARTITION
 from flightlake.plans.pipeline import run as run_pipeline
 from flightlake.plans.pipeline import run_bronze, run_incremental, silver_folder
 from flightlake.sources.sinks import write_overwrite
 from flightlake.plans.standin import load_flights, load_tables, states_from_flights
-from flightlake.session import scratch_path
+from flightlake.session import materialize, scratch_path
+from flightlake.sources import versions
 from flightlake.sources.inline import airports_frame
 from flightlake.sources.readers import (
     bronze_from_snapshots,
@@ -34,7 +36,7 @@ from flightlake.sources.readers import (
     read_tables,
     with_source_file,
 )
-from flightlake.sources.silver_table import read_silver
+from flightlake.sources.silver_table import append_silver, read_silver
 from flightlake.streaming.incremental import (
     dedupe_stream,
     run_available_now,
@@ -419,6 +421,100 @@ def q_report_silver(spark, sf_dir):
     return report_silver(read_layer(spark, path))
 
 
+def _lake(spark, sf_dir) -> lake.Lake:
+    """Three hours of the versioned job, the last one the earliest landings (late rows of every aircraft), each landing
+    holding the ones before it, and silver packed after the second."""
+    landing, folder = scratch_path(spark, "landing-lake"), scratch_path(spark, "lake-versions")
+    states = states_from_flights(load_flights(spark, sf_dir))
+    late = F.col("time") < F.lit(LANDING_CUT)
+    for hour, part in enumerate((~late & (F.col("time") % 2 == 0), ~late, late)):
+        states.filter(part).write.mode("append").json(landing)
+        made = lake.run_hour(spark, landing, folder, datetime(2024, 2, 1))
+        if hour == 1:
+            lake.compact_silver(spark, made, datetime(2024, 2, 1))
+    return made
+
+
+def q_lake_flight_analytics(spark, sf_dir):
+    """E1/L2 carried from run to run: the phases after three runs equal those of one run over all rows."""
+    rows = lake.read_gold(spark, _lake(spark, sf_dir), lake.PHASES).drop("flight_date")
+    rows = rows.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
+    return rows.withColumns({c: F.round(F.col(c), 6) for c in ("longitude", "latitude", "velocity")})
+
+
+def q_lake_country_stats(spark, sf_dir):
+    """L4/D1/D3 merged from partial states: the statistics of the third run equal those over all rows."""
+    rows = lake.latest_run(spark, _lake(spark, sf_dir), lake.COUNTRIES)
+    return rows.select("origin_country", F.col("processed_at").cast("timestamp_ntz").alias("processed_at"), "flight_count",
+                       r6("avg_speed_ms"), "count_climbing", r6("avg_altitude_m"))
+
+
+def q_lake_aircraft(spark, sf_dir):
+    """D11 per month from the sketches of its days, beside the exact count: within four standard errors or not."""
+    made = _lake(spark, sf_dir)
+    month = F.date_format("flight_date", "yyyy-MM").alias("month")
+    sketched = stats.aircraft_estimate(lake.read_gold(spark, made, lake.PARTIALS).withColumn("month", month), ["month"])
+    exact = lake.read_silver_rows(spark, made).groupBy(month).agg(F.count_distinct("icao24").alias("aircraft_exact"))
+    close = F.abs(F.col("aircraft") - F.col("aircraft_exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("aircraft_exact"))
+    return exact.join(sketched, "month").select("month", "aircraft_exact", close.alias("estimate_close"))
+
+
+def _clustered_flights(spark, sf_dir) -> DataFrame:
+    """The flights written in Morton order, read back."""
+    path = scratch_path(spark, "flights-clustered")
+    write_overwrite(spatial.clustered(load_flights(spark, sf_dir), 16), path)
+    return read_layer(spark, path)
+
+
+def q_clustered_box(spark, sf_dir):
+    """B11 over the clustered table: files and row groups outside the box are passed over."""
+    return profile.bounding_box(_clustered_flights(spark, sf_dir)).select("event_id", "latitude", "longitude")
+
+
+def q_clustered_geofence(spark, sf_dir):
+    """C2b over the clustered table: the scan is limited to the airports' boxes."""
+    flights = _clustered_flights(spark, sf_dir).withColumn("processed_at", stamp())
+    out = spatial.proximity_pruned(flights, airports_frame(spark), radius=1.0)
+    return out.select("icao24", "callsign", "airport_name", r6("dist"), "proximity_status", "flight_time", "processed_at")
+
+
+def q_calendar_week(spark, sf_dir):
+    """C4 through the partition column: the stored silver of every month's first week (dynamic partition pruning)."""
+    flights = load_flights(spark, sf_dir)
+    path = scratch_path(spark, "silver-by-day")
+    append_silver(to_silver(states_from_flights(flights), stamp()), path)
+    days = materialize(cal.calendar_for(flights, "flight_time"), "calendar").where("day <= 7")
+    joined = cal.flights_of_days(read_layer(spark, path), days)
+    return joined.select("icao24", "time_position", "date", "year", "quarter", "month", "day")
+
+
+def q_rescued_cells(spark, sf_dir):
+    """Altitudes and speeds that are no numbers, kept beside silver; written and committed with it."""
+    landing, folder = scratch_path(spark, "landing-rescue"), lake.Lake.at(scratch_path(spark, "lake-rescue"))
+    bad = F.col("time") % 13 == 0
+    cells = F.transform(F.col("states")[0], lambda c, i: F.when(bad & i.isin(7, 9), F.concat(F.lit("n/a "), c)).otherwise(c))
+    states_from_flights(load_flights(spark, sf_dir)).withColumn("states", F.array(cells)).write.mode("overwrite").json(landing)
+    made = lake.run_hour(spark, landing, folder.silver.removesuffix("/silver"), datetime(2024, 2, 1))
+    return versions.read_table(spark, made.silver, lake.RESCUES).select(
+        "icao24", "time_position", "column_name", F.substring("raw_text", 1, 3).alias("mark"),
+        F.round(F.substring("raw_text", 5, 40).try_cast("double"), 6).alias("number")).distinct()
+
+
+def q_sensors_variant(spark, sf_dir):
+    """The ``sensors`` position landed as an array, a number, text or NULL, read back typed."""
+    landing = scratch_path(spark, "landing-sensors")
+    flights = load_flights(spark, sf_dir)
+    eid = F.col("event_id")
+    sensors = (F.when(eid % 4 == 0, F.concat(F.lit("["), eid.cast("string"), F.lit(","), (eid % 7).cast("string"), F.lit("]")))
+               .when(eid % 4 == 1, eid.cast("string")).when(eid % 4 == 2, F.lit("broken [")))
+    cells = F.array(*[F.col("icao24") if i == 0 else sensors if i == 12 else eid.cast("string") if i == 14 else F.lit(None).cast("string")
+                      for i in range(17)])
+    flights.select(F.col("time_position").alias("time"), F.array(cells).alias("states")).write.mode("overwrite").json(landing)
+    typed = sensor_values(bronze_from_snapshots(read_snapshots(spark, landing)))
+    return typed.select("icao24", F.col("squawk").alias("event"), "sensors", "sensors_type", F.array_join(
+        F.col("sensor_ids").cast("array<string>"), ",").alias("sensor_ids"))
+
+
 def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Pin the session zone to UTC before the plan is built: epoch <-> text conversions (silver's
     flight time) resolve their zone at analysis, and the oracles are written for UTC."""
@@ -482,6 +578,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_strict": q_silver_strict,
     "high_flyer_count": q_high_flyer_count,
     "incremental_silver_exact": q_incremental_silver_exact,
+    "lake_flight_analytics": q_lake_flight_analytics,
+    "lake_country_stats": q_lake_country_stats,
+    "lake_aircraft": q_lake_aircraft,
+    "clustered_box": q_clustered_box,
+    "clustered_geofence": q_clustered_geofence,
+    "calendar_week": q_calendar_week,
+    "rescued_cells": q_rescued_cells,
+    "sensors_variant": q_sensors_variant,
 }
 
 QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}

@@ -4,23 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from flightlake.fixed import STATE_FIELDS
-
-_TYPES = {
-    "string": T.StringType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-}
-
 # Landed snapshot document: {"time": 1700000000, "states": [[...17 values...], ...]}
 RAW_SNAPSHOT = T.StructType([
     T.StructField("time", T.LongType(), True),
     T.StructField("states", T.ArrayType(T.ArrayType(T.StringType(), True), True), True),
 ])
 
-BRONZE = T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in STATE_FIELDS])
-
 SILVER = T.StructType([
     T.StructField("icao24", T.StringType(), True),
     T.StructField("callsign", T.StringType(), True),
@@ -48,7 +37,3 @@ CITIES = T.StructType([
     T.StructField("Lon", T.DoubleType(), True),
     T.StructField("City", T.StringType(), True),
 ])
-
-
-def spark_type(kind: str) -> T.DataType:
-    return _TYPES[kind]
