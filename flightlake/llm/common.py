@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Text bytes worked on at once inside a task (arrays of a few dozen times this size are held).
 CHUNK_BYTES = 512 * 1024
@@ -91,6 +91,62 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+# Bytes that are compared at once.
+COMPARE_BYTES = 1 << 20
+
+
+def differing(raw: np.ndarray, starts: np.ndarray, other: np.ndarray, other_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of some spans (not empty) differ from the spans of their sizes in ``other``; compared byte by byte, in blocks."""
+    out = np.zeros(len(sizes), bool)
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < len(sizes):
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + COMPARE_BYTES, side="right")))
+        size, total = sizes[a:b], int(ends[b - 1] - before)
+        inner = ends[a:b] - before - size
+        step = np.arange(total) - np.repeat(inner, size)
+        unlike = raw[np.repeat(starts[a:b], size) + step] != other[np.repeat(other_starts[a:b], size) + step]
+        out[a:b] = np.add.reduceat(unlike, inner, dtype=np.int64) > 0
+        a = b
+    return out
+
+
+def equal_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of equal byte spans (not empty): the first span of each group, and the group of every span.
+
+    Spans are sorted by their hash and then compared byte by byte with the first of their hash. Those of a hash that
+    different spans share (texts made for it exist) are grouped by their bytes.
+    """
+    _, first, group = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    sizes, lead = ends - starts, first[group]
+    bad = sizes != sizes[lead]
+    like = np.flatnonzero(~bad & (lead != np.arange(len(lead))))
+    bad[like] = differing(raw, starts[like], raw, starts[lead[like]], sizes[like])
+    if bad.any():
+        ids: dict[tuple[int, bytes], int] = {}
+        more = first.tolist()
+        for i in np.flatnonzero(np.isin(group, group[bad])).tolist():
+            own = (int(group[i]), raw[starts[i]:ends[i]].tobytes())
+            if own not in ids:
+                lone = any(g == own[0] for g, _ in ids)
+                ids[own] = len(more) if lone else own[0]
+                if lone:
+                    more.append(i)
+                else:
+                    more[own[0]] = i
+            group[i] = ids[own]
+        first = np.array(more)
+    return first, group
+
+
+def in_share(point: Column, share: float) -> Column:
+    """True for a ``share`` of the rows, by a 64-bit hash: never none of them for being a small share of very many."""
+    if share >= 1:
+        return F.lit(True)
+    return point < F.lit(max(1, int(share * 2.0**64)) - (1 << 63))
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow`` whose Python workers find this package even where the driver's own path was set by hand.
 

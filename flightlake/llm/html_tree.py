@@ -22,14 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns, map_arrow
+from flightlake.llm.common import add_columns, in_share, map_arrow
 
 # Expected training pages, the most leaves of a page kept for training, and gradient steps.
 TRAIN_PAGES, TRAIN_LEAVES, STEPS, RIDGE = 2_000, 400, 200, 0.002
 
 # Fixed values of HTML: element names by how they are parsed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noframes noembed xmp textarea select svg math object audio video canvas title button datalist".split())
+RAW = frozenset("script style noscript template iframe noframes noembed xmp textarea select svg annotation annotation-xml object audio video canvas title button datalist".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -75,7 +75,7 @@ PRIOR = {"inside_marked": 3.0, "outside_marked": -3.0, "log_chars": 0.3, "link_s
 PRIOR_VECTOR = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -85,7 +85,7 @@ _MARK = re.compile(r"[.!?;:,](?=\s|$)")
 class Page:
     """Block elements and text runs of a page; a parent always comes before its children."""
 
-    __slots__ = ("parent", "tag", "kinds", "text", "linked", "marked", "unsure", "fields")
+    __slots__ = ("parent", "tag", "kinds", "text", "linked", "marked", "attributes", "fields")
 
     def __init__(self) -> None:
         self.parent: list[int] = []
@@ -94,57 +94,100 @@ class Page:
         self.text: list[str | None] = []  # of leaves
         self.linked: list[int] = []
         self.marked: list[bool] = []  # inside article or main
-        self.unsure: dict[int, set[str]] = {}  # kinds that count by the element's structure only
+        self.attributes: dict[int, str] = {}  # of block elements
         self.fields: dict[int, int] = {}  # form fields right below an element
 
-    def add(self, parent: int, tag: str, kinds: frozenset, marked: bool, text: str | None = None, linked: int = 0) -> int:
+    def add(self, parent: int, tag: str, text: str | None = None, linked: int = 0) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
-        self.kinds.append(kinds)
+        self.kinds.append(frozenset())
         self.text.append(text)
         self.linked.append(linked)
-        self.marked.append(marked)
+        self.marked.append(False)
         return len(self.parent) - 1
 
 
-def _named(attributes: str, tag: str, inside: bool) -> tuple[set[str], set[str]]:
-    """Kinds that class, id and role name, word by word (camel case and dashes part words), and kinds that count by structure
-    only. Ids of headings and paragraphs are places to link to and name nothing."""
-    found, unsure = set(), set()
+def _parts(attributes: str, tag: str) -> Iterator[tuple[str, str, list[str]]]:
+    """(attribute, value, its lower-case words) of every class, id and role word; camel case and dashes part words. Ids of headings
+    and paragraphs are places to link to and name nothing."""
     for name, a, b, c in _ATTR.findall(attributes):
         name = name.lower()
         if name in ("hidden", "aria-hidden") or (name == "id" and (tag in _HEADING or tag in ("p", "blockquote"))):
             continue
         for part in re.sub(r"([a-z])([A-Z])", r"\1 \2" if name == "id" else r"\1-\2", a or b or c).lower().split():
-            words = _WORDS.findall(part)
-            whole = name != "id" and tag not in _TEXT and all(w in _NAME_KIND for w in words)
-            for w in words:
-                if w in _NAME_KIND:
-                    sure = not inside or w not in _TOPIC or (whole and w not in _PROSE)
-                    (found if sure else unsure).add(_NAME_KIND[w])
+            yield name, part, _WORDS.findall(part)
+
+
+def _named(attributes: str, tag: str, inside: bool) -> tuple[set[str], set[str]]:
+    """Kinds that class, id and role name, word by word, and kinds that count by structure only."""
+    found, unsure = set(), set()
+    for name, _, words in _parts(attributes, tag):
+        whole = name != "id" and tag not in _TEXT and all(w in _NAME_KIND for w in words)
+        for w in words:
+            if w in _NAME_KIND:
+                sure = not inside or w not in _TOPIC or (whole and w not in _PROSE)
+                (found if sure else unsure).add(_NAME_KIND[w])
     return found, (set() if tag in _HEADING else unsure - found)
 
 
+def _called(attributes: str, tag: str) -> set[str]:
+    """Kinds that a whole class, id or role names (``comments``, ``cookie-notice``), not one word of it (``comments-open``)."""
+    return {_NAME_KIND[w] for _, _, words in _parts(attributes, tag) if words and all(w in _NAME_KIND for w in words) for w in words}
+
+
 def _settle(page: Page) -> None:
-    """Gives elements the kinds that their names leave open if half of their text is linked or they have form fields."""
+    """Marks and kinds of every node, from the names and from what the elements hold.
+
+    A name or a ``form`` tag makes an element a page part only if it is not a wrapper of the article: an element that holds
+    the page's main element is none, nor one that holds most of the text together with the first heading or an article. What is
+    called a part as a whole (``class="comments"``) stays one however much text it has, if no such heading or article is in it. A
+    name's kinds that are left open count if half of the element's text is linked or it has form fields.
+    """
     n = len(page.parent)
     size, linked, fields = [len(t) if t is not None else 0 for t in page.text], page.linked.copy(), [page.fields.get(i, 0) for i in range(n)]
+    names = {i: _called(a, page.tag[i]) for i, a in page.attributes.items()}
+    apart = set(KINDS) - {"body", "social", "header"}
+    named_main = {i for i in range(n) if (page.tag[i] in ("article", "main") or any(
+        name == "role" and part in ("main", "article") for name, part, _ in _parts(page.attributes.get(i, ""), page.tag[i])))
+        and not names.get(i, set()) & apart}
+    holds = [page.tag[i] == "h1" or i in named_main for i in range(n)]
     for i in range(n - 1, 0, -1):  # children come after their parent
         p = page.parent[i]
         size[p], linked[p], fields[p] = size[p] + size[i], linked[p] + linked[i], fields[p] + fields[i]
-    more: dict[int, frozenset] = {}
+        holds[p] = holds[p] or holds[i]
+    best = max(named_main, key=lambda i: (size[i], -i), default=0)
+    best = best if 4 * size[best] >= size[0] else 0
+    around, at = set(), best
+    while at > 0:
+        around.add(at)
+        at = page.parent[at]
+    within = [False] * n
     for i in range(1, n):
-        own = page.unsure.get(i, ()) if fields[i] or (size[i] and 2 * linked[i] >= size[i]) else ()
-        above = more.get(page.parent[i])
-        if own or above:
-            more[i] = (above or frozenset()) | frozenset(own)
-            page.kinds[i] |= more[i]
+        p, tag, attributes = page.parent[i], page.tag[i], page.attributes.get(i, "")
+        kinds = page.kinds[p]
+        if page.text[i] is not None:
+            page.kinds[i], page.marked[i] = kinds, page.marked[p]
+            continue
+        within[i] = within[p] or i == best
+        whole = size[best] if within[i] else 0 if best else size[0]
+        called = names.get(i, set()) & apart or tag in _TAG_KIND and tag != "form"
+        wrapper = i in around or (whole and (2 * size[i] >= whole and holds[i] or 5 * size[i] >= 4 * whole and not called))
+        main = i in named_main and not kinds & {"comment", "sidebar", "advert"}
+        page.marked[i] = page.marked[p] or main
+        own, unsure = _named(attributes, tag, page.marked[i] and not main or "body" in kinds)
+        if tag in _TAG_KIND and not (tag == "header" and page.marked[i]):
+            own.add(_TAG_KIND[tag])
+        if i in named_main:
+            own -= {"header", "social", "notice"}
+        if fields[i] or (size[i] and 2 * linked[i] >= size[i]):
+            own |= unsure
+        page.kinds[i] = kinds | (own & {"body"} if wrapper else own)
 
 
 def parse(source: str) -> Page:
     """Tolerant of missing end tags, stray end tags, open quotes and cut-off pages."""
     page = Page()
-    root = page.add(-1, "html", frozenset(), False)
+    root = page.add(-1, "html")
     stack: list[tuple[str, int]] = [("html", root)]  # all open elements with their nearest block node
     run: list[str] = []
     linked = 0
@@ -155,8 +198,7 @@ def parse(source: str) -> Page:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text:
-                at = stack[-1][1]
-                page.add(at, "#text", page.kinds[at], page.marked[at], text, min(linked, len(text)))
+                page.add(stack[-1][1], "#text", text, min(linked, len(text)))
         linked = 0
 
     def close(depth: int) -> None:
@@ -232,20 +274,11 @@ def parse(source: str) -> Page:
                 close(first)
         if tag in ("hr", "html", "body"):
             continue
-        parent = stack[-1][1]
-        main = tag in ("article", "main") and not page.kinds[parent] & {"comment", "sidebar", "advert"}
-        marked = page.marked[parent] or main
-        own, unsure = _named(attributes, tag, marked and not main or "body" in page.kinds[parent])
-        if tag in _TAG_KIND and not (tag == "header" and marked):
-            own.add(_TAG_KIND[tag])
-        if tag in ("article", "main"):
-            own -= {"header", "social", "notice"}
-        stack.append((tag, page.add(parent, tag, page.kinds[parent] | own, marked)))
-        if unsure:
-            page.unsure[stack[-1][1]] = unsure
+        stack.append((tag, page.add(stack[-1][1], tag)))
+        if attributes:
+            page.attributes[stack[-1][1]] = attributes
     flush()
-    if page.unsure:
-        _settle(page)
+    _settle(page)
     return page
 
 
@@ -359,7 +392,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     rows = pages.select(F.col(html_col).alias("source"), F.xxhash64(F.col(id_col), F.col(html_col), F.lit(seed)).alias("point"))
     rows = rows.where(F.lower("source").rlike(r"<(article|main)\b"))
     n = rows.count()
-    taken = rows.where(F.pmod("point", F.lit(1 << 20)) < round(min(1.0, sample / max(n, 1)) * (1 << 20)))
+    taken = rows.where(in_share(F.col("point"), sample / max(n, 1)))
     width = len(FEATURES)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +419,11 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
 
 
 def extract(pages: DataFrame, model: TreeModel, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all), ``text`` (main text; empty for null, empty and text-less pages) and ``n_chars``."""
+    """``keep`` columns (default: all), ``text`` (main text; empty for null, empty and text-less pages) and ``n_chars``.
+
+    Every row is worked on by itself: repeated rows give repeated results, an empty table an empty one, and a kept
+    column named ``text`` or ``n_chars`` gives way to the new one.
+    """
     def run(sources: pa.Array) -> list:
         texts = [model.extract(s)[0] for s in sources.to_pylist()]
         return [texts, [len(t) for t in texts]]

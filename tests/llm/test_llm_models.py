@@ -203,6 +203,45 @@ def test_html_article_parts_named_by_their_topic(tree, tag):
     assert [page.text[i] for i, y in zip(leaves, html_tree.leaf_labels(page, leaves)) if y] == [page.text[i] for i in leaves if page.text[i] in TOPICS_MAIN]
 
 
+GOOD = """<h1>On rivers</h1><p>A river runs to the sea, and takes its time about it. It is old, and it is never the same.</p>
+<p>In spring it rises, in summer it falls; the mills know it, and so do the fish.</p>"""
+GOOD_MAIN = """On rivers A river runs to the sea, and takes its time about it. It is old, and it is never the same.
+In spring it rises, in summer it falls; the mills know it, and so do the fish.""".replace("\n", " ")
+PARTS = """<div class="comments"><p>Nice piece, thanks a lot for it.</p></div><div class="sidebar"><p>Our ten best rivers, in order.</p></div>
+<form action="/s"><label>Search the site</label><input name="q"></form>"""
+WRAPPERS = [
+    ('<form id="aspnetForm">', "</form>"), ('<form id="aspnetForm"><article>', "</article></form>"),
+    ('<div class="layout has-sidebar"><article>', "</article></div>"), ('<div class="content-with-sidebar"><main>', "</main></div>"),
+    ('<div class="page no-sidebar">', "</div>"), ('<div id="app" class="nav-open"><main>', "</main></div>"),
+    ('<article class="post comments-open">', "</article>"), ('<div class="single comment-status-open"><article>', "</article></div>"),
+    ('<div role="main" class="widget-area-none">', "</div>"), ('<main class="no-sidebar"><article class="post comments-open">', "</article></main>"),
+    ('<div class="menu-closed"><div class="cookie-banner-off">', "</div></div>")]
+
+
+@pytest.mark.parametrize("opened, closed", WRAPPERS)
+@pytest.mark.parametrize("inside", [False, True])
+def test_html_article_stays_whatever_wraps_it(tree, opened, closed, inside):
+    if inside:  # the real parts stand in the wrapper, beside the article
+        page = f"<html><body><nav><a href='/'>Home</a></nav>{opened}{GOOD}{PARTS}{closed}<footer>Imprint</footer></body></html>"
+    else:
+        page = f"<html><body><nav><a href='/'>Home</a></nav>{opened}{GOOD}{closed}{PARTS}<footer>Imprint</footer></body></html>"
+    assert tree.extract(page)[0] == GOOD_MAIN
+
+
+def test_html_parts_that_hold_most_of_the_text_stay_parts(tree):
+    talk = "".join(f"<article class='comment'><p>I think, as number {i}, that it is so and not so.</p></article>" for i in range(40))
+    for box in (f"<div id='comments' class='comments'>{talk}</div>", f"<section class='comment-list'>{talk}</section>",
+                f"<aside>{talk}</aside>", f"<div class='sidebar'>{talk}</div>"):
+        for opened, closed in (("<article>", "</article>"), ("<main>", "</main>")):
+            assert tree.extract(f"<body>{opened}{GOOD}{closed}{box}</body>")[0] == GOOD_MAIN
+            assert tree.extract(f"<body>{opened}{GOOD}{box}{closed}</body>")[0] == GOOD_MAIN
+
+
+def test_html_empty_comments_and_formulas(tree):
+    page = "<article><p>First, as it was.<!--><b>Second</b>, too.<!---> Third, and <!-- gone --!>last.</p><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, it holds.</p></article>"
+    assert tree.extract(page)[0] == "First, as it was.Second, too. Third, and last. Where x=2, it holds."
+
+
 def test_html_sentence_marks_of_the_whole_block():
     text = "It began well, they said. Then it ended. All went home. " + "alpha beta " * 60
     leaves, rows = html_tree.leaf_features(html_tree.parse(f"<p>{text}</p>"))
