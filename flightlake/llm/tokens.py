@@ -8,10 +8,10 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from flightlake.llm.common import span_hashes, utf8_buffer
+from flightlake.llm.common import differing, equal_spans, span_hashes, utf8_buffer
 
-# Most remembered parts in a worker (about 30 bytes each), and their greatest length in bytes.
-KNOWN_PARTS, PART_BYTES = 1_000_000, 64
+# Most remembered parts in a worker (about 50 bytes each), their greatest length in bytes, and most remembered ids.
+KNOWN_PARTS, PART_BYTES, KNOWN_IDS = 1_000_000, 64, 1 << 24
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), 28, 29, 30, 31, 32]] = True
 _SIMPLE = re.compile(r"\A ?\S+\Z")
@@ -19,7 +19,9 @@ _OTHER_BLANK = re.compile(r"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 
 
 class Parts:
-    """Sorted hashes of known parts and where their ids lie; a tokenizer for the others.
+    """Sorted hashes of known parts, their bytes and where their ids lie; a tokenizer for the others.
+
+    A part is taken for a known one only if its bytes are the same: the hash finds it and does not decide.
 
     Right for byte-level BPE whose words take in one space before them, without a prefix space or normaliser.
     Such a tokenizer always cuts before a single space and around a single line end that stand between two characters
@@ -38,6 +40,9 @@ class Parts:
     def clear(self) -> None:
         self.keys, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        # The known parts' bytes, one after another in the order they came; where each key's lie and how many.
+        self.text, self.written = np.empty(1 << 16, np.uint8), 0
+        self.text_at, self.lengths = np.empty(0, np.int32), np.empty(0, np.uint8)
 
     def encode(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of each part. Parts without white space inside go through the tokenizer in one text, on lines of
@@ -55,20 +60,47 @@ class Parts:
             out[i] = np.array(e.ids, "<u4")
         return out
 
-    def remember(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
-        """Add parts with new (sorted, distinct) keys."""
+    @staticmethod
+    def _append(store: np.ndarray, used: int, values: np.ndarray) -> tuple[np.ndarray, int]:
+        if used + len(values) > len(store):
+            store = np.concatenate([store[:used], np.empty(max(len(store), len(values)), store.dtype)])
+        store[used:used + len(values)] = values
+        return store, used + len(values)
+
+    def keep_ids(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Put the ids of some parts behind the others; where they start, and how many each has."""
         sizes = np.array([len(x) for x in ids], np.int64)
-        total = int(sizes.sum())
-        if self.used + total > len(self.flat):
-            grown = np.empty(max(2 * len(self.flat), self.used + total), "<u4")
-            grown[:self.used] = self.flat[:self.used]
-            self.flat = grown
-        if total:
-            self.flat[self.used:self.used + total] = np.concatenate(ids)
         starts = self.used + np.cumsum(sizes) - sizes
-        self.used += total
+        self.flat, self.used = self._append(self.flat, self.used, np.concatenate([np.empty(0, "<u4"), *ids]))
+        return starts, sizes
+
+    def remember(self, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray, raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> None:
+        """Add short parts under their hashes; of several parts of a hash the one there first."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        new = np.flatnonzero(~known & (lengths <= PART_BYTES))
+        keys, pick = np.unique(keys[new], return_index=True)
+        new = new[pick]
+        lengths, begins = lengths[new], begins[new]
+        ends = np.cumsum(lengths)
+        text_at = self.written + ends - lengths
+        total = int(ends[-1]) if len(new) else 0
+        self.text, self.written = self._append(self.text, self.written, raw[np.repeat(begins - (ends - lengths), lengths) + np.arange(total)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.starts, self.sizes = np.insert(self.starts, at, starts[new]), np.insert(self.sizes, at, sizes[new])
+        self.text_at, self.lengths = np.insert(self.text_at, at, text_at), np.insert(self.lengths, at, lengths)
+
+    def find(self, keys: np.ndarray, raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Place of each part among the known ones, -1 for those that are not known byte by byte."""
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.starts, self.sizes = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+        found = at < len(self.keys)
+        found[found] = (self.keys[at[found]] == keys[found]) & (self.lengths[at[found]] == lengths[found])
+        hit = np.flatnonzero(found)
+        found[hit] = ~differing(raw, begins[hit], self.text, self.text_at[at[hit]].astype(np.int64), lengths[hit])
+        return np.where(found, at, -1)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, and the n + 1 places where rows begin (null: none)."""
@@ -92,27 +124,24 @@ class Parts:
             begins[1:] |= line[:-1]
             starts = np.flatnonzero(begins)
             ends = np.append(starts[1:], n)
-            hashes = span_hashes(raw, starts, ends)
-            keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            at = np.searchsorted(self.keys, keys)
-            new = np.ones(len(keys), bool)
-            inside = at < len(self.keys)
-            new[inside] = self.keys[at[inside]] != keys[inside]
-            data = raw.tobytes()
+            first, inverse = equal_spans(raw, starts, ends)
+            begins, lengths = starts[first], (ends - starts)[first]
+            keys = span_hashes(raw, begins, ends[first])
+            at = self.find(keys, raw, begins, lengths)
+            new = at < 0
+            begin, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+            begin[~new], size[~new] = self.starts[at[~new]], self.sizes[at[~new]]
             if new.any():
-                f = first[new]
-                self.remember(keys[new], self.encode([data[a:b].decode("utf-8") for a, b in zip(starts[f].tolist(), ends[f].tolist())]))
-                at = np.searchsorted(self.keys, keys)
-            begin, size = self.starts[at][inverse].astype(np.int64), self.sizes[at][inverse].astype(np.int64)
+                data = raw.tobytes()
+                begin[new], size[new] = self.keep_ids(self.encode([
+                    data[a:a + n].decode("utf-8") for a, n in zip(begins[new].tolist(), lengths[new].tolist())]))
+                self.remember(keys[new], begin[new], size[new], raw, begins[new], lengths[new])
+            begin, size = begin[inverse], size[inverse]
             after = np.cumsum(size)
             flat = self.flat[np.repeat(begin - (after - size), size) + np.arange(after[-1])]
             bounds = np.concatenate([[0], after])[np.searchsorted(starts, offsets)]
-            long = keys[(ends - starts)[first] > PART_BYTES]
-            if len(self.keys) > KNOWN_PARTS:
+            if len(self.keys) > KNOWN_PARTS or self.used > KNOWN_IDS:
                 self.clear()
-            elif len(long):  # long parts hardly come again
-                stay = ~np.isin(self.keys, long)
-                self.keys, self.starts, self.sizes = self.keys[stay], self.starts[stay], self.sizes[stay]
         else:
             flat, bounds = np.empty(0, "<u4"), np.zeros(len(strings) + 1, np.int64)
         if whole:

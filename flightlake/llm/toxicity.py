@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns, chunks, map_arrow
+from flightlake.llm.common import add_columns, chunks, in_share, map_arrow
+from flightlake.session import materialize_counted
 from flightlake.llm.features import all_grams, distinct
 
 
@@ -83,18 +84,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     of an id the largest holds).
 
     FTRL takes one example after another, so it runs in one task, over about ``config.sample`` labelled documents
-    taken by a hash of their id; the ids are broadcast (bounded by the sample), so no other text is moved. With no
+    taken by a hash of their id, and at most about twice as many different rows of these; the ids are broadcast (bounded by
+    the sample), so no other text is moved. With no
     labelled row the model scores 0.5 everywhere. Nulls count as empty texts.
     """
     c = config
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label")).where(
         "label_id is not null and label is not null").groupBy("label_id").agg(F.max("label").alias("label"))
     n = known.count()
-    share = min(1.0, c.sample / max(n, 1))
     point = F.xxhash64("label_id", F.lit(c.seed))
-    taken = known.where(F.pmod(point, F.lit(1 << 20)) < round(share * (1 << 20)))
+    taken = known.where(in_share(point, c.sample / max(n, 1)))
     rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("body")).join(F.broadcast(taken), "label_id")
-    rows = rows.select("body", "label", point.alias("point"))
+    # An id may have many rows: the sample is bounded in rows too, equal rows counting once.
+    rows, n_rows = materialize_counted(rows.select("body", "label", point.alias("point")).distinct(), "toxicity-rows")
+    rows = rows.where(in_share(F.xxhash64("point", "body"), 2 * c.sample / max(n_rows, 1)))
     bits = c.bits
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,5 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None,
           name: str = "score") -> DataFrame:
-    """``keep`` columns (default: all) and the probability of the label. Null and empty texts get the bias's."""
+    """``keep`` columns (default: all) and the probability of the label. Null and empty texts get the bias's.
+
+    Every row is scored by itself: repeated rows get equal scores, and an empty table gives no rows.
+    """
     return add_columns(docs, [text_col], [(name, "double")], lambda texts: [model.scores(texts)], keep)
