@@ -5,8 +5,9 @@ five-word shingles that a document holds. Items are put into size classes by pow
 with at most q shingles is sketched by its k = floor((1 - threshold) * q) + 1 smallest shingle hashes (the
 bottom-k form of MinHash). A document that holds at least ``threshold`` of the item's shingles misses at most
 k - 1 of them, so it holds one of the sketch: the search of all document shingles in the sketches loses nothing,
-however long the document is. Documents with too few shingles for an item's class are passed over. Candidates
-are verified on the shingles themselves (words, not hashes).
+however long the document is. Documents with too few shingles for an item's class are passed over. Candidate
+documents are cut into their shingles once and joined with those of the items (words, not hashes), so the work grows with
+the document and the places it shares with items, also where one file holds a whole benchmark.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flightlake.operators.joins import broadcast_if_small
 from flightlake.session import materialize, materialize_counted
 
 WORDS, THRESHOLD = 5, 0.8
-# Sketch rows (16 bytes) probed in one pass over the documents, and item text bytes that may be broadcast.
+# Sketch rows (16 bytes) probed in one pass over the documents, and bytes of a side that may be broadcast.
 SKETCH_ROWS, ITEM_BYTES = 1_000_000, 32 * 1024 * 1024
 
 
@@ -83,29 +85,31 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     bodies = named.select("ikey", "body").dropDuplicates(["ikey"])
     sketches, n = materialize_counted(
         item_sketches(bodies, threshold, n_words).select("ikey", "least_doc", F.explode("sketch").alias("h")), "sketches")
-    size = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    texts = bodies.select("ikey", "body")
-    texts = F.broadcast(texts) if size <= ITEM_BYTES else texts
+    parts = bodies.select("ikey", shingles(F.col("body"), n_words).alias("ss")).select(
+        "ikey", F.size("ss").alias("n_item"), F.posexplode("ss").alias("place", "s"))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt"))
-    hashed = rows.select("id", "txt", hashed_shingles(F.col("txt"), n_words).alias("hs"))
-    opened = hashed.select("id", "txt", F.size("hs").alias("n_doc"), F.explode("hs").alias("h"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("txt")).withColumn("text_hash", F.xxhash64("txt"))
+    hashed = rows.select("id", "text_hash", hashed_shingles(F.col("txt"), n_words).alias("hs"))
+    opened = hashed.select("id", "text_hash", F.size("hs").alias("n_doc"), F.explode("hs").alias("h"))
     blocks = max(1, math.ceil(n / SKETCH_ROWS))
     hits = None
     for block in range(blocks):  # a larger benchmark is searched in blocks, each under the broadcast bound
         part = sketches if blocks == 1 else sketches.where(F.pmod(F.col("h"), F.lit(blocks)) == block)
-        found = opened.join(F.broadcast(part), "h").where("n_doc >= least_doc").select("id", "txt", "ikey")
+        found = opened.join(F.broadcast(part), "h").where("n_doc >= least_doc").select("id", "text_hash")
         hits = found if hits is None else hits.unionByName(found)
-    candidates = hits.groupBy("id", "txt", "ikey").agg(F.lit(1).alias("one"))
-    mine, theirs = shingles(F.col("txt"), n_words), shingles(F.col("body"), n_words)
-    verified = (candidates.join(texts, "ikey")
-                .select("id", F.xxhash64("txt").alias("text_hash"), "ikey", theirs.alias("item_shingles"), mine.alias("doc_shingles"))
-                .select("id", "text_hash", "ikey", F.size("item_shingles").alias("n_item"),
-                        F.size(F.array_intersect("item_shingles", "doc_shingles")).alias("n_shared"))
+    candidates, _ = broadcast_if_small(hits.groupBy(F.col("id").alias("cid"), F.col("text_hash").alias("chash")).agg(
+        F.lit(1).alias("one")), ITEM_BYTES, "candidates")
+
+    # Each candidate document is cut into its distinct shingles once, whatever number of items it holds; only shingles of items
+    # go on. Rows with equal id and text find the same places, which count once.
+    texts = rows.join(candidates, F.col("id").eqNullSafe(F.col("cid")) & (F.col("text_hash") == F.col("chash")), "left_semi")
+    cut = texts.select("id", "text_hash", F.explode(shingles(F.col("txt"), n_words)).alias("s"))
+    parts, _ = broadcast_if_small(parts, ITEM_BYTES, "item-shingles")
+    verified = (cut.join(parts, "s").groupBy("id", "text_hash", "ikey", "n_item").agg(F.size(F.collect_set("place")).alias("n_shared"))
                 .withColumn("containment", F.col("n_shared") / F.col("n_item"))
                 .where(F.col("containment") >= threshold - 1e-12))
-    names = named.select("ikey", "item")
-    return (verified.join(F.broadcast(names) if size <= ITEM_BYTES else names, "ikey")
+    names, _ = broadcast_if_small(named.select("ikey", "item"), ITEM_BYTES, "item-names")
+    return (verified.join(names, "ikey")
             .select(F.col("id").alias(id_col), "text_hash", F.col("item").alias("item_id"),
                     F.col("n_item").cast("long").alias("n_item"), F.col("n_shared").cast("long").alias("n_shared"),
                     "containment"))
@@ -124,5 +128,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     bad = contaminated(rows, items, id_at, text_at, **options).select(F.col(id_at).alias("bad_id"), "text_hash").distinct()
     bad, n = materialize_counted(bad, "contaminated")
     bad = F.broadcast(bad) if n <= broadcast_rows else bad
-    clean = rows.join(bad, F.col(id_at).eqNullSafe(F.col("bad_id")) & (F.xxhash64(text_at) == F.col("text_hash")), "left_anti")
+    text = F.coalesce(F.col(text_at), F.lit(""))
+    clean = rows.join(bad, F.col(id_at).eqNullSafe(F.col("bad_id")) & (F.xxhash64(text) == F.col("text_hash")), "left_anti")
     return clean.toDF(*cols)

@@ -217,3 +217,33 @@ def test_native_operators_have_no_python_in_their_plans(spark):
     for df in (ring_shards(docs, 4), contaminated(docs, frame(spark, [(1, "a b c d e f")], "item_id long, text string"))):
         plan = df._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+def test_a_dump_of_items_is_cut_once_and_grows_in_proportion(spark):
+    import time
+
+    def words(i):
+        return " ".join(f"w{i}x{j}" for j in range(12))
+
+    def took(n):
+        items = spark.createDataFrame([(i, words(i)) for i in range(n)], "item_id long, text string").cache()
+        docs = spark.createDataFrame([(1, " and ".join(words(i) for i in range(n))), (2, "nothing of it here at all")] * 2, "doc_id long, text string").cache()
+        items.count(), docs.count()
+        start = time.monotonic()
+        found = contaminated(docs, items).groupBy("doc_id").count().collect()
+        assert [tuple(r) for r in found] == [(1, n)]
+        return time.monotonic() - start
+
+    took(200)
+    assert took(3200) < 4 * took(400) + 4  # with the square, 64 times
+
+
+def test_items_of_one_text_are_named_by_their_rows(spark, monkeypatch):
+    items = spark.range(3000).select(F.col("id").alias("item_id"), F.when(F.col("id") % 2 == 0, "one two three four five six").alias("text"))
+    docs = spark.createDataFrame([(1, "say one two three four five six now"), (2, None)], "doc_id long, text string")
+    for bound in (32 * 1024 * 1024, 1):  # names under and over the bound of a broadcast
+        monkeypatch.setattr("flightlake.llm.decontaminate.ITEM_BYTES", bound)
+        got = contaminated(docs, items)
+        assert got.count() == 1500 and got.select("doc_id").distinct().collect() == [(1,)]
+    plan = got._jdf.queryExecution().toString()
+    assert "rightHint=(strategy=broadcast)" not in plan and "leftHint=(strategy=broadcast)" not in plan
