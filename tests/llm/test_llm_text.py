@@ -196,6 +196,84 @@ def test_assigned_values_of_other_kinds_and_prose():
         assert feistel.pseudonymize(text, KEY) == (text, [])
 
 
+def digits_of(text):
+    return re.sub(r"\D", "", text)
+
+
+@pytest.mark.parametrize("forms", [
+    ["+33 6 12 34 56 78", "+33612345678", "+33-6-12-34-56-78", "+33 (0)6 12 34 56 78", "+33.6.12.34.56.78"],
+    ["+1 (603) 555-8791", "(603) 555-8791", "603-555-8791", "603.555.8791", "+16035558791", "603 555 8791"],
+    ["06 12 34 56 78", "06.12.34.56.78"], ["4111111111111111", "4111-1111-1111-1111", "4111 1111 1111 1111"],
+    ["123-45-6789", "123 45 6789"]])
+def test_one_number_has_one_pseudonym_in_all_notations(forms):
+    new = []
+    for form in forms:
+        text, found = feistel.pseudonymize(f"Call {form}, please.", KEY)
+        assert len(found) == 1 and shape(text) == shape(f"Call {form}, please.") and form not in text, form
+        own = digits_of(text)
+        if form.startswith("+33"):
+            assert own[:2] == "33"
+            own = own[2:].removeprefix("0") if "(0)" in form else own[2:]
+        elif form.startswith("+1"):
+            own = own[1:]
+        new.append(own)
+    assert len(set(new)) == 1 and new[0] != digits_of(forms[-1])
+
+
+def test_one_day_address_and_iban_in_all_notations():
+    new = [feistel.pseudonymize(f"on {d},", KEY)[0][3:-1] for d in ("2021-05-04", "2021/05/04", "2021.05.04", "04.05.2021", "04/05/2021", "04-05-2021")]
+    assert len({tuple(re.split(r"\D", d)) if d[4] in "-/." else tuple(re.split(r"\D", d)[::-1]) for d in new}) == 1 and "2021-05-04" not in new
+    one, two = (feistel.pseudonymize(f"to {m} now", KEY)[0] for m in ("Bob.Lee@Mail7.Example.com", "bob.lee@mail7.example.com"))
+    assert one.lower() == two and shape(one) == shape("to Bob.Lee@Mail7.Example.com now") and "bob" not in two
+    ibans = [feistel.pseudonymize(f"x {i} y", KEY)[0].upper().replace(" ", "") for i in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "de89370400440532013000")]
+    assert len(set(ibans)) == 1 and "DE89370400440532013000" not in ibans[0]
+
+
+@pytest.mark.parametrize("value,kind", [
+    ("0171 2345678", "phone"), ("2001:db8:85a3::8a2e:370:7334", "ip6"), ("FE80::1FF:FE23:4567:890A", "ip6"), ("ghp_16C7e42F292c6912E7710c838347Ae178B4a", "secret"),
+    ("sk-proj-Ab3dEf6hIj9kLmN0pQrS", "secret"), ("eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P", "secret"),
+    ("m\u00fcller@firma.example.de", "email"), ("gb82west12345698765432", "iban"), ("2021.02.03", "day"), ("555 234 4567", "phone")])
+def test_further_forms_are_found_and_keep_their_shape(value, kind):
+    text = f"Before {value}, and ({value})."
+    new, found = feistel.pseudonymize(text, KEY)
+    assert [k for *_, k in found] == [kind] * 2 and value not in new and len(new) == len(text)
+    first, second = [new[a:b] for a, b, _ in found]
+    assert first == second and [k for *_, k in feistel.pseudonymize(first, KEY)[1]] == [kind]
+    if kind == "email":
+        assert "m\u00fc" not in new
+
+
+def test_long_runs_of_digits_and_marks_take_time_in_proportion():
+    import time
+
+    for text in ("+" + "1" * 500_000, "+1" * 250_000, "+123456789012345" * 30_000, "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 " * 15_000, "1:" * 250_000, "a." * 250_000 + "@",
+                 "+(1)" * 100_000, "0 12 " * 100_000):
+        start = time.monotonic()
+        feistel.pseudonymize(text, KEY)
+        assert time.monotonic() - start < 12, text[:20]
+
+
+def test_permutation_equals_a_plain_feistel_network():
+    import hashlib
+
+    def plain(value, size, key, tweak):
+        bits = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
+        while True:
+            halves = [value // 2**bits, value % 2**bits]
+            for r in range(8):
+                wide = (bits + 7) // 8
+                h = hashlib.blake2b(tweak.encode() + bytes([r]) + halves[1].to_bytes(wide, "big"), key=key, digest_size=max(8, wide))
+                halves = [halves[1], halves[0] ^ int.from_bytes(h.digest(), "big") % 2**bits]
+            value = halves[0] * 2**bits + halves[1]
+            if value < size:
+                return value
+
+    rng = random.Random(5)
+    for size in (2, 9, 100, 36525, 10**9, 26**12):
+        for value in [0, size - 1, *(rng.randrange(size) for _ in range(20))]:
+            assert feistel.permute(value, size, KEY, "t") == plain(value, size, KEY, "t")
+
+
 def test_long_values_stay_one_to_one():
     values = [f"{i:04d}" + "x" * 300 + f"{i * 7 % 1000:03d}" for i in range(500)]
     assert len({feistel.pseudonymize(f"token={v}", KEY)[0] for v in values}) == 500
