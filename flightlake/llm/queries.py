@@ -143,7 +143,7 @@ SELECT page_id, payload_bytes, u.payload_digest, CASE WHEN page_id <> first THEN
        CASE WHEN page_id <> first THEN first END AS refers_to,
        CASE WHEN url = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
             || CASE WHEN path = '' THEN '/' ELSE path END || query END AS url_key,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(coalesce(page_id, 0)), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(((coalesce(page_id, 0) % 8640000000) + 8640000000) % 8640000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
 FROM u LEFT JOIN f ON u.payload_digest = f.payload_digest
 """
 

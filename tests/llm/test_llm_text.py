@@ -339,6 +339,7 @@ def test_warc_round_trip(spark):
 def test_warc_over_many_runs_and_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
     monkeypatch.setattr(warc, "MERGE_ROWS", 40)
+    monkeypatch.setattr(warc, "BLOCK_ROWS", 7)
     pages = spark.read.parquet(f"{SF001}/pages.parquet")
     a = warc.archive_and_index(pages).toPandas().sort_values(["range_no", "position"])
     monkeypatch.setattr(warc, "BROADCAST_DIGESTS", -1)
@@ -350,6 +351,47 @@ def test_warc_over_many_runs_and_broadcast_bound(spark, monkeypatch):
     assert keys == sorted(keys) and len(keys) == pages.count()
 
 
+def test_warc_of_any_ids(spark):
+    big = "<p>" + "same page " * 40
+    wide = [(2**62 + 5, "http://a.b/x", big), (-7, "http://a.b/x", big), (2**63 - 1, None, "x"), (None, "http://c.d", big), (-2**63, "http://c.d", None)]
+    texts = [("b id/<7>\r\n+%", "http://a.b/x", big), ("a", "http://a.b/x", big), ("\u00e9", "http://a.b/y", "x"), (None, "http://c.d", big), ("a", "http://a.b/x", big)]
+    for rows, kind, first in ((wide, "long", -7), (texts, "string", "a")):
+        got = warc.archive_and_index(spark.createDataFrame(rows, f"page_id {kind}, url string, html string")).collect()
+        assert sorted(map(repr, (r["page_id"] for r in got))) == sorted(map(repr, (i for i, _, _ in rows)))
+        for r in got:
+            same = r["payload_bytes"] == len(big)
+            assert r["record_type"] == ("revisit" if same and r["page_id"] != first else "response")
+            assert r["refers_to"] == (first if r["record_type"] == "revisit" else None)
+
+
+def test_archives_are_bounded_in_bytes(spark, monkeypatch):
+    import glob
+    import gzip
+
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    rng = random.Random(4)
+    sizes = [rng.randint(20, 300) for _ in range(2000)] + [40_000] * 60 + [190_000] * 5 + [500_000] * 2
+    rows = [(i, f"http://h{i % 9}.org/{i}", f"{i} " + "x" * size) for i, size in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path = warc.write_archives(pages)
+    held = []
+    for name in glob.glob(f"{path.removeprefix('file:')}/**/*.gz", recursive=True):
+        data = gzip.open(name).read()
+        held.append((len(data), len(list(warc.records(data)))))
+    assert sum(n for _, n in held) == len(rows)
+    assert all(size <= 200_000 or n == 1 for size, n in held)
+    assert sorted(n for size, n in held if size > 200_000) == [1, 1]
+    got = warc.archive_and_index(pages)
+    assert got.count() == len(rows)
+
+
+def test_merge_never_sorts_rows_again(spark):
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    plan = warc.archive_and_index(pages)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("range_no" in line and "url_key" not in line for line in sorts)
+
+
 def test_pipeline_stages(spark, tmp_dir):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").withColumn("extra", F.lit(1)).withColumn("score", F.lit("s"))
     odd = spark.createDataFrame([(10_000, None, "en", "s", 0, 1, "s"), (10_001, "12 34 !!", None, "s", 0, 1, "s"), (10_002, "", "en", None, 0, None, None)],
