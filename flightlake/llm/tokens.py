@@ -14,7 +14,6 @@ from flightlake.llm.common import differing, equal_spans, span_hashes, utf8_buff
 KNOWN_PARTS, PART_BYTES, KNOWN_IDS = 1_000_000, 64, 1 << 24
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), 28, 29, 30, 31, 32]] = True
-_SIMPLE = re.compile(r"\A ?\S+\Z")
 _OTHER_BLANK = re.compile(r"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -44,21 +43,34 @@ class Parts:
         self.text, self.written = np.empty(1 << 16, np.uint8), 0
         self.text_at, self.lengths = np.empty(0, np.int32), np.empty(0, np.uint8)
 
-    def encode(self, parts: list[str]) -> list[np.ndarray]:
-        """Ids of each part. Parts without white space inside go through the tokenizer in one text, on lines of
-        their own; the line ends between them are tokens of their own and tell where a part ends."""
-        out: list[np.ndarray | None] = [None] * len(parts)
-        simple = [i for i, p in enumerate(parts) if _SIMPLE.match(p)] if len(self.line_end) == 1 else []
-        if simple:
-            ids = np.array(self.tokenizer.encode("".join([parts[i] + "\n" for i in simple]), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.line_end[0])
-            if len(ends) == len(simple):
-                for i, a, b in zip(simple, [0, *(ends[:-1] + 1).tolist()], ends.tolist()):
-                    out[i] = ids[a:b]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch([parts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, "<u4")
-        return out
+    def encode(self, raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keep the ids of some parts of a text; where they start and how many each has. ``plain`` parts, without white space
+        inside, go through the tokenizer in one text, on lines of their own; the line ends between them are tokens of their
+        own and tell where a part ends, so no part is an object of its own."""
+        start, size = np.empty(len(begins), np.int64), np.empty(len(begins), np.int64)
+        rest = np.ones(len(begins), bool)
+        if len(self.line_end) == 1 and plain.any():
+            long = lengths[plain]
+            ends = np.cumsum(long + 1)
+            text = np.full(int(ends[-1]), 10, np.uint8)
+            step = np.arange(int(long.sum())) - np.repeat(np.cumsum(long) - long, long)
+            text[np.repeat(ends - long - 1, long) + step] = raw[np.repeat(begins[plain], long) + step]
+            ids = np.array(self.tokenizer.encode(text.tobytes().decode("utf-8"), add_special_tokens=False).ids, "<u4")
+            line = ids == self.line_end[0]
+            found = np.flatnonzero(line)
+            if len(found) == len(long):
+                size[plain] = np.diff(found, prepend=-1) - 1
+                start[plain] = self.used + np.cumsum(size[plain]) - size[plain]
+                self.flat, self.used = self._append(self.flat, self.used, ids[~line])
+                rest = ~plain
+        if rest.any():
+            data = raw.tobytes()
+            parts = [data[a:a + n].decode("utf-8") for a, n in zip(begins[rest].tolist(), lengths[rest].tolist())]
+            ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+            size[rest] = [len(x) for x in ids]
+            start[rest] = self.used + np.cumsum(size[rest]) - size[rest]
+            self.flat, self.used = self._append(self.flat, self.used, np.concatenate(ids))
+        return start, size
 
     @staticmethod
     def _append(store: np.ndarray, used: int, values: np.ndarray) -> tuple[np.ndarray, int]:
@@ -67,13 +79,6 @@ class Parts:
         store[used:used + len(values)] = values
         return store, used + len(values)
 
-    def keep_ids(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Put the ids of some parts behind the others; where they start, and how many each has."""
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = self.used + np.cumsum(sizes) - sizes
-        self.flat, self.used = self._append(self.flat, self.used, np.concatenate([np.empty(0, "<u4"), *ids]))
-        return starts, sizes
-
     def remember(self, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray, raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> None:
         """Add short parts under their hashes; of several parts of a hash the one there first."""
         at = np.searchsorted(self.keys, keys)
@@ -132,9 +137,11 @@ class Parts:
             begin, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
             begin[~new], size[~new] = self.starts[at[~new]], self.sizes[at[~new]]
             if new.any():
-                data = raw.tobytes()
-                begin[new], size[new] = self.keep_ids(self.encode([
-                    data[a:a + n].decode("utf-8") for a, n in zip(begins[new].tolist(), lengths[new].tolist())]))
+                # Without white space but one space in front; more than that space.
+                blanks = np.concatenate([[0], np.cumsum(blank)])
+                inner = blanks[begins + lengths] - blanks[begins] - (raw[begins] == 32)
+                plain = (inner == 0) & (lengths > (raw[begins] == 32))
+                begin[new], size[new] = self.encode(raw, begins[new], lengths[new], plain[new])
                 self.remember(keys[new], begin[new], size[new], raw, begins[new], lengths[new])
             begin, size = begin[inverse], size[inverse]
             after = np.cumsum(size)
