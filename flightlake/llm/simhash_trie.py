@@ -11,6 +11,11 @@ the budget, deeper only where a pair holds more than ``LEAF`` fingerprints. Each
 row with both sorted fingerprint arrays (at most LEAF values), and a task walks those two subtrees together,
 keeping only a spanning forest of the links it meets (never all pairs). Components of the forests' edges are
 then found by star steps. Equal fingerprints are grouped first, so a group of copies of any size is one leaf.
+
+What the walk deals out: with n different fingerprints the top nodes lie at depth d = log2(n / ``NODE_TARGET``), and a node's
+array goes to every node within the half's budget, which is at most the sum of C(d, i) for i up to the budget. With 4 bits
+that is 1 + d + d(d-1)/2 copies in one trie and 1 + d in the other: 137 + 17 at a billion fingerprints (1.2 TB), 211 +
+21 at ten billion. It grows with the square of log n, and no link is left out for it.
 """
 
 from __future__ import annotations
