@@ -154,6 +154,16 @@ def test_quality_query(spark):
     assert known[known["quality"] == 1]["kept"].mean() > 0.98 and known[known["quality"] == 0]["kept"].mean() < 0.1
 
 
+def test_quality_words_of_odd_length(spark):
+    rng = random.Random(8)
+    odd = [" ".join("".join(rng.choices("abcdefghijklmnop", k=chars)) for _ in range(words))
+           for chars, words in ((1, 80), (1, 400), (40, 30), (40, 300), (64, 60), (200, 20))]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    model = quality_forest.fit(docs, spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", "quality"))
+    made = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert [(r["base_failed"], r["kept"]) for r in quality_forest.judge(made, model).collect()] == [(False, False)] * len(odd)
+
+
 def test_quality_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "a b c d e f g h i j k", 1)], "doc_id long, text string, kept int")
     model = quality_forest.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
