@@ -132,6 +132,11 @@ def edges_of(rows: DataFrame, key: str = "icao24") -> DataFrame:
     return rows.groupBy(key, DAY).agg(F.min(at).alias("first"), F.max(at).alias("last")).select(key, "first", "last", DAY)
 
 
+def merge_edges(edges: DataFrame, key: str = "icao24") -> DataFrame:
+    """Edges of several runs as one row per aircraft and day."""
+    return edges.groupBy(key, DAY).agg(F.min("first").alias("first"), F.max("last").alias("last")).select(key, "first", "last", DAY)
+
+
 def latest_of(edges: DataFrame, key: str = "icao24") -> DataFrame:
     """The state carried from run to run: the last place of each aircraft, its altitude included."""
     return edges.groupBy(key).agg(F.max("last").alias("last"))

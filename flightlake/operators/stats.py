@@ -49,6 +49,12 @@ def country_partials(phased: DataFrame, day: str, country: str = "origin_country
         F.hll_sketch_agg("icao24", F.lit(SKETCH_LOG2)).alias("aircraft"))
 
 
+def merge_partials(partials: DataFrame, day: str, country: str = "origin_country") -> DataFrame:
+    """Partial states of several runs as one row per country and day: sums added up, sketches united."""
+    sums = [F.sum(c).alias(c) for c in ("row_count", "flights", "speed_sum", "speed_n", "climbing", "altitude_sum", "altitude_n")]
+    return partials.groupBy(country, day).agg(*sums, F.hll_union_agg("aircraft").alias("aircraft"))
+
+
 def country_stats_from(partials: DataFrame, stamp: Column, country: str = "origin_country") -> DataFrame:
     """``country_stats`` of all rows behind some partial states, stamped."""
     return partials.groupBy(country).agg(

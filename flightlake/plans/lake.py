@@ -9,7 +9,7 @@ agree on the silver rows they saw. A run that is tried again, or dies anywhere,
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,21 +19,23 @@ from pyspark.sql.types import StructType
 from flightlake.operators import stats
 from flightlake.operators.dedupe import append_unique, keep_first
 from flightlake.operators.geofence import airport_distance
-from flightlake.operators.phase import PhaseUpdate, edges_of, latest_of, update_phases
+from flightlake.operators.phase import PhaseUpdate, edges_of, latest_of, merge_edges, update_phases
 from flightlake.operators.silver import RESCUED, SILVER_KEYS, rescued_cells, rescuing_rows
 from flightlake.plans.gold import run_name, run_stamp
 from flightlake.session import materialize, materialize_counted, scratch_scope
 from flightlake.sources import versions
 from flightlake.sources.inline import airports_frame
 from flightlake.sources.key_filters import build_filters, candidate_files
-from flightlake.sources.readers import read_snapshots
 from flightlake.sources.silver_table import flight_date
 from flightlake.sources.versions import DAY, Part, Version
+from flightlake.streaming.incremental import landed_stream
 
 SILVER, FILTERS, RESCUES = "cleaned_flights", "key_filters", "rescued_cells"
 PHASES, EDGES, STATE, PARTIALS = "flight_analytics", "phase_edges", "phase_state", "country_partials"
 COUNTRIES, SUMMARY, DISTANCES = "country_stats", "daily_summary", "airport_distance"
 TIME = "time_position"
+# Below the silver base: the checkpoint that remembers which landing files were read.
+LANDED = "_landed"
 # A day's parts below this size are put together by a compaction.
 SMALL_BYTES = 128 * 1024 * 1024
 
@@ -119,6 +121,15 @@ def _add_filters(spark: SparkSession, lake: Lake, coming: Version, run: str, par
     _add(coming, lake.silver, run, FILTERS, build_filters(stored, SILVER_KEYS, TIME), replacing=replacing)
 
 
+def _small(parts: Iterable[Part], small_bytes: int) -> list[Part]:
+    """The small parts of each day that has several, or one of several files that was never packed."""
+    by_day: dict[str | None, list[Part]] = {}
+    for part in parts:
+        if part.size < small_bytes:
+            by_day.setdefault(part.day, []).append(part)
+    return [p for day in by_day.values() if len(day) > 1 or day[0].files > 1 and day[0].appended for p in day]
+
+
 def compact_silver(spark: SparkSession, lake: Lake, ts: datetime | None = None, small_bytes: int = SMALL_BYTES) -> Version:
     """Put the small parts of each day together, into files of about the advisory partition size, as one commit.
 
@@ -128,11 +139,7 @@ def compact_silver(spark: SparkSession, lake: Lake, ts: datetime | None = None,
     """
     now, coming, run = _next(spark, lake.silver, ts)
     taken = versions.current(spark, lake.gold).facts.get("silver_seq", 0)
-    by_day: dict[str | None, list[Part]] = {}
-    for part in now.parts.get(SILVER, []):
-        if part.size < small_bytes and part.seq <= taken:
-            by_day.setdefault(part.day, []).append(part)
-    small = [p for parts in by_day.values() if len(parts) > 1 or parts[0].files > 1 and parts[0].appended for p in parts]
+    small = _small((p for p in now.parts.get(SILVER, []) if p.seq <= taken), small_bytes)
     if not small:
         return now
     rows = versions.read_parts(spark, lake.silver, SILVER, small, _schema(now, SILVER))
@@ -197,6 +204,25 @@ def update_gold(spark: SparkSession, lake: Lake, airports: DataFrame | None = No
     return versions.commit(spark, lake.gold, coming)
 
 
+def compact_gold(spark: SparkSession, lake: Lake, ts: datetime | None = None, small_bytes: int = SMALL_BYTES) -> Version:
+    """A7 for the tables that grow by day: phases, edges and partial states, put together as one commit.
+
+    Edges of a day merge by aircraft and partial states by country, so what a later run reads of a day no longer grows with
+    the runs that wrote it. Tables of a row set per run (statistics, distances) stay as they are. With nothing to
+    pack there is no commit.
+    """
+    now, coming, run = _next(spark, lake.gold, ts)
+    merged = {PHASES: lambda rows: rows, EDGES: merge_edges, PARTIALS: lambda rows: stats.merge_partials(rows, DAY)}
+    packed = False
+    for table, merge in merged.items():
+        small = _small(now.parts.get(table, []), small_bytes)
+        if small:
+            rows = merge(versions.read_parts(spark, lake.gold, table, small, _schema(now, table)))
+            _add(coming, lake.gold, run, table, rows, appended=False, replacing=small)
+            packed = True
+    return versions.commit(spark, lake.gold, coming) if packed else now
+
+
 def read_gold(spark: SparkSession, lake: Lake, table: str, version: Version | None = None) -> DataFrame:
     """The committed rows of a gold table (``country_stats`` and ``airport_distance``: of every run)."""
     return versions.read_table(spark, lake.gold, table, version)
@@ -210,10 +236,27 @@ def latest_run(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return versions.read_parts(spark, lake.gold, table, parts, _schema(version, table))
 
 
+def append_landed(spark: SparkSession, raw_dir: str, lake: Lake, ts: datetime | None = None, files_per_commit: int | None = None) -> Version:
+    """Silver commits of the landing files that no run before has read.
+
+    A file stream's checkpoint in the silver base remembers the files, so a run opens the new ones alone however
+    long the landing zone has grown. ``files_per_commit`` cuts a long backlog into several commits. A run that dies between a commit
+    and its checkpoint reads those files again, finds their keys stored and adds nothing.
+    """
+    rows = rescuing_rows(landed_stream(spark, raw_dir, files_per_commit), run_stamp(ts), source=F.col("_metadata.file_name"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_silver_run(batch.sparkSession, lake, batch, ts)
+
+    query = (rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{lake.silver.rstrip('/')}/{LANDED}")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return versions.current(spark, lake.silver)
+
+
 def run_hour(spark: SparkSession, raw_dir: str, folder: str, ts: datetime | None = None) -> Lake:
-    """Landed snapshots -> silver commit -> gold commit. Rows stored before are passed over by their key."""
+    """New landed snapshots -> silver commit -> gold commit. Rows stored before are passed over by their key."""
     lake = Lake.at(folder)
-    landed = rescuing_rows(read_snapshots(spark, raw_dir), run_stamp(ts), source=F.col("_metadata.file_name"))
-    append_silver_run(spark, lake, landed, ts)
+    append_landed(spark, raw_dir, lake, ts)
     update_gold(spark, lake, ts=ts)
     return lake

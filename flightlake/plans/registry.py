@@ -423,7 +423,7 @@ def q_report_silver(spark, sf_dir):
 
 def _lake(spark, sf_dir) -> lake.Lake:
     """Three hours of the versioned job, the last one the earliest landings (late rows of every aircraft), each landing
-    holding the ones before it, and silver packed after the second."""
+    holding the ones before it; silver and gold packed after the second, replaced folders deleted at the end."""
     landing, folder = scratch_path(spark, "landing-lake"), scratch_path(spark, "lake-versions")
     states = states_from_flights(load_flights(spark, sf_dir))
     late = F.col("time") < F.lit(LANDING_CUT)
@@ -432,6 +432,9 @@ def _lake(spark, sf_dir) -> lake.Lake:
         made = lake.run_hour(spark, landing, folder, datetime(2024, 2, 1))
         if hour == 1:
             lake.compact_silver(spark, made, datetime(2024, 2, 1))
+            lake.compact_gold(spark, made, datetime(2024, 2, 1))
+    for base in (made.silver, made.gold):
+        versions.expire(spark, base)
     return made
 
 

@@ -139,6 +139,43 @@ def read_table(spark: SparkSession, base: str, table: str, version: Version | No
     return read_parts(spark, base, table, version.parts[table], StructType.fromJson(json.loads(version.schemas[table])))
 
 
+def expire(spark: SparkSession, base: str, keep: int = 1) -> int:
+    """Delete what none of the newest ``keep`` versions lists: older manifests, then folders; returns how many folders went.
+
+    Folders go that an older version replaced or that a run left which died, but none of a run that is still to be committed.
+    The kept versions stay whole. Run it when no reader is on an older one.
+    """
+    if keep < 1:
+        raise ValueError("the newest version is always kept")
+    newest = current(spark, base).seq
+    fs, folder = _fs(spark, f"{base.rstrip('/')}/{MANIFESTS}")
+    if not newest:
+        return 0
+    numbers = sorted(int(s.getPath().getName()[:-5]) for s in fs.listStatus(folder) if s.getPath().getName()[:-5].isdigit())
+    live: dict[str, set[str]] = {}
+    for seq in numbers[-keep:]:
+        for table, parts in read_version(spark, base, seq).parts.items():
+            live.setdefault(table, set()).update(p.place for p in parts)
+    for seq in numbers[:-keep]:
+        fs.delete(_fs(spark, _manifest_path(base, seq))[1], False)
+    gone = 0
+    for table in fs.listStatus(_fs(spark, base)[1]):
+        if not table.isDirectory() or table.getPath().getName().startswith(("_", ".")):
+            continue
+        held = live.get(table.getPath().getName(), set())
+        for run in fs.listStatus(table.getPath()):
+            name = run.getPath().getName()
+            number = name.rsplit("-", 1)[-1]
+            if not name.startswith(f"{RUN}=") or not number.isdigit() or int(number) > newest or name in held:
+                continue
+            days = [s.getPath() for s in fs.listStatus(run.getPath()) if s.getPath().getName().startswith(f"{DAY}=")]
+            dead = [p for p in days if f"{name}/{p.getName()}" not in held]
+            for path in [run.getPath()] if len(dead) == len(days) else dead:
+                fs.delete(path, True)
+            gone += len(dead) if days else 1
+    return gone
+
+
 def days_of(df: DataFrame) -> set[str]:
     """The days of some rows, as partition names (at most the days of the calendar)."""
     return {str(r[DAY]) if r[DAY] is not None else NO_DAY for r in df.select(DAY).distinct().collect()}

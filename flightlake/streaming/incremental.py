@@ -28,19 +28,31 @@ from flightlake.operators.silver import SILVER_KEYS, silver_rows
 from flightlake.session import scratch_scope
 from flightlake.sources.silver_table import append_silver
 
+# A century: no landed file is too old to be read.
+MAX_FILE_AGE = "36500d"
+
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """J2, bounded: drop rows whose key was seen within the watermark delay, and rows later than the delay."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def landed_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed snapshot files as a stream of documents, each file once, whatever its time stamp says.
+
+    A file stream passes over files that are ``maxFileAge`` (a week, unless set) older than the newest it has seen, so a file
+    copied in with its old time stamp, or left over from a long stop, would be lost; the age is set beyond any such file.
+    """
+    reader = spark.readStream.schema(schemas.RAW_SNAPSHOT).option("maxFileAge", MAX_FILE_AGE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.json(raw_dir)
+
+
 def silver_rows_stream(spark: SparkSession, raw_dir: str, run_ts: Column | None = None, time_index: int = 4,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed snapshot files as a stream of cleaned silver rows (no key de-duplication yet)."""
-    reader = spark.readStream.schema(schemas.RAW_SNAPSHOT)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return silver_rows(reader.json(raw_dir), run_ts, time_index)
+    return silver_rows(landed_stream(spark, raw_dir, max_files_per_trigger), run_ts, time_index)
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",

@@ -1,6 +1,9 @@
 """Versioned lake: incremental phases and statistics, one commit for all tables, key filters, compaction."""
 
+import json
+import os
 import random
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -216,6 +219,102 @@ def test_one_file_a_day_and_compaction(spark, tmp_dir):
     assert L.read_gold(spark, lake, L.SUMMARY).first()["total_global_flights"] == len(before) + 1
 
 
+def landed(folder, name, rows, age_days=0):
+    """A landing file of (icao24, seconds, altitude) states, with a time stamp some days back."""
+    os.makedirs(folder, exist_ok=True)
+    states = [[k, "CS1", "X", None, t, 1.0, 2.0, a, False, 10.0] + [None] * 7 for k, t, a in rows]
+    path = f"{folder}/{name}.json"
+    with open(path, "w") as out:
+        out.write(json.dumps({"time": 1704067200, "states": states}) + "\n")
+    when = time.time() - 86400 * age_days
+    os.utime(path, (when, when))
+
+
+def test_an_hour_reads_its_own_landing_files_alone(spark, tmp_dir, monkeypatch):
+    raw, base, read = f"{tmp_dir}/raw", 1704067200, []
+    real = L.append_silver_run
+
+    def noted(spark_, lake_, rows, ts=None):
+        read.append(sorted(r["source_file"] for r in rows.select("source_file").distinct().collect()))
+        return real(spark_, lake_, rows, ts)
+
+    monkeypatch.setattr(L, "append_silver_run", noted)
+    for hour in range(3):
+        landed(raw, f"h{hour}", [("a", base + 3600 * hour, 100.0 * hour), ("b", base, 5.0)])
+        lake = L.run_hour(spark, raw, f"{tmp_dir}/lake", TS + timedelta(hours=hour))
+    assert read == [["h0.json"], ["h1.json"], ["h2.json"]]
+    # A file far older than those read before, and one that dies before its checkpoint and is read again.
+    landed(raw, "old", [("a", base + 60, 50.0), ("c", base, "n/a")], age_days=400)
+    with monkeypatch.context() as patched:
+
+        def stopped(*args):
+            noted(*args)
+            raise RuntimeError("stopped")
+
+        patched.setattr(L, "append_silver_run", stopped)
+        with pytest.raises(Exception):
+            L.run_hour(spark, raw, f"{tmp_dir}/lake", TS + timedelta(hours=3))
+    lake = L.run_hour(spark, raw, f"{tmp_dir}/lake", TS + timedelta(hours=4))
+    assert read[3:] == [["old.json"], ["old.json"]]
+    assert L.run_hour(spark, raw, f"{tmp_dir}/lake", TS + timedelta(hours=5)) == lake and len(read) == 5
+    rows = L.read_gold(spark, lake, L.PHASES).select("icao24", "time_position", "prev_alt").collect()
+    assert sorted((r[0], int(r[1]) - base, r[2]) for r in rows) == [
+        ("a", 0, None), ("a", 60, 0.0), ("a", 3600, 50.0), ("a", 7200, 100.0), ("b", 0, None), ("c", 0, None)]
+    cells = versions.read_table(spark, lake.silver, L.RESCUES).select("icao24", "raw_text", "source_file").collect()
+    assert [tuple(r) for r in cells] == [("c", "n/a", "old.json")]
+
+
+def test_a_backlog_in_several_commits(spark, tmp_dir):
+    raw, base = f"{tmp_dir}/raw", 1704067200
+    for i in range(4):
+        landed(raw, f"f{i}", [(f"k{i}", base + i, 1.0), ("same", base, 2.0)], age_days=30 * i)
+    lake = L.Lake.at(f"{tmp_dir}/lake")
+    assert L.append_landed(spark, raw, lake, TS, files_per_commit=1).seq == 4
+    assert L.read_silver_rows(spark, lake).count() == 5
+    assert L.update_gold(spark, lake, ts=TS).facts["silver_seq"] == 4
+
+
+def test_gold_is_packed_and_old_versions_expire(spark, tmp_dir):
+    lake = L.Lake.at(tmp_dir)
+    base = 1704067200
+    for hour in range(4):
+        rows = [(f"p{i}", str(base + 86400 * (i % 3) + 3600 * hour + i), 40.0 * ((i + hour) % 5), "X" if i % 2 else "Y") for i in range(90)]
+        L.append_silver_run(spark, lake, silver(spark, rows), TS + timedelta(hours=hour))
+        L.update_gold(spark, lake, ts=TS + timedelta(hours=hour))
+    grown = (L.PHASES, L.EDGES, L.PARTIALS)
+    whole = L.read_gold(spark, lake, L.PHASES)
+    want, now = table(whole), versions.current(spark, lake.gold)
+    packed = L.compact_gold(spark, lake, TS)
+    assert packed.seq == now.seq + 1 and L.compact_gold(spark, lake, TS).seq == packed.seq
+    assert {t: len(packed.parts[t]) for t in grown} == {t: 3 for t in grown}
+    assert table(L.read_gold(spark, lake, L.PHASES)) == want
+    assert L.read_gold(spark, lake, L.PARTIALS).count() == 6 and L.read_gold(spark, lake, L.EDGES).count() == 90
+    assert stats.aircraft_estimate(L.read_gold(spark, lake, L.PARTIALS), ["origin_country"]).count() == 2
+    # Folders that a dead run left, and those that were replaced, go; kept versions stay whole.
+    orphan = L.read_gold(spark, lake, L.STATE)
+    versions.write_parts(orphan, lake.gold, L.STATE, f"dead-{packed.seq:06d}", packed.seq, by_day=False)
+    versions.write_parts(orphan, lake.gold, L.STATE, f"coming-{packed.seq + 1:06d}", packed.seq + 1, by_day=False)
+    assert versions.expire(spark, lake.gold, keep=2) > 0
+    assert table(versions.read_table(spark, lake.gold, L.PHASES, now)) == want
+    versions.expire(spark, lake.gold)
+    assert versions.expire(spark, lake.gold) == 0
+    assert table(L.read_gold(spark, lake, L.PHASES)) == want
+    left = sorted(os.listdir(f"{lake.gold}/{L.STATE}"))
+    assert len(left) == 2 and left[0] == f"run=coming-{packed.seq + 1:06d}"
+    assert len(L.read_gold(spark, lake, L.COUNTRIES).select("processed_at").distinct().collect()) == 4
+    with pytest.raises(ValueError):
+        versions.expire(spark, lake.gold, keep=0)
+    # A late row after packing and expiry finds its neighbours.
+    L.append_silver_run(spark, lake, silver(spark, [("p3", str(base + 5), 7.0, "X")]), TS + timedelta(hours=9))
+    L.update_gold(spark, lake, ts=TS + timedelta(hours=9))
+    assert table(L.read_gold(spark, lake, L.PHASES), "processed_at") == table(whole_phases(
+        L.read_silver_rows(spark, lake).drop("flight_date")), "processed_at")
+    partials = L.read_gold(spark, lake, L.PARTIALS)
+    assert L.read_gold(spark, lake, L.SUMMARY).first()["total_global_flights"] == 361
+    assert partials.agg(F.sum("row_count")).first()[0] == 361
+    assert versions.expire(spark, f"{tmp_dir}/none") == 0
+
+
 def test_aircraft_of_any_span_from_sketches(spark, tmp_dir):
     lake = L.Lake.at(tmp_dir)
     base = 1704067200
