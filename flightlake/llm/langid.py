@@ -242,7 +242,8 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep:
 
     The score is the softmax of the cosines (times 20) at the predicted language, from 0 to 1; equal cosines go to
     the first language in the alphabet. Null texts, texts without a letter, and all texts when nothing was learned, are
-    ``und`` with score and cosine 0. Every text is read whole.
+    ``und`` with score and cosine 0. Every text is read whole and worked on by itself: repeated rows give repeated results,
+    an empty table an empty one, and a kept column with the name of a new one gives way to it.
     """
     langs, vectors = np.array([*profiles.langs, UNKNOWN], object), profiles
 

@@ -99,3 +99,14 @@ def test_toxicity_sample_is_bounded_in_rows(spark):
     model = toxicity.fit(docs, labels, config=toxicity.FtrlConfig(sample=50, l1=0.0))
     assert len(model.at) < 1500  # about 100 rows' words and not 4,000 rows'
     assert len(toxicity.fit(docs, labels, config=toxicity.FtrlConfig(sample=5000, l1=0.0)).at) > 3000
+
+
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    docs = spark.range(4000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(
+        F.lit("one two three four five six seven eight nine ten eleven "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    grown, real = [], quality_forest.Forest
+    monkeypatch.setattr(quality_forest, "Forest", lambda rows, *rest: grown.append(len(rows)) or real(rows, *rest))
+    quality_forest.fit(docs.unionByName(docs), labels, config=quality_forest.ForestConfig(labelled=50))
+    quality_forest.fit(docs.unionByName(docs), labels, config=quality_forest.ForestConfig(labelled=5000))
+    assert 50 < grown[0] < 160 and grown[1] == 4000  # about 100 different rows of the id; all of them
