@@ -6,9 +6,10 @@ holds a large share of all rows. So rows are counted per key first (a hash aggre
 combined map-side, written to the shared folder):
 
 1. Keys of at most ``hot_rows`` rows: the plain window.
-2. Hot keys: their rows are range-partitioned on (key, order) into ``ceil(rows / hot_rows)`` parts and
+2. Hot keys: their rows are range-partitioned on (key, order), sorted, cut every ``hot_rows`` rows into parts and
    written once, so one key is spread over many tasks; ``lag`` runs per (key, part), and the first row of a part
-   takes the last value of the key's previous part (one row per key and part).
+   takes the last value of the key's previous part (one row per key and part). A task of the range shuffle holds
+   many parts where parts are small: its number of tasks follows the rows, not the parts.
 
 The result equals ``lag(value) OVER (PARTITION BY key ORDER BY order_cols)`` exactly. Both sides of the range
 split and the window use Spark's own ordering (NULL first, NaN last), so any ordering type will do. NULL keys keep
@@ -31,29 +32,34 @@ from flightlake.sources.versions import DAY, days_of
 DEFAULT_HOT_ROWS = 2_000_000
 # Rows of a broadcast routing or carry table (a key, and a value). Beyond this bound the joins are shuffled.
 MAX_BROADCAST_ROWS = 100_000
+# Rows of hot keys that a task of the range shuffle gets at least, in whole parts: small parts share a task and a file.
+RANGE_TASK_ROWS = 100_000
 
 
-def _lag_hot(rows: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str, parts: int,
+def _lag_hot(rows: DataFrame, order_cols: Sequence[str], value_col: str, out_col: str, hot_rows: int, tasks: int,
              small: bool) -> DataFrame:
-    """Rows of hot keys: range parts on (key, order), lag per part, carry across parts.
+    """Rows of hot keys: range shuffle on (key, order), parts of ``hot_rows`` rows, lag per part, carry across parts.
 
-    Range bounds are sampled on the full sort key, so a key is cut wherever its rows are dense; rows
-    with equal sort keys stay in one part. Along the total order the part index never decreases, so
+    Range bounds are sampled on the full sort key, so a key is cut wherever its rows are dense. A task sorts its range
+    and cuts it every ``hot_rows`` rows; a row's place (rising along the total order, over tasks too) is written with it,
+    so rows with equal sort keys have one order from there on. Along that order the part never decreases, so
     the previous part of the same key holds the previous rows. The parted rows are written once to
-    the shared folder: the part index is fixed there (one sampling, one range shuffle), and the
+    the shared folder: places and parts are fixed there (one sampling, one range shuffle), and the
     per-part summary reads only the narrow columns back.
     """
+    place = F.col("_lg_i")
+    in_task = F.shiftrightunsigned(F.shiftleft(place, 31), 31)  # the low 33 bits: the row's number in its task
     ranged = materialize(
-        rows.repartitionByRange(parts, "_lg_k", *order_cols).withColumn("_lg_p", F.spark_partition_id()),
+        rows.repartitionByRange(tasks, "_lg_k", *order_cols).sortWithinPartitions("_lg_k", *order_cols)
+        .withColumn("_lg_i", F.monotonically_increasing_id())
+        .withColumn("_lg_p", place - in_task % F.lit(hot_rows)),
         "lag-hot-rows",
     )
     by_part = Window.partitionBy("_lg_k").orderBy("_lg_p")
-    part_last = ranged.groupBy("_lg_k", "_lg_p").agg(
-        F.max_by(F.col(value_col), F.struct(*order_cols)).alias("_lg_last")
-    )
+    part_last = ranged.groupBy("_lg_k", "_lg_p").agg(F.max_by(value_col, "_lg_i").alias("_lg_last"))
     carry = part_last.select("_lg_k", "_lg_p", F.lag("_lg_last").over(by_part).alias("_lg_carry"))
     joined = ranged.join(F.broadcast(carry) if small else carry, ["_lg_k", "_lg_p"], "left")
-    w = Window.partitionBy("_lg_k", "_lg_p").orderBy(*order_cols)
+    w = Window.partitionBy("_lg_k", "_lg_p").orderBy("_lg_i")
     prev = F.when(F.row_number().over(w) == 1, F.col("_lg_carry")).otherwise(F.lag(value_col).over(w))
     return joined.withColumn(out_col, prev)
 
@@ -89,12 +95,13 @@ def lag_by_key(
         return plain(df).select(*df.columns, out_col)
 
     parts = max(1, -(-int(hot_total) // hot_rows))
-    # Parts and keys are both contiguous ranges of one order, so there are at most keys + parts carry rows.
-    small = n_hot + parts <= MAX_BROADCAST_ROWS
+    tasks = max(1, -(-int(hot_total) // max(hot_rows, RANGE_TASK_ROWS)))
+    # Parts, tasks and keys are all contiguous ranges of one order, so there are at most as many carry rows as of these together.
+    small = n_hot + parts + tasks <= MAX_BROADCAST_ROWS
     hot_keys = F.broadcast(hot.select("_lg_k")) if small else hot.select("_lg_k")
     keyed = df.withColumn("_lg_k", F.struct(*keys))
     cold = plain(keyed.join(hot_keys, "_lg_k", "left_anti"))
-    warm = _lag_hot(keyed.join(hot_keys, "_lg_k", "left_semi"), order_cols, value_col, out_col, parts, small)
+    warm = _lag_hot(keyed.join(hot_keys, "_lg_k", "left_semi"), order_cols, value_col, out_col, hot_rows, tasks, small)
     return cold.select(*df.columns, out_col).unionByName(warm.select(*df.columns, out_col))
 
 

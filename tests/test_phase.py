@@ -71,6 +71,21 @@ def test_hot_key_is_split_by_range(spark):
     assert re.search(r"windowspecdefinition\(_lg_k#\d+, _lg_p#\d+", plan)
 
 
+def test_small_parts_share_range_tasks(spark):
+    """Many parts make few tasks and files; each part is still a range of one order of at most ``hot_rows`` rows."""
+    rnd = random.Random(5)
+    rows = [(f"k{i % 60}", T0 + timedelta(seconds=rnd.randrange(0, 900)), i, float(rnd.randrange(0, 12000))) for i in range(4000)]
+    df = _flights(spark, rows)
+    got = lag_by_key(df, ["icao24"], ["flight_time", "eid"], "baro_altitude", "prev_alt", hot_rows=10)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _plain(df).collect()))
+    files = [f for f in got.inputFiles() if "lag-hot-rows" in f]
+    assert 1 <= len(files) <= 8  # 400 parts
+    parts = spark.read.parquet(*files).groupBy("_lg_p").agg(F.count("eid").alias("n"), F.min("_lg_i").alias("a"), F.max("_lg_i").alias("b"))
+    held = parts.orderBy("_lg_p").collect()
+    assert len(held) >= 400 and max(r.n for r in held) <= 10 and sum(r.n for r in held) == 4000
+    assert all(x.b < y.a for x, y in zip(held, held[1:]))
+
+
 def test_lag_with_nan_and_null_order_keys(spark):
     """NaN sorts after every number and NULL before, on both routes."""
     order = [None, -1.0, 0.0, 5.0, float("inf"), float("nan")]
