@@ -1,7 +1,7 @@
 """Quality rules: rule statistics of every text and an isolation forest over them.
 
-Path lengths over random splits tell rows that are easily set apart (anomalies). The forest is grown on a bounded
-sample; the threshold on its score is calibrated from labelled rows so that nearly all good ones stay.
+Path lengths over random splits tell rows that are easily set apart (anomalies). Each tree draws its rows from all good
+labelled ones; the threshold on the score is set on all labelled rows, so that nearly all good ones stay.
 """
 
 from __future__ import annotations
@@ -10,16 +10,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flightlake.llm.common import add_columns, chunks, equal_spans, in_share, map_arrow, spans, utf8_buffer
-from flightlake.session import materialize_counted
+from flightlake.llm.common import add_columns, equal_spans, in_share, map_arrow, rank_in_groups, spans, utf8_buffer
+from flightlake.session import materialize, materialize_counted
 
 WINDOW = 5
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # Statistics beyond the base ones, for the forest alone.
 MORE = ["n_upper", "n_letters", "n_lines"]
+FEATURES = ["symbols", "upper", "dup_lines", "repeated", "word_length"]
+# Rows that a task puts in order when good rows are numbered, and bins of scores counted at first.
+RANKED_ROWS = 10_000
+SCORE_BINS = 32_768
 # Mean characters of a word between which splits are drawn, whatever the labelled rows have: glued words, encoded data and
 # single letters are set apart even where no labelled row has them.
 WORD_CHARS = (1.0, 50.0)
@@ -93,13 +98,13 @@ def features(stats: dict[str, np.ndarray]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class ForestConfig:
-    """``labelled``: expected labelled rows that the trees draw from and the threshold is set on (a documented bound);
-    ``lost``: greatest share of good labelled rows the threshold may reject."""
+    """``rows``: good rows a tree draws. ``lost``: greatest share of good labelled rows the threshold may reject.
+    ``labelled``: None learns from all labelled rows; a caller's number learns from about as many of them only."""
 
     trees: int = 200
     rows: int = 256
     depth: int = 16
-    labelled: int = 20_000
+    labelled: int | None = None
     lost: float = 0.002
     seed: int = 5
 
@@ -118,11 +123,12 @@ class Forest:
     alone, what no good row has (a symbol, say) would never be split on.
     """
 
-    def __init__(self, data: np.ndarray, low: np.ndarray, high: np.ndarray, config: ForestConfig) -> None:
+    def __init__(self, data: np.ndarray, low: np.ndarray, high: np.ndarray, config: ForestConfig, draws: np.ndarray | None = None) -> None:
+        """``draws``: the places in ``data`` that each tree draws, where ``data`` has drawn rows only."""
         rng = np.random.default_rng(config.seed)
         self.rows = min(config.rows, len(data))
-        self.trees = [self._grow(data[rng.choice(len(data), self.rows, replace=False)], low, high, config.depth, rng)
-                      for _ in range(config.trees)]
+        self.trees = [self._grow(data[rng.choice(len(data), self.rows, replace=False) if draws is None else draws[i]], low, high, config.depth, rng)
+                      for i in range(config.trees)]
 
     @staticmethod
     def _grow(data: np.ndarray, low: np.ndarray, high: np.ndarray, limit: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
@@ -175,58 +181,103 @@ def base_failed(stats: dict[str, np.ndarray]) -> np.ndarray:
     return (stats["n_words"] < 10) | (100 * stats["n_repeat_words"] > 20 * stats["n_words"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        config: ForestConfig = ForestConfig()) -> QualityModel:
-    """Forest grown on statistics of a bounded sample of labelled rows that pass the base rules; threshold from them.
+def _measured(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, c: ForestConfig) -> DataFrame:
+    """Counts and features of the labelled rows that pass the base rules (written; equal rows of an id once).
 
-    About ``config.labelled`` labelled ids are taken by a hash (broadcast: bounded by the sample), and at most about
-    twice as many different rows of these; only their counts reach the driver. The trees draw from the good rows among them, so that what is rare among good rows stands out.
-    The threshold rejects at most ``config.lost`` of the good rows and otherwise as many bad rows as it can. Without
-    good labelled rows nothing is anomalous.
+    Texts are counted where they are read and only their counts go on: an id may have very many rows, and labels may be
+    too many to broadcast.
     """
-    c = config
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label")).where(
         "label_id is not null and label is not null").groupBy("label_id").agg(F.min("label").alias("label"))
+    rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("body")).where("label_id is not null")
     point = F.xxhash64("label_id", F.lit(c.seed))
-    taken = known.where(in_share(point, c.labelled / max(known.count(), 1)))
-    rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("body")).join(F.broadcast(taken), "label_id")
-    # An id may have many rows: the sample is bounded in rows too, equal rows counting once.
-    rows, n_rows = materialize_counted(rows.select("body", "label", point.alias("point")).distinct(), "quality-rows")
-    rows = rows.where(in_share(F.xxhash64("point", "body"), 2 * c.labelled / max(n_rows, 1)))
-    names = BASE + MORE
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for part in chunks(batch.column(0)):
-                stats = statistics(part)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)), *[pa.array(stats[x].astype(np.int64)) for x in names]],
-                                                 names=["label", *names])
-                at += len(part)
-
-    got = map_arrow(rows.select("body", "label"), counted, "label int, " + ", ".join(f"{x} long" for x in names)).toPandas()
-    got = got.sort_values(list(got.columns))
-    stats = {x: got[x].to_numpy() for x in names}
-    passed, good = ~base_failed(stats), got["label"].to_numpy() == 1
-    data = features(stats)
-    fine = data[passed & good]
-    if not len(fine):
+    if c.labelled is not None:
+        known = known.where(in_share(point, c.labelled / max(known.count(), 1)))
+
+    def run(texts: pa.Array) -> list:
+        stats = statistics(texts)
+        return [*[stats[x].astype(np.int64) for x in BASE + MORE], *np.ascontiguousarray(features(stats).T), ~base_failed(stats)]
+
+    fields = [(x, "long") for x in BASE + MORE] + [(x, "double") for x in FEATURES] + [("passed", "boolean")]
+    counted = add_columns(rows.withColumn("digest", F.unhex(F.sha2("body", 256))), ["body"], fields, run, ["label_id", "digest"])
+    counted = counted.where("passed").drop("passed").distinct().join(known, "label_id")
+    if c.labelled is None:
+        return materialize(counted, "quality-rows")
+    counted, n = materialize_counted(counted.withColumn("point", point), "quality-rows")
+    return counted.where(in_share(F.xxhash64("point", "digest"), 2 * c.labelled / max(n, 1)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+        config: ForestConfig = ForestConfig()) -> QualityModel:
+    """Forest grown on statistics of the labelled rows that pass the base rules; threshold from them.
+
+    The trees draw from the good rows among them, so that what is rare among good rows stands out; splits range over all
+    of them. All are scored, and the threshold rejects at most ``config.lost`` of the good rows and otherwise as many bad
+    rows as it can. Without good labelled rows nothing is anomalous. At most the rows drawn by the trees reach the driver.
+    """
+    c = config
+    rows = _measured(docs, labels, id_col, text_col, label_col, c)
+    ends = rows.agg(F.count_if(F.col("label") == 1).alias("good"), *[f(x).alias(f"{f.__name__}_{x}") for f in (F.min, F.max) for x in FEATURES]).first()
+    if not ends["good"]:
         return QualityModel(None, 1.0)
-    low, high = data[passed].min(axis=0), data[passed].max(axis=0)
+    low, high = (np.array([ends[f"{f}_{x}"] for x in FEATURES]) for f in ("min", "max"))
     low[-1], high[-1] = min(low[-1], np.log(WORD_CHARS[0])), max(high[-1], np.log(WORD_CHARS[1]))
-    forest = Forest(fine, low, high, c)
-    return QualityModel(forest, calibrate(forest.scores(fine), forest.scores(data[passed & ~good]), c.lost))
+    forest = Forest(*_drawn(rows.where("label = 1"), ends["good"], low, high, c))
+    return QualityModel(forest, calibrate(_scored(rows, forest), ends["good"], c.lost))
 
 
-def calibrate(good: np.ndarray, bad: np.ndarray, lost: float) -> float:
+def _drawn(good: DataFrame, n: int, low: np.ndarray, high: np.ndarray, c: ForestConfig) -> tuple:
+    """What a ``Forest`` over ``n`` good rows is made from: the rows, or those that its trees draw where these are fewer.
+
+    Either way each tree draws evenly from all good rows.
+    """
+    if n <= c.trees * c.rows:
+        got = good.select(*BASE, *MORE, *FEATURES).toPandas().sort_values(BASE + MORE)
+        return got[FEATURES].to_numpy(), low, high, c
+    rng = np.random.default_rng([c.seed, 1])
+    draws = np.stack([rng.choice(n, c.rows, replace=False) for _ in range(c.trees)])
+    places, draws = np.unique(draws, return_inverse=True)
+    ranked = rank_in_groups(good.withColumn("every", F.lit(1)), "every", ["label_id", "digest"], target=RANKED_ROWS)
+    wanted = good.sparkSession.createDataFrame(pd.DataFrame({"rank": places}))
+    got = ranked.join(F.broadcast(wanted), "rank").select("rank", *FEATURES).toPandas().sort_values("rank")
+    return got[FEATURES].to_numpy(), low, high, c, draws.reshape(c.trees, c.rows)
+
+
+def _scored(rows: DataFrame, forest: Forest) -> DataFrame:
+    """``label`` and ``score`` of all measured rows (written)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = np.stack([x.to_numpy(zero_copy_only=False) for x in batch.columns[1:]], 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forest.scores(data))], names=["label", "score"])
+
+    return materialize(map_arrow(rows.select("label", *FEATURES), run, "label int, score double"), "quality-scores")
+
+
+def calibrate(scored: DataFrame, n_good: int, lost: float) -> float:
     """Score from which rows are rejected: midway between the highest good score that must stay (at most ``lost`` of the
-    good ones lie above) and the next bad score; without bad rows above every good score."""
-    if not len(bad):
-        return float(good.max()) + 1e-6
-    ordered = np.sort(good)[::-1]
-    first = ordered[min(int(lost * len(good)), len(good) - 1)]
-    above = np.sort(bad[bad > first])
-    return float((first + above[0]) / 2 if len(above) else first + 1e-6)
+    ``n_good`` good ones lie above) and the next bad score; without bad rows above every good score.
+
+    The good score of that rank is found exactly among all: by counts of score bins, then of the scores in its bin (scores
+    have nine digits), so the driver gets a bounded number of counts.
+    """
+    good, bad = scored.where("label = 1"), scored.where("label <> 1")
+    if bad.isEmpty():
+        return float(good.agg(F.max("score")).first()[0]) + 1e-6
+    left = min(int(lost * n_good), n_good - 1)
+    bin_of = F.floor(F.col("score") * SCORE_BINS)
+    part, left = _at_rank(good.groupBy(bin_of.alias("at")).count().collect(), left)
+    first, _ = _at_rank(good.where(bin_of == part).groupBy(F.col("score").alias("at")).count().collect(), left)
+    above = bad.where(F.col("score") > first).agg(F.min("score")).first()[0]
+    return float((first + above) / 2 if above is not None else first + 1e-6)
+
+
+def _at_rank(counts: list, rank: int) -> tuple:
+    """The value that the row of a rank (from 0, greatest value first) has, and its rank among the rows of that value."""
+    for at, n in sorted(map(tuple, counts), reverse=True):
+        if rank < n:
+            return at, rank
+        rank -= n
+    raise ValueError("rank beyond the rows")
 
 
 def judge(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -110,3 +110,35 @@ def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
     quality_forest.fit(docs.unionByName(docs), labels, config=quality_forest.ForestConfig(labelled=50))
     quality_forest.fit(docs.unionByName(docs), labels, config=quality_forest.ForestConfig(labelled=5000))
     assert 50 < grown[0] < 160 and grown[1] == 4000  # about 100 different rows of the id; all of them
+
+
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """More rows than trees draw: splits range over all of them and the threshold loses no good one, however rare."""
+    n, odd = 30_000, 40
+    words = F.concat(F.lit("one two three four five six seven eight nine ten eleven "), F.col("id").cast("string"))
+    text = F.when(F.col("id") < odd, F.concat(words, F.lit(" "), F.repeat(F.lit("#"), F.col("id").cast("int")))).when(
+        F.col("id") >= n, F.concat(words, F.lit(" ab ABCD " + "#" * 400))).otherwise(words)
+    docs = spark.range(n + 5).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(n + 5).select(F.col("id").alias("doc_id"), (F.col("id") < n).cast("int").alias("quality"))
+    grown, real = [], quality_forest.Forest
+    monkeypatch.setattr(quality_forest, "Forest", lambda *given: grown.append(given) or real(*given))
+    model = quality_forest.fit(docs, labels, config=quality_forest.ForestConfig(trees=20, rows=64, lost=0.0))
+    got = docs.select("doc_id", "text").toPandas()
+    data = quality_forest.features(quality_forest.statistics(pa.array(got["text"])))
+    drawn, low, high = grown[0][:3]
+    assert np.allclose(high[:4], data[:, :4].max(axis=0)) and np.allclose(low[:4], data[:, :4].min(axis=0))
+    assert len(drawn) <= 20 * 64 and grown[0][4].shape == (20, 64) and set(map(tuple, drawn)) <= set(map(tuple, data[got["doc_id"] < n]))
+    assert all(len(set(tree)) == 64 for tree in grown[0][4].tolist())
+    kept = quality_forest.judge(docs, model, keep=["doc_id"]).where("kept").toPandas()["doc_id"]
+    assert sorted(kept) == list(range(n))
+
+
+@pytest.mark.parametrize("lost", [0.0, 0.002, 0.3, 1.0])
+def test_quality_threshold_of_all_scores_equals_a_sort(spark, lost):
+    rng = np.random.default_rng(4)
+    good, bad = np.round(rng.beta(2, 5, 3000), 9), np.round(rng.beta(5, 3, 400), 9)
+    good[:300] = 0.5  # ties
+    scored = spark.createDataFrame([(1, float(x)) for x in good] + [(0, float(x)) for x in bad], "label int, score double")
+    first = np.sort(good)[::-1][min(int(lost * len(good)), len(good) - 1)]
+    assert quality_forest.calibrate(scored, len(good), lost) == ((first + bad[bad > first].min()) / 2 if (bad > first).any() else first + 1e-6)
+    assert quality_forest.calibrate(scored.where("label = 1"), len(good), lost) == good.max() + 1e-6
