@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flightlake import schemas
 from flightlake.fixed import STATE_FIELDS
@@ -26,7 +26,7 @@ def read_snapshots(spark: SparkSession, path: str | list[str], corrupt_col: str
     schema = schemas.RAW_SNAPSHOT
     reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower())
     if corrupt_col:
-        schema = schema.add(corrupt_col, "string")
+        schema = StructType([*schema.fields, StructField(corrupt_col, StringType())])  # ``add`` would change the shared schema
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     return reader.schema(schema).json(path)
 
